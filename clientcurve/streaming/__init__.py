@@ -1,0 +1,9 @@
+"""Streaming.
+
+The analysis this library rebuilds is a scheduled batch over a full snapshot
+(one run per day, re-runnable for any run date), with no event-time
+windows, watermarks or per-key state. No streaming operator is therefore
+provided; a deployment that wants continuous updates can call
+``BillingRun(...).write_outputs`` from ``foreachBatch`` with the batch's run
+date, since every output is written idempotently per run.
+"""
