@@ -17,7 +17,15 @@ from .demand import demand_mom, mean_demand
 from .headcount import active_headcount, headcount_intervals
 from .outbox import delivery_report, outbox_change_code, update_outbox, update_payload
 from .prefix import running_sum, running_sum_single_partition
-from .revenue import billable, client_group_join, client_month_revenue, group_revenue, total_revenue
+from .revenue import (
+    billable,
+    client_facts,
+    client_group_join,
+    client_month_revenue,
+    group_revenue,
+    total_revenue,
+    window_totals,
+)
 from .segments import rdm_profile, segment
 from .status import activity_status, group_status_rollup
 from .summary import curve_movers, curve_summary, report_route
@@ -29,6 +37,7 @@ __all__ = [
     "billable",
     "billing_span",
     "changed_orgs",
+    "client_facts",
     "client_group_join",
     "client_month_revenue",
     "cumulative_revenue",
@@ -63,4 +72,5 @@ __all__ = [
     "total_revenue",
     "update_outbox",
     "update_payload",
+    "window_totals",
 ]

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _PART = "_rs_part"
 _LOCAL = "_rs_local"
@@ -45,14 +45,13 @@ def running_sum(
     (ROWS frame: ties on ``value`` are ordered by ``tiebreak``, never merged),
     and optionally ``total_out`` = the grand total."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value)
     order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
 
     ranged = df.repartitionByRange(max(1, n), *order).withColumn(_PART, F.spark_partition_id())
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn(_LOCAL, F.sum(v).over(w_local)).checkpoint(eager=True)
+    local = materialize(ranged.withColumn(_LOCAL, F.sum(v).over(w_local)))
 
     totals = local.groupBy(_PART).agg(F.sum(v).alias(_TOTAL))
     # At most n rows: a single-partition window is fine here.

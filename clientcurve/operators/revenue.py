@@ -37,6 +37,34 @@ def client_month_revenue(invoices: DataFrame, as_of: _dt.date, window_days: int
     )
 
 
+def client_facts(invoices: DataFrame, as_of: _dt.date, window_days: int = C.WINDOW_DAYS) -> DataFrame:
+    """One row per client from a single pass over all non-cancelled invoices:
+    (client_code, first_billed, last_billed, window_gross, window_rows).
+
+    ``first/last_billed`` span all time (invoice number 0 included);
+    ``window_gross`` / ``window_rows`` cover the revenue rows only (number
+    other than 0, date inside the window). This is the one reduction of the
+    fact table every later step reads: revenue, billing dates and the
+    group roll-up all start from it, so the invoice history is scanned once."""
+    start = as_of - _dt.timedelta(days=window_days)
+    in_window = (F.col("nfe_no") != 0) & F.col("issue_date").between(lit_date(start), lit_date(as_of))
+    return (
+        invoices.where(F.col("status") != C.CANCELLED_STATUS)
+        .groupBy("client_code")
+        .agg(
+            F.min("issue_date").alias("first_billed"),
+            F.max("issue_date").alias("last_billed"),
+            F.sum(F.when(in_window, F.col("gross"))).alias("window_gross"),
+            F.count(F.when(in_window, F.lit(1))).alias("window_rows"),
+        )
+    )
+
+
+def window_totals(facts: DataFrame) -> DataFrame:
+    """(client_code, gross) for the clients with revenue rows in the window."""
+    return facts.where(F.col("window_rows") > 0).select("client_code", F.col("window_gross").alias("gross"))
+
+
 def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     """Every client-month row with the group of each organisation owning the
     client's code (left join: unmatched rows keep a null group; a code owned
@@ -45,14 +73,19 @@ def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     return client_rev.join(m, client_rev["client_code"] == m["code"], "left").drop("code")
 
 
-def group_revenue(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
+def group_revenue(client_rev: DataFrame, code_map: DataFrame, one_row_per_client: bool = False) -> DataFrame:
     """(econ_group, gross): window revenue per economic group; a group whose
     revenue rows are all null gets 0.
 
-    Months are summed per client *before* the join (sum distributes over the
-    join's fan-out), so the join sees one row per client instead of one per
-    client-month; partial aggregation happens map-side on both sums."""
-    per_client = client_rev.groupBy("client_code").agg(F.sum("gross").alias("gross"))
+    ``client_rev`` is either the client-month table or the per-client window
+    totals (:func:`window_totals`). Rows are summed per client *before* the
+    join (sum distributes over the join's fan-out), so the join sees one row
+    per client; partial aggregation happens map-side on both sums."""
+    per_client = (
+        client_rev.select("client_code", "gross")
+        if one_row_per_client
+        else client_rev.groupBy("client_code").agg(F.sum("gross").alias("gross"))
+    )
     m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
     joined = per_client.join(m, per_client["client_code"] == m["code"], "inner")
     return joined.groupBy("econ_group").agg(sum_or_zero("gross").cast("decimal(38,2)").alias("gross"))

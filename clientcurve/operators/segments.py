@@ -21,14 +21,18 @@ def rdm_profile(mean_demand: DataFrame, group_rev: DataFrame, group_span: DataFr
     )
 
 
-def segment(df: DataFrame, dim: DataFrame, value: str, out: str) -> DataFrame:
+def segment(df: DataFrame, dim: DataFrame, value: str, out: str, precision: int | None = None) -> DataFrame:
     """Add ``out`` = the dimension segment whose inclusive ``[lo, hi]`` holds
     ``value``; null when the value falls in a gap or is null.
 
+    With ``precision`` the value is rounded first, so a floating-point mean
+    that prints as a bound (0.04) is classified like the bound, whatever the
+    summation order that produced it.
+
     ``dim`` is a fixed dimension of a handful of rows (see sources.dims), so
     it is broadcast; the range join then runs map-side next to the data."""
     d = dim.select(F.col("segment").alias(out), F.col("lo").alias("_seg_lo"), F.col("hi").alias("_seg_hi"))
-    v = F.col(value)
+    v = F.col(value) if precision is None else F.round(F.col(value), precision)
     return df.join(F.broadcast(d), (v >= F.col("_seg_lo")) & (v <= F.col("_seg_hi")), "left").drop(
         "_seg_lo", "_seg_hi"
     )

@@ -18,7 +18,7 @@ def activity_status(df: DataFrame, as_of: _dt.date, active_days: int = C.ACTIVE_
     days = days_between(lit_date(as_of), F.col("last_billed"))
     status = F.when(days.isNull(), F.lit(None).cast("int")).when(days <= active_days, F.lit(C.ORG_ACTIVE))
     status = status.otherwise(F.lit(C.ORG_INACTIVE))
-    return df.withColumn("days_since_last", days).withColumn("status", status)
+    return df.withColumns({"days_since_last": days, "status": status})
 
 
 def group_status_rollup(df: DataFrame, active_days: int = C.ACTIVE_DAYS) -> DataFrame:

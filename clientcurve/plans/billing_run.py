@@ -1,11 +1,19 @@
 """One run of the client-billing analysis, as a set of lazily defined
 DataFrames that share their intermediate plans.
 
-Nothing executes until an output is written or collected, except the ABC
-running sum, which checkpoints its small per-group table (see
-operators.prefix). ``write_outputs`` is the scheduled job: it materialises
-the flagged organisation table once (checkpoint to the shared folder: it
-feeds five outputs) and writes every output with one job each.
+Materialisation points (checkpoints to the shared folder, each written
+once per run and read by every later step):
+
+* ``facts``     - the single reduction of the invoice history, one row per
+  client (billing span + window revenue); the fact table is scanned once;
+* ``group_rev`` - window revenue per economic group (feeds the ABC curve,
+  the active-group filter of the headcount and the profile);
+* the per-range-partition running sums inside the ABC curve (see
+  operators.prefix).
+
+Everything else is lazy. ``write_outputs`` is the scheduled job: it also
+materialises the flagged organisation table (it feeds five outputs) and
+writes every output with one job each.
 """
 
 from __future__ import annotations
@@ -17,8 +25,12 @@ from pyspark.sql import functions as F
 
 from .. import operators as O
 from ..config import RunConfig
+from ..session import materialize
 from ..sinks import writers
 
+# Mean demand is reported, and classified, at 6 decimal places.
+DEMAND_PRECISION = 6
+
 
 class BillingRun:
     """Outputs of one run over the four logical inputs."""
@@ -48,9 +60,14 @@ class BillingRun:
     def client_rev(self) -> DataFrame:
         return O.client_month_revenue(self.invoices, self.cfg.as_of, self.cfg.window_days)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        return materialize(O.client_facts(self.invoices, self.cfg.as_of, self.cfg.window_days))
+
     @cached_property
     def group_rev(self) -> DataFrame:
-        return O.group_revenue(self.client_rev, self.code_map)
+        totals = O.window_totals(self.facts)
+        return materialize(O.group_revenue(totals, self.code_map, one_row_per_client=True))
 
     @cached_property
     def abc(self) -> DataFrame:
@@ -63,7 +80,7 @@ class BillingRun:
     # ----------------------------------------------------------- billing dates
     @cached_property
     def span(self) -> DataFrame:
-        return O.billing_span(self.invoices)
+        return self.facts.select("client_code", "first_billed", "last_billed")
 
     @cached_property
     def org_dates(self) -> DataFrame:
@@ -146,7 +163,7 @@ class BillingRun:
         return O.segment(self.profile, dim_recency, "days_since_last", "recency_segment")
 
     def demand_segments(self, dim_demand: DataFrame) -> DataFrame:
-        return O.segment(self.profile, dim_demand, "mean_demand", "demand_segment")
+        return O.segment(self.profile, dim_demand, "mean_demand", "demand_segment", DEMAND_PRECISION)
 
     # -------------------------------------------------------------- the job
     def write_outputs(self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None) -> dict[str, str]:
@@ -172,7 +189,7 @@ class BillingRun:
         if dim_recency is not None:
             profile = O.segment(profile, dim_recency, "days_since_last", "recency_segment")
         if dim_demand is not None:
-            profile = O.segment(profile, dim_demand, "mean_demand", "demand_segment")
+            profile = O.segment(profile, dim_demand, "mean_demand", "demand_segment", DEMAND_PRECISION)
         paths["rdm_profile"] = writers.write_table(profile, f"{out}/rdm_profile")
         if self.delivery_log is not None and http_codes is not None:
             paths["delivery_report"] = writers.write_partitioned_by_run_date(

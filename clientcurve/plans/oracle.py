@@ -487,7 +487,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "demand_segment": _std(
             f"""SELECT p.econ_group, {_ratio('p.mean_demand')}, t.segment AS demand_segment
-            FROM profile p LEFT JOIN {demand} ON p.mean_demand BETWEEN t.lo AND t.hi""",
+            FROM profile p LEFT JOIN {demand} ON round(p.mean_demand, 6) BETWEEN t.lo AND t.hi""",
             demand=True,
         ),
         "delivery_report": _std(

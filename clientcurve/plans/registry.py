@@ -89,8 +89,8 @@ def q_client_month_revenue(spark, sf_dir):
 
 
 def q_client_billing_span(spark, sf_dir):
-    r = run_for(spark, sf_dir)
-    return r.span.select("client_code", _day("first_billed"), _day("last_billed"))
+    t = FixtureTables(spark, sf_dir)
+    return O.billing_span(t.invoices).select("client_code", _day("first_billed"), _day("last_billed"))
 
 
 def q_org_code_explode(spark, sf_dir):
@@ -109,13 +109,14 @@ def q_client_group_join(spark, sf_dir):
 
 
 def q_group_revenue(spark, sf_dir):
+    """Group revenue from the client-month table (the operator as specified)."""
     r = run_for(spark, sf_dir)
-    return r.group_rev.select("econ_group", _money("gross"))
+    return O.group_revenue(r.client_rev, r.code_map).select("econ_group", _money("gross"))
 
 
 def q_group_revenue_total(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.total_revenue(r.group_rev).select(_money("total_gross"))
+    return O.total_revenue(O.group_revenue(r.client_rev, r.code_map)).select(_money("total_gross"))
 
 
 def q_group_cumulative_revenue(spark, sf_dir):

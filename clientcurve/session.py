@@ -52,6 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and return a DataFrame that
+    reads it back: lineage is cut, so later steps (and recomputation after an
+    executor loss) read the stored rows instead of redoing the upstream work."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared work folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -26,6 +26,11 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 
+# Parquet relations already resolved in a session (file listing and footers
+# are read once per application and path, like a catalog table).
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def _cancelled(status: Column, key: Column) -> Column:
     return (status == "P") & (key % 4 == 0)
 
@@ -38,7 +43,12 @@ class FixtureTables:
     sf_dir: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        df = _RELATIONS.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = _RELATIONS[key] = self.spark.read.parquet(path)
+        return df
 
     @cached_property
     def invoices(self) -> DataFrame:
