@@ -4,12 +4,11 @@ DataFrames that share their intermediate plans.
 Materialisation points (checkpoints to the shared folder, each written
 once per run and read by every later step):
 
-* ``facts``     - the single reduction of the invoice history, one row per
-  client (billing span + window revenue); the fact table is scanned once;
-* ``group_rev`` - window revenue per economic group (feeds the ABC curve,
-  the active-group filter of the headcount and the profile);
-* the per-range-partition running sums inside the ABC curve (see
-  operators.prefix).
+* ``facts`` - the single reduction of the invoice history, one row per
+  client (billing span + window revenue); the fact table is scanned once,
+  and every later step (revenue, dates, roll-up, profile) reads this table;
+* the per-group table with its per-range-partition running sums inside the
+  ABC curve (see operators.prefix).
 
 Everything else is lazy. ``write_outputs`` is the scheduled job: it also
 materialises the flagged organisation table (it feeds five outputs) and
@@ -66,8 +65,7 @@ class BillingRun:
 
     @cached_property
     def group_rev(self) -> DataFrame:
-        totals = O.window_totals(self.facts)
-        return materialize(O.group_revenue(totals, self.code_map, one_row_per_client=True))
+        return O.group_revenue(O.window_totals(self.facts), self.code_map, one_row_per_client=True)
 
     @cached_property
     def abc(self) -> DataFrame:
