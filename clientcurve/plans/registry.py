@@ -12,12 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as O
 from ..config import RunConfig
-from ..functions.dates import coerce_date, day_key
+from ..functions.dates import coerce_date
 from ..session import ensure_checkpoint_dir, shared_path
 from ..sinks import writers
 from ..sources import dims, readers
@@ -34,34 +34,36 @@ def run_for(spark: SparkSession, sf_dir: str, cfg: RunConfig | None = None) -> B
 
 
 # ----------------------------------------------------------- output typing
-def _money(c: str) -> Column:
-    return F.round(F.col(c), 2).cast("double").alias(c)
+# Output projections are SQL expression strings applied with one selectExpr
+# (one driver round trip per query instead of several per column).
+def _money(c: str) -> str:
+    return f"CAST(round(`{c}`, 2) AS DOUBLE) AS `{c}`"
 
 
-def _ratio(c: str) -> Column:
-    return F.round(F.col(c).cast("double"), 6).alias(c)
+def _ratio(c: str) -> str:
+    return f"round(CAST(`{c}` AS DOUBLE), 6) AS `{c}`"
 
 
-def _iso(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
+def _iso(c: str) -> str:
+    return f"date_format(`{c}`, 'yyyy-MM-dd') AS `{c}`"
 
 
-def _day(c: str) -> Column:
-    return day_key(c).alias(c)
+def _day(c: str) -> str:
+    return f"date_format(`{c}`, 'yyyyMMdd') AS `{c}`"
 
 
-def _big(c: str) -> Column:
-    return F.col(c).cast("bigint").alias(c)
+def _big(c: str) -> str:
+    return f"CAST(`{c}` AS BIGINT) AS `{c}`"
 
 
-def _ts(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c)
+def _ts(c: str) -> str:
+    return f"date_format(`{c}`, 'yyyy-MM-dd HH:mm:ss') AS `{c}`"
 
 
-def org_frame_columns() -> list[Column]:
+def org_frame_columns() -> list[str]:
     return [
         _big("id"),
-        F.col("econ_group"),
+        "econ_group",
         _big("crm_curve"),
         _iso("crm_first"),
         _iso("crm_last"),
@@ -85,48 +87,48 @@ def org_frame_columns() -> list[Column]:
 # ---------------------------------------------------------------- revenue
 def q_client_month_revenue(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.client_rev.select("client_code", "month", _money("gross"), _day("last_billed"), _day("first_billed"))
+    return r.client_rev.selectExpr("client_code", "month", _money("gross"), _day("last_billed"), _day("first_billed"))
 
 
 def q_client_billing_span(spark, sf_dir):
     t = FixtureTables(spark, sf_dir)
-    return O.billing_span(t.invoices).select("client_code", _day("first_billed"), _day("last_billed"))
+    return O.billing_span(t.invoices).selectExpr("client_code", _day("first_billed"), _day("last_billed"))
 
 
 def q_org_code_explode(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.code_map.select(_big("id"), "code", "econ_group")
+    return r.code_map.selectExpr(_big("id"), "code", "econ_group")
 
 
 def q_org_code_explode_outer(spark, sf_dir):
     t = FixtureTables(spark, sf_dir)
-    return O.explode_codes(t.orgs, keep_null=True).select(_big("id"), "code", "econ_group")
+    return O.explode_codes(t.orgs, keep_null=True).selectExpr(_big("id"), "code", "econ_group")
 
 
 def q_client_group_join(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.client_group_join(r.client_rev, r.code_map).select("client_code", "month", _money("gross"), "econ_group")
+    return O.client_group_join(r.client_rev, r.code_map).selectExpr("client_code", "month", _money("gross"), "econ_group")
 
 
 def q_group_revenue(spark, sf_dir):
     """Group revenue from the client-month table (the operator as specified)."""
     r = run_for(spark, sf_dir)
-    return O.group_revenue(r.client_rev, r.code_map).select("econ_group", _money("gross"))
+    return O.group_revenue(r.client_rev, r.code_map).selectExpr("econ_group", _money("gross"))
 
 
 def q_group_revenue_total(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.total_revenue(O.group_revenue(r.client_rev, r.code_map)).select(_money("total_gross"))
+    return O.total_revenue(O.group_revenue(r.client_rev, r.code_map)).selectExpr(_money("total_gross"))
 
 
 def q_group_cumulative_revenue(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.cumulative.select("econ_group", _money("gross"), _money("cum_gross"))
+    return r.cumulative.selectExpr("econ_group", _money("gross"), _money("cum_gross"))
 
 
 def q_abc_curve(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.abc.select(
+    return r.abc.selectExpr(
         "econ_group", _money("gross"), _money("cum_gross"), _ratio("cum_share"), _big("curve"), _big("group_status")
     )
 
@@ -134,29 +136,29 @@ def q_abc_curve(spark, sf_dir):
 # ----------------------------------------------------- organisation frame
 def q_org_abc(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_abc.select(_big("id"), "econ_group", _big("curve"), _big("group_status"))
+    return r.org_abc.selectExpr(_big("id"), "econ_group", _big("curve"), _big("group_status"))
 
 
 def q_org_billing_span(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_abc.join(r.org_dates, "id", "left").select(
+    return r.org_abc.join(r.org_dates, "id", "left").selectExpr(
         _big("id"), _big("curve"), _big("group_status"), _iso("first_billed"), _iso("last_billed")
     )
 
 
 def q_org_activity_status(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_status.select(_big("id"), _iso("last_billed"), _big("days_since_last"), _big("status"))
+    return r.org_status.selectExpr(_big("id"), _iso("last_billed"), _big("days_since_last"), _big("status"))
 
 
 def q_group_status_rollup(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_rollup.select(_big("id"), "econ_group", _big("group_status"))
+    return r.org_rollup.selectExpr(_big("id"), "econ_group", _big("group_status"))
 
 
 def q_flag_billing_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_billing_change(r.org_rollup).select(
+    return O.flag_billing_change(r.org_rollup).selectExpr(
         _big("id"),
         _iso("first_billed"),
         _iso("crm_first"),
@@ -170,43 +172,43 @@ def q_flag_billing_change(spark, sf_dir):
 
 def q_flag_status_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_status_change(r.org_rollup).select(
+    return O.flag_status_change(r.org_rollup).selectExpr(
         _big("id"), _big("days_since_last"), _big("status"), _big("crm_status"), _big("status_changed")
     )
 
 
 def q_flag_curve_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_curve_change(r.org_rollup).select(_big("id"), _big("curve"), _big("crm_curve"), _big("curve_changed"))
+    return O.flag_curve_change(r.org_rollup).selectExpr(_big("id"), _big("curve"), _big("crm_curve"), _big("curve_changed"))
 
 
 def q_flag_group_status_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_group_status_change(r.org_rollup).select(
+    return O.flag_group_status_change(r.org_rollup).selectExpr(
         _big("id"), "econ_group", _big("group_status"), _big("crm_group_status"), _big("group_status_changed")
     )
 
 
 def q_changed_orgs(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.changed.select(*org_frame_columns())
+    return r.changed.selectExpr(*org_frame_columns())
 
 
 def q_curve_summary(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.curve_summary.select("curve", _big("orgs"), _big("groups"))
+    return r.curve_summary.selectExpr("curve", _big("orgs"), _big("groups"))
 
 
 def q_curve_movers(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.curve_movers.select(
+    return r.curve_movers.selectExpr(
         "econ_group", _big("old_curve"), _big("new_curve"), "old_label", "new_label", "trend"
     )
 
 
 def q_update_outbox(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.outbox.select(
+    return r.outbox.selectExpr(
         _big("id"),
         "change_code",
         _big("status"),
@@ -219,7 +221,7 @@ def q_update_outbox(spark, sf_dir):
 
 def q_update_payload_json(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.payload.select(_big("id"), "payload")
+    return r.payload.selectExpr(_big("id"), "payload")
 
 
 # ----------------------------------------------------- calendar and demand
@@ -230,39 +232,39 @@ def q_month_calendar(spark, sf_dir):
     bounds = t.invoices.agg(F.max("issue_date").alias("end")).select(
         F.date_sub("end", cfg.window_days).alias("start"), "end"
     )
-    return O.month_calendar(bounds).select(_big("month"), _iso("month_start"))
+    return O.month_calendar(bounds).selectExpr(_big("month"), _iso("month_start"))
 
 
 def q_group_month_grid(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.grid.select("econ_group", _big("month"))
+    return r.grid.selectExpr("econ_group", _big("month"))
 
 
 def q_headcount_intervals(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.intervals.select("econ_group", "adm_month", "dem_month", _big("headcount"))
+    return r.intervals.selectExpr("econ_group", "adm_month", "dem_month", _big("headcount"))
 
 
 def q_active_headcount(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.headcount.select("econ_group", "month", _big("active"))
+    return r.headcount.selectExpr("econ_group", "month", _big("active"))
 
 
 def q_demand_mom(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.demand.select(
-        "econ_group", "month", _big("active"), _big("prev_active"), _ratio("demand"), F.col("pct").cast("double")
+    return r.demand.selectExpr(
+        "econ_group", "month", _big("active"), _big("prev_active"), _ratio("demand"), "CAST(pct AS DOUBLE) AS pct"
     )
 
 
 def q_mean_demand(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.mean_demand.select("econ_group", _ratio("mean_demand"))
+    return r.mean_demand.selectExpr("econ_group", _ratio("mean_demand"))
 
 
 def q_rdm_profile(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.profile.select(
+    return r.profile.selectExpr(
         "econ_group",
         _ratio("mean_demand"),
         _money("gross"),
@@ -274,34 +276,34 @@ def q_rdm_profile(spark, sf_dir):
 
 def q_recency_segment(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.recency_segments(dims.dim_recency(spark)).select(
+    return r.recency_segments(dims.dim_recency(spark)).selectExpr(
         "econ_group", _big("days_since_last"), "recency_segment"
     )
 
 
 def q_demand_segment(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.demand_segments(dims.dim_demand(spark)).select("econ_group", _ratio("mean_demand"), "demand_segment")
+    return r.demand_segments(dims.dim_demand(spark)).selectExpr("econ_group", _ratio("mean_demand"), "demand_segment")
 
 
 # --------------------------------------------------- delivery and routing
 def q_delivery_report(spark, sf_dir):
     t = FixtureTables(spark, sf_dir)
-    return O.delivery_report(t.delivery_log, dims.http_codes(spark)).select(
+    return O.delivery_report(t.delivery_log, dims.http_codes(spark)).selectExpr(
         _big("org_id"), _iso("run_date"), _big("http_code"), "outcome", "description", "link"
     )
 
 
 def q_report_route(spark, sf_dir):
     t = FixtureTables(spark, sf_dir)
-    return O.report_route(t.delivery_log).select(_iso("run_date"), _big("weekday"), "weekday_label", "reports")
+    return O.report_route(t.delivery_log).selectExpr(_iso("run_date"), _big("weekday"), "weekday_label", "reports")
 
 
 # ------------------------------------------------------------- history
-def history_columns() -> list[Column]:
+def history_columns() -> list[str]:
     return [
         _big("org_id"),
-        F.col("econ_group"),
+        "econ_group",
         _big("crm_curve"),
         _iso("crm_first"),
         _iso("crm_last"),
@@ -320,8 +322,8 @@ def history_columns() -> list[Column]:
         _big("curve_changed"),
         _big("group_status_changed"),
         _ts("updated_at"),
-        F.col("run_id"),
-        F.col("change_code"),
+        "run_id",
+        "change_code",
     ]
 
 
@@ -338,7 +340,7 @@ def _two_runs(spark, sf_dir) -> list[tuple[DataFrame, _dt.datetime]]:
 
 def q_history_union(spark, sf_dir):
     runs = [writers.stamp_run(df, ts) for df, ts in _two_runs(spark, sf_dir)]
-    return writers.history_union(*runs).select(*history_columns())
+    return writers.history_union(*runs).selectExpr(*history_columns())
 
 
 def q_history_append_roundtrip(spark, sf_dir):
@@ -346,7 +348,7 @@ def q_history_append_roundtrip(spark, sf_dir):
     path = shared_path(spark, "history")
     for df, ts in _two_runs(spark, sf_dir):
         writers.append_history(df, path, ts)
-    return readers.read_history(spark, path).select(*history_columns())
+    return readers.read_history(spark, path).selectExpr(*history_columns())
 
 
 def q_csv_pipe_roundtrip(spark, sf_dir):
@@ -356,7 +358,7 @@ def q_csv_pipe_roundtrip(spark, sf_dir):
     path = shared_path(spark, "orgs-csv")
     writers.write_delimited(t.orgs, path, sep="|")
     back = readers.read_orgs_snapshot(spark, path, sep="|", columns=readers.IDENTITY_ORG_COLUMNS)
-    return back.select(
+    return back.selectExpr(
         _big("id"),
         "codes",
         "econ_group",
@@ -373,16 +375,14 @@ def q_date_coerce(spark, sf_dir):
     (valid), stored first dates (null where missing) and market-segment text
     (not dates)."""
     t = FixtureTables(spark, sf_dir)
-    r = run_for(spark, sf_dir)
     texts = (
-        r.span.select(F.lit("billing_first").alias("source"), F.col("client_code").alias("key"), day_key("first_billed").alias("raw"))
+        O.billing_span(t.invoices)
+        .selectExpr("'billing_first' AS source", "client_code AS key", "date_format(first_billed, 'yyyyMMdd') AS raw")
         .unionByName(
-            t.orgs.select(F.lit("crm_first").alias("source"), F.col("id").cast("string").alias("key"), day_key("crm_first").alias("raw"))
+            t.orgs.selectExpr("'crm_first' AS source", "CAST(id AS STRING) AS key", "date_format(crm_first, 'yyyyMMdd') AS raw")
         )
         .unionByName(
-            t.raw("customer").select(
-                F.lit("segment").alias("source"), F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("raw")
-            )
+            t.raw("customer").selectExpr("'segment' AS source", "CAST(c_custkey AS STRING) AS key", "c_mktsegment AS raw")
         )
     )
     return texts.select("source", "key", "raw", F.date_format(coerce_date("raw"), "yyyy-MM-dd").alias("parsed"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -31,8 +31,8 @@ from .. import config as C
 _RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
-def _cancelled(status: Column, key: Column) -> Column:
-    return (status == "P") & (key % 4 == 0)
+# An order of status 'P' on every 4th key stands for a cancelled invoice.
+_CANCELLED = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
 
 
 @dataclass
@@ -52,89 +52,56 @@ class FixtureTables:
 
     @cached_property
     def invoices(self) -> DataFrame:
-        o = self.raw("orders")
-        key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        return o.select(
-            F.col("o_custkey").cast("string").alias("client_code"),
-            F.col("o_orderdate").cast("date").alias("issue_date"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("gross"),
-            F.when(_cancelled(status, key), F.lit(C.CANCELLED_STATUS)).otherwise(status).alias("status"),
-            (key % 50).alias("nfe_no"),
+        return self.raw("orders").selectExpr(
+            "CAST(o_custkey AS STRING) AS client_code",
+            "CAST(o_orderdate AS DATE) AS issue_date",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS gross",
+            f"CASE WHEN {_CANCELLED} THEN '{C.CANCELLED_STATUS}' ELSE o_orderstatus END AS status",
+            "o_orderkey % 50 AS nfe_no",
         )
 
     @cached_property
     def employees(self) -> DataFrame:
-        o = self.raw("orders")
-        key = F.col("o_orderkey")
-        admitted = F.col("o_orderdate").cast("date")
-        return o.select(
-            F.col("o_custkey").cast("string").alias("client_code"),
-            key.cast("string").alias("employee_code"),
-            admitted.alias("admitted"),
-            F.when(key % 3 == 0, F.lit(None).cast("date"))
-            .otherwise(F.date_add(admitted, (key % 900).cast("int")))
-            .alias("dismissed"),
+        return self.raw("orders").selectExpr(
+            "CAST(o_custkey AS STRING) AS client_code",
+            "CAST(o_orderkey AS STRING) AS employee_code",
+            "CAST(o_orderdate AS DATE) AS admitted",
+            "CASE WHEN o_orderkey % 3 = 0 THEN CAST(NULL AS DATE) "
+            "ELSE date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 900 AS INT)) END AS dismissed",
         )
 
     @cached_property
     def orgs(self) -> DataFrame:
         c = self.raw("customer").select("c_custkey", "c_acctbal")
-        o = self.raw("orders")
         # Stored billing dates: the true span of the customer's non-cancelled orders.
-        span = (
-            o.where(~_cancelled(F.col("o_orderstatus"), F.col("o_orderkey")))
-            .groupBy("o_custkey")
-            .agg(
-                F.min(F.col("o_orderdate").cast("date")).alias("mn"),
-                F.max(F.col("o_orderdate").cast("date")).alias("mx"),
-            )
+        span = self.raw("orders").where(f"NOT ({_CANCELLED})").groupBy("o_custkey").agg(
+            F.min(F.col("o_orderdate").cast("date")).alias("mn"),
+            F.max(F.col("o_orderdate").cast("date")).alias("mx"),
         )
-        k = F.col("c_custkey")
-        null_int = F.lit(None).cast("int")
-        null_date = F.lit(None).cast("date")
-        return c.join(span, c.c_custkey == span.o_custkey, "left").select(
-            k.alias("id"),
-            F.when(k % 10 == 9, F.lit(None).cast("string"))
-            .when(k % 10 == 0, F.concat_ws(".", k.cast("string"), (k + 9).cast("string")))
-            .otherwise(k.cast("string"))
-            .alias("codes"),
-            F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string"))
-            .when(k % 20 == 9, F.concat(F.lit("SOLO_"), k.cast("string")))
-            .otherwise(F.concat(F.lit("GRP_"), F.floor(k / 4).cast("bigint").cast("string")))
-            .alias("econ_group"),
-            F.when(k % 8 == 0, F.lit(28))
-            .when(k % 8 == 1, F.lit(29))
-            .when(k % 8 == 2, null_int)
-            .otherwise(F.lit(27))
-            .alias("crm_curve"),
-            F.when(k % 7 == 0, null_date).otherwise(F.col("mn")).alias("crm_first"),
-            F.when(k % 4 == 0, null_date)
-            .when(k % 4 == 1, F.date_sub(F.col("mx"), 30))
-            .otherwise(F.col("mx"))
-            .alias("crm_last"),
-            F.when(k % 5 == 0, null_int).when(k % 5 == 1, F.lit(172)).otherwise(F.lit(171)).alias("crm_status"),
-            F.when(k % 7 == 0, null_int)
-            .when(k % 7 == 1, F.lit(655))
-            .when(k % 20 == 9, F.lit(700))
-            .otherwise(F.lit(654))
-            .alias("crm_group_status"),
+        return c.join(span, c["c_custkey"] == span["o_custkey"], "left").selectExpr(
+            "c_custkey AS id",
+            "CASE WHEN c_custkey % 10 = 9 THEN CAST(NULL AS STRING) "
+            "WHEN c_custkey % 10 = 0 THEN concat_ws('.', CAST(c_custkey AS STRING), CAST(c_custkey + 9 AS STRING)) "
+            "ELSE CAST(c_custkey AS STRING) END AS codes",
+            "CASE WHEN c_acctbal < 0 THEN CAST(NULL AS STRING) "
+            "WHEN c_custkey % 20 = 9 THEN concat('SOLO_', CAST(c_custkey AS STRING)) "
+            "ELSE concat('GRP_', CAST(CAST(floor(c_custkey / 4) AS BIGINT) AS STRING)) END AS econ_group",
+            "CASE c_custkey % 8 WHEN 0 THEN 28 WHEN 1 THEN 29 WHEN 2 THEN CAST(NULL AS INT) ELSE 27 END AS crm_curve",
+            "CASE WHEN c_custkey % 7 = 0 THEN CAST(NULL AS DATE) ELSE mn END AS crm_first",
+            "CASE WHEN c_custkey % 4 = 0 THEN CAST(NULL AS DATE) WHEN c_custkey % 4 = 1 THEN date_sub(mx, 30) "
+            "ELSE mx END AS crm_last",
+            "CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS INT) WHEN c_custkey % 5 = 1 THEN 172 ELSE 171 END AS crm_status",
+            "CASE WHEN c_custkey % 7 = 0 THEN CAST(NULL AS INT) WHEN c_custkey % 7 = 1 THEN 655 "
+            "WHEN c_custkey % 20 = 9 THEN 700 ELSE 654 END AS crm_group_status",
         )
 
     @cached_property
     def delivery_log(self) -> DataFrame:
-        e = self.raw("events").select("event_id", "event_type", "ts")
-        t = F.col("event_type")
-        code = (
-            F.when(t == "view", F.lit(200))
-            .when(t == "click", F.lit(201))
-            .when(t == "purchase", F.lit(404))
-            .when(t == "error", F.lit(500))
-            .otherwise(F.lit(None).cast("int"))
-        )
-        return e.select(
-            F.col("event_id").alias("org_id"),
-            code.alias("http_code"),
-            F.col("ts").cast("date").alias("run_date"),
+        return self.raw("events").selectExpr(
+            "event_id AS org_id",
+            "CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 201 WHEN 'purchase' THEN 404 "
+            "WHEN 'error' THEN 500 ELSE CAST(NULL AS INT) END AS http_code",
+            "CAST(ts AS DATE) AS run_date",
         )
 
 
