@@ -10,9 +10,10 @@ once per run and read by every later step):
 * the per-group table with its per-range-partition running sums inside the
   ABC curve (see operators.prefix).
 
-Everything else is lazy. ``write_outputs`` is the scheduled job: it also
-materialises the flagged organisation table (it feeds five outputs) and
-writes every output with one job each.
+Everything else is lazy. ``write_outputs`` is the scheduled job: it writes
+every output once and reads the stored tables back as the inputs of the
+outputs derived from them (flagged frame -> changes -> reports; headcount ->
+demand -> profile).
 """
 
 from __future__ import annotations
@@ -165,30 +166,40 @@ class BillingRun:
 
     # -------------------------------------------------------------- the job
     def write_outputs(self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None) -> dict[str, str]:
-        """Write every output under ``out_dir`` (a shared folder). Returns the
-        paths written. The flagged table is checkpointed once and reused."""
+        """Write every output under ``out_dir`` (a shared folder) and return
+        the paths. An output that later outputs derive from is written once
+        and read back as their input, so no chain is computed twice and the
+        lineage of every later step starts at a stored table."""
+        spark = self.orgs.sparkSession
         out = out_dir.rstrip("/")
         paths: dict[str, str] = {}
-        flagged = self.flagged.checkpoint(eager=True)
-        changed = O.changed_orgs(flagged)
-        paths["group_revenue"] = writers.write_table(self.abc, f"{out}/group_revenue")
-        paths["org_frame"] = writers.write_table(flagged, f"{out}/org_frame")
-        paths["changed_orgs"] = writers.write_table(changed, f"{out}/changed_orgs")
-        paths["curve_summary"] = writers.write_table(O.curve_summary(changed), f"{out}/curve_summary")
-        paths["curve_movers"] = writers.write_table(O.curve_movers(changed), f"{out}/curve_movers")
-        outbox = O.update_outbox(changed).withColumn("run_date", F.lit(self.cfg.as_of))
-        paths["update_outbox"] = writers.write_partitioned_by_run_date(
-            O.update_payload(outbox, self.cfg.field_keys).join(outbox, "id"), f"{out}/update_outbox"
+
+        def put(df: DataFrame, name: str) -> DataFrame:
+            paths[name] = writers.write_table(df, f"{out}/{name}")
+            return spark.read.parquet(paths[name])
+
+        put(self.abc, "group_revenue")
+        flagged = put(self.flagged, "org_frame")
+        changed = put(O.changed_orgs(flagged), "changed_orgs")
+        put(O.curve_summary(changed), "curve_summary")
+        put(O.curve_movers(changed), "curve_movers")
+        outbox = O.update_outbox(changed)
+        records = O.update_payload(outbox, self.cfg.field_keys).join(outbox, "id").withColumn(
+            "run_date", F.lit(self.cfg.as_of)
         )
+        paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{out}/update_outbox")
         paths["history"] = writers.append_history(changed, f"{out}/history", self.cfg.run_ts)
-        paths["headcount"] = writers.write_table(self.headcount, f"{out}/headcount")
-        paths["demand"] = writers.write_table(self.demand, f"{out}/demand")
-        profile = self.profile
+
+        headcount = put(self.headcount, "headcount")
+        demand = put(O.demand_mom(headcount), "demand")
+        profile = O.rdm_profile(
+            O.mean_demand(demand, self.active_groups), self.group_rev, self.group_span, self.cfg.as_of
+        )
         if dim_recency is not None:
             profile = O.segment(profile, dim_recency, "days_since_last", "recency_segment")
         if dim_demand is not None:
             profile = O.segment(profile, dim_demand, "mean_demand", "demand_segment", DEMAND_PRECISION)
-        paths["rdm_profile"] = writers.write_table(profile, f"{out}/rdm_profile")
+        put(profile, "rdm_profile")
         if self.delivery_log is not None and http_codes is not None:
             paths["delivery_report"] = writers.write_partitioned_by_run_date(
                 O.delivery_report(self.delivery_log, http_codes), f"{out}/delivery_report"
