@@ -92,8 +92,12 @@ class BillingRun:
 
     @cached_property
     def org_status(self) -> DataFrame:
-        """Snapshot + computed class, dates, recency and status (no roll-up)."""
-        frame = self.org_abc.join(self.org_dates, "id", "left")
+        """Snapshot + computed class, dates, recency and status (no roll-up).
+
+        Dates are joined on ``id`` first, so the class join, the group
+        roll-up aggregate and its join-back all run on one ``econ_group``
+        partitioning of the organisation frame."""
+        frame = O.org_abc(self.orgs.join(self.org_dates, "id", "left"), self.abc)
         return O.activity_status(frame, self.cfg.as_of, self.cfg.active_days)
 
     @cached_property
