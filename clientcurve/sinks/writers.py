@@ -35,9 +35,10 @@ def stamp_run(df: DataFrame, run_ts: _dt.datetime, id_col: str = "id") -> DataFr
     """Add ``updated_at`` (the run timestamp) and ``run_id``; expose the
     organisation id as ``org_id``."""
     out = df.withColumnRenamed(id_col, "org_id") if id_col in df.columns and id_col != "org_id" else df
-    return out.withColumn("updated_at", F.lit(run_ts).cast("timestamp")).withColumn(
-        "run_id", F.lit(run_ts.strftime("%Y%m%dT%H%M%S"))
-    )
+    # Wall-clock run time without a zone: reads back identically under any
+    # session time zone.
+    stamp = F.to_timestamp_ntz(F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")))
+    return out.withColumns({"updated_at": stamp, "run_id": F.lit(run_ts.strftime("%Y%m%dT%H%M%S"))})
 
 
 def append_history(df: DataFrame, path: str, run_ts: _dt.datetime, id_col: str = "id") -> str:

@@ -59,3 +59,32 @@ def test_query_matches_oracle(spark, con, name):
     assert res["cols_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
+
+
+def test_spark_submit_job(spark):
+    """The job entry point on files laid out as in production: model-named
+    Parquet tables and the CRM snapshot as a pipe file with its own header."""
+    from clientcurve.plans import job
+    from clientcurve.sources import readers
+    from clientcurve.sources.fixtures import FixtureTables
+    from clientcurve.sinks import writers
+
+    t = FixtureTables(spark, SF_SMALL)
+    base = shared_path(spark, "job")
+    t.invoices.write.parquet(f"{base}/invoices")
+    t.employees.write.parquet(f"{base}/employees")
+    t.delivery_log.write.parquet(f"{base}/log")
+    crm = t.orgs.select([t.orgs[v].alias(k) for k, v in readers.ORG_SNAPSHOT_COLUMNS.items()])
+    writers.write_delimited(crm, f"{base}/orgs", sep="|")
+    paths = job.main(
+        [
+            "--invoices", f"{base}/invoices",
+            "--employees", f"{base}/employees",
+            "--orgs", f"{base}/orgs",
+            "--delivery-log", f"{base}/log",
+            "--out", f"{base}/out",
+            "--as-of", "2001-08-01",
+        ]
+    )
+    assert spark.read.parquet(paths["changed_orgs"]).count() == 138
+    assert spark.read.parquet(paths["delivery_report"]).count() == 1000
