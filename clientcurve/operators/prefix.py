@@ -22,16 +22,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
 _PART = "_rs_part"
 _LOCAL = "_rs_local"
+_UNITS = "_rs_units"
 _TOTAL = "_rs_total"
 _OFFSET = "_rs_offset"
 _GRAND = "_rs_grand"
 
 
+def _scale(df: DataFrame, value: str) -> int | None:
+    t = df.schema[value].dataType
+    return t.scale if isinstance(t, T.DecimalType) else None
+
+
 def running_sum(
     df: DataFrame,
     value: str,
@@ -43,17 +50,26 @@ def running_sum(
 ) -> DataFrame:
     """Add ``out`` = running total of ``value`` in ``(value, tiebreak)`` order
     (ROWS frame: ties on ``value`` are ordered by ``tiebreak``, never merged),
-    and optionally ``total_out`` = the grand total."""
+    and optionally ``total_out`` = the grand total.
+
+    A DECIMAL value is summed as exact integer units of its scale (cents for
+    money) in BIGINT: wide decimals are summed through BigDecimal, integers
+    stay in generated code; an overflow raises under ANSI instead of
+    wrapping. Results are turned back into DECIMAL(38, scale)."""
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value)
     order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
+    scale = _scale(df, value)
+    units = (v * F.lit(10**scale)).cast("bigint") if scale is not None else v
 
-    ranged = df.repartitionByRange(max(1, n), *order).withColumn(_PART, F.spark_partition_id())
+    ranged = df.repartitionByRange(max(1, n), *order).withColumns(
+        {_PART: F.spark_partition_id(), _UNITS: units}
+    )
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = materialize(ranged.withColumn(_LOCAL, F.sum(v).over(w_local)))
+    local = materialize(ranged.withColumn(_LOCAL, F.sum(_UNITS).over(w_local)))
 
-    totals = local.groupBy(_PART).agg(F.sum(v).alias(_TOTAL))
+    totals = local.groupBy(_PART).agg(F.sum(_UNITS).alias(_TOTAL))
     # At most n rows: a single-partition window is fine here.
     w_prev = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -62,10 +78,16 @@ def running_sum(
         F.coalesce(F.sum(_TOTAL).over(w_prev), F.lit(0)).alias(_OFFSET),
         F.sum(_TOTAL).over(w_all).alias(_GRAND),
     )
-    res = local.join(F.broadcast(offsets), _PART).withColumn(out, F.col(_LOCAL) + F.col(_OFFSET))
+
+    def back(c):
+        if scale is None:
+            return c
+        return (c.cast(f"decimal(38,0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
+
+    res = local.join(F.broadcast(offsets), _PART).withColumn(out, back(F.col(_LOCAL) + F.col(_OFFSET)))
     if total_out:
-        res = res.withColumn(total_out, F.col(_GRAND))
-    return res.drop(_PART, _LOCAL, _OFFSET, _GRAND)
+        res = res.withColumn(total_out, back(F.col(_GRAND)))
+    return res.drop(_PART, _UNITS, _LOCAL, _OFFSET, _GRAND)
 
 
 def running_sum_single_partition(
