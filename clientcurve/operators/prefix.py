@@ -56,21 +56,22 @@ def running_sum(
     money) in BIGINT: wide decimals are summed through BigDecimal, integers
     stay in generated code; an overflow raises under ANSI instead of
     wrapping. Results are turned back into DECIMAL(38, scale)."""
-    spark = df.sparkSession
-    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value)
     order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
     scale = _scale(df, value)
     units = (v * F.lit(10**scale)).cast("bigint") if scale is not None else v
 
-    ranged = df.repartitionByRange(max(1, n), *order).withColumns(
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalescing merges neighbouring ranges, so partition ids stay in order).
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
+    ranged = ranged.withColumns(
         {_PART: F.spark_partition_id(), _UNITS: units}
     )
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = materialize(ranged.withColumn(_LOCAL, F.sum(_UNITS).over(w_local)))
 
     totals = local.groupBy(_PART).agg(F.sum(_UNITS).alias(_TOTAL))
-    # At most n rows: a single-partition window is fine here.
+    # One row per range partition: a single-partition window is fine here.
     w_prev = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
