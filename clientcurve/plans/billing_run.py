@@ -132,7 +132,12 @@ class BillingRun:
     # -------------------------------------------------- headcount and demand
     @cached_property
     def active_groups(self) -> DataFrame:
-        return self.group_rev.select("econ_group")
+        """Groups with revenue in the window. Taken from the materialised
+        per-client facts when this run already has them; otherwise from the
+        windowed invoices alone (a date-pruned scan, no full-history pass)."""
+        if "facts" in self.__dict__:
+            return self.group_rev.select("econ_group")
+        return O.group_revenue(self.client_rev, self.code_map).select("econ_group")
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -160,7 +165,8 @@ class BillingRun:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return O.rdm_profile(self.mean_demand, self.group_rev, self.group_span, self.cfg.as_of)
+        group_rev = self.group_rev  # materialises facts first: active groups then reuse them
+        return O.rdm_profile(self.mean_demand, group_rev, self.group_span, self.cfg.as_of)
 
     def recency_segments(self, dim_recency: DataFrame) -> DataFrame:
         return O.segment(self.profile, dim_recency, "days_since_last", "recency_segment")

@@ -373,7 +373,6 @@ def _history_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    first, last = _window_months(AS_OF)
     recency = _values(C.RECENCY_SEGMENTS, ["r_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "INTEGER", "INTEGER"])
     demand = _values(C.DEMAND_SEGMENTS, ["d_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "DOUBLE", "DOUBLE"])
     http = _values(
@@ -517,5 +516,4 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT run_date FROM delivery_log WHERE run_date IS NOT NULL)"""
         ),
     }
-    del first, last
     return q
