@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, lit_date
+from ..sources.dims import MAX_DIM_ROWS, fits_broadcast
 
 
 def rdm_profile(mean_demand: DataFrame, group_rev: DataFrame, group_span: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -29,8 +30,12 @@ def segment(df: DataFrame, dim: DataFrame, value: str, out: str, precision: int
     that prints as a bound (0.04) is classified like the bound, whatever the
     summation order that produced it.
 
-    ``dim`` is a fixed dimension of a handful of rows (see sources.dims), so
-    it is broadcast; the range join then runs map-side next to the data."""
+    ``dim`` is a segment table of a handful of rows; it is broadcast after a
+    bounded size check, so the range join runs map-side next to the data. A
+    dimension too large to broadcast is refused rather than turned into a
+    cross product."""
+    if not fits_broadcast(dim):
+        raise ValueError(f"segment dimension exceeds {MAX_DIM_ROWS} rows; it cannot be broadcast")
     d = dim.select(F.col("segment").alias(out), F.col("lo").alias("_seg_lo"), F.col("hi").alias("_seg_hi"))
     v = F.col(value) if precision is None else F.round(F.col(value), precision)
     return df.join(F.broadcast(d), (v >= F.col("_seg_lo")) & (v <= F.col("_seg_hi")), "left").drop(
