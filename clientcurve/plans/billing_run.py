@@ -8,7 +8,9 @@ once per run and read by every later step):
   client (billing span + window revenue); the fact table is scanned once,
   and every later step (revenue, dates, roll-up, profile) reads this table;
 * the per-group table with its per-range-partition running sums inside the
-  ABC curve (see operators.prefix).
+  ABC curve (see operators.prefix);
+* ``org_status`` - the organisation frame before the group roll-up, which
+  reads it twice (grouped MIN and join back).
 
 Everything else is lazy. ``write_outputs`` is the scheduled job: it writes
 every output once and reads the stored tables back as the inputs of the
@@ -98,7 +100,9 @@ class BillingRun:
         roll-up aggregate and its join-back all run on one ``econ_group``
         partitioning of the organisation frame."""
         frame = O.org_abc(self.orgs.join(self.org_dates, "id", "left"), self.abc)
-        return O.activity_status(frame, self.cfg.as_of, self.cfg.active_days)
+        # Materialised: the group roll-up reads this frame twice (grouped MIN
+        # and the join back), which would otherwise recompute its joins.
+        return materialize(O.activity_status(frame, self.cfg.as_of, self.cfg.active_days))
 
     @cached_property
     def org_rollup(self) -> DataFrame:
