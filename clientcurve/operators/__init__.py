@@ -15,7 +15,7 @@ from .changes import (
 from .codes import explode_codes, split_codes
 from .demand import demand_mom, mean_demand
 from .headcount import active_headcount, headcount_intervals
-from .outbox import delivery_report, outbox_change_code, update_outbox, update_payload
+from .outbox import delivery_report, outbox_change_code, payload_column, update_outbox, update_payload
 from .prefix import running_sum, running_sum_single_partition
 from .revenue import (
     billable,
@@ -61,6 +61,7 @@ __all__ = [
     "month_calendar",
     "org_abc",
     "outbox_change_code",
+    "payload_column",
     "org_billing_span",
     "org_dates",
     "rdm_profile",

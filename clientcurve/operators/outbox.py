@@ -46,9 +46,9 @@ def update_outbox(changed: DataFrame) -> DataFrame:
     )
 
 
-def update_payload(outbox: DataFrame, field_keys: dict | None = None) -> DataFrame:
-    """(id, payload): the outbox record as a JSON object keyed by the CRM
-    field keys; null values are left out (to_json drops null fields)."""
+def payload_column(field_keys: dict | None = None):
+    """The outbox record as a JSON object keyed by the CRM field keys; null
+    values are left out (to_json drops null fields)."""
     keys = field_keys or C.FIELD_KEYS
     fields = [
         F.col("status").cast("int").alias(keys["status"]),
@@ -57,7 +57,12 @@ def update_payload(outbox: DataFrame, field_keys: dict | None = None) -> DataFra
         F.date_format("last_billed", "yyyy-MM-dd").alias(keys["last_billed"]),
         F.col("group_status").cast("int").alias(keys["group_status"]),
     ]
-    return outbox.select("id", F.to_json(F.struct(*fields)).alias("payload"))
+    return F.to_json(F.struct(*fields))
+
+
+def update_payload(outbox: DataFrame, field_keys: dict | None = None) -> DataFrame:
+    """(id, payload) for every outbox record."""
+    return outbox.select("id", payload_column(field_keys).alias("payload"))
 
 
 def delivery_report(log: DataFrame, http_codes: DataFrame) -> DataFrame:

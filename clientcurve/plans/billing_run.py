@@ -198,8 +198,8 @@ class BillingRun:
         put(O.curve_summary(changed), "curve_summary")
         put(O.curve_movers(changed), "curve_movers")
         outbox = O.update_outbox(changed)
-        records = O.update_payload(outbox, self.cfg.field_keys).join(outbox, "id").withColumn(
-            "run_date", F.lit(self.cfg.as_of)
+        records = outbox.select(
+            "*", O.payload_column(self.cfg.field_keys).alias("payload"), F.lit(self.cfg.as_of).alias("run_date")
         )
         paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{out}/update_outbox")
         paths["history"] = writers.append_history(changed, f"{out}/history", self.cfg.run_ts)
