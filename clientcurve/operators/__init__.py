@@ -22,9 +22,10 @@ from .revenue import (
     client_facts,
     client_group_join,
     client_month_revenue,
+    group_facts,
     group_revenue,
+    group_window_revenue,
     total_revenue,
-    window_totals,
 )
 from .segments import rdm_profile, segment
 from .status import activity_status, group_status_rollup
@@ -53,9 +54,11 @@ __all__ = [
     "flag_group_status_change",
     "flag_status_change",
     "group_billing_span",
+    "group_facts",
     "group_month_grid",
     "group_revenue",
     "group_status_rollup",
+    "group_window_revenue",
     "headcount_intervals",
     "mean_demand",
     "month_calendar",
@@ -73,5 +76,4 @@ __all__ = [
     "total_revenue",
     "update_outbox",
     "update_payload",
-    "window_totals",
 ]

@@ -60,9 +60,27 @@ def client_facts(invoices: DataFrame, as_of: _dt.date, window_days: int = C.WIND
     )
 
 
-def window_totals(facts: DataFrame) -> DataFrame:
-    """(client_code, gross) for the clients with revenue rows in the window."""
-    return facts.where(F.col("window_rows") > 0).select("client_code", F.col("window_gross").alias("gross"))
+def group_facts(facts: DataFrame, code_map: DataFrame) -> DataFrame:
+    """One row per economic group from one join of the per-client facts with
+    the code map: (econ_group, window_gross, window_rows, first_billed,
+    last_billed). Window revenue, the active-group set and the group billing
+    span are all read from this table."""
+    m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
+    joined = facts.join(m, facts["client_code"] == m["code"], "inner")
+    return joined.groupBy("econ_group").agg(
+        F.sum("window_gross").alias("window_gross"),
+        F.sum("window_rows").alias("window_rows"),
+        F.min("first_billed").alias("first_billed"),
+        F.max("last_billed").alias("last_billed"),
+    )
+
+
+def group_window_revenue(gfacts: DataFrame) -> DataFrame:
+    """(econ_group, gross) for the groups with revenue rows in the window; a
+    group whose window rows all have a null amount gets 0."""
+    return gfacts.where(F.col("window_rows") > 0).select(
+        "econ_group", F.coalesce(F.col("window_gross"), F.lit(0)).cast("decimal(38,2)").alias("gross")
+    )
 
 
 def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
@@ -73,19 +91,15 @@ def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     return client_rev.join(m, client_rev["client_code"] == m["code"], "left").drop("code")
 
 
-def group_revenue(client_rev: DataFrame, code_map: DataFrame, one_row_per_client: bool = False) -> DataFrame:
+def group_revenue(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     """(econ_group, gross): window revenue per economic group; a group whose
     revenue rows are all null gets 0.
 
-    ``client_rev`` is either the client-month table or the per-client window
-    totals (:func:`window_totals`). Rows are summed per client *before* the
-    join (sum distributes over the join's fan-out), so the join sees one row
-    per client; partial aggregation happens map-side on both sums."""
-    per_client = (
-        client_rev.select("client_code", "gross")
-        if one_row_per_client
-        else client_rev.groupBy("client_code").agg(F.sum("gross").alias("gross"))
-    )
+    Months are summed per client *before* the join (sum distributes over the
+    join's fan-out), so the join sees one row per client; partial
+    aggregation happens map-side on both sums. (A run reads the same figure
+    from :func:`group_facts`.)"""
+    per_client = client_rev.groupBy("client_code").agg(F.sum("gross").alias("gross"))
     m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
     joined = per_client.join(m, per_client["client_code"] == m["code"], "inner")
     return joined.groupBy("econ_group").agg(sum_or_zero("gross").cast("decimal(38,2)").alias("gross"))

@@ -7,6 +7,8 @@ once per run and read by every later step):
 * ``facts`` - the single reduction of the invoice history, one row per
   client (billing span + window revenue); the fact table is scanned once,
   and every later step (revenue, dates, roll-up, profile) reads this table;
+* ``group_facts`` - the single group-level reduction of ``facts`` through
+  the code map (window revenue, active-group set, group billing span);
 * the per-group table with its per-range-partition running sums inside the
   ABC curve (see operators.prefix);
 * ``org_status`` - the organisation frame before the group roll-up, which
@@ -66,9 +68,13 @@ class BillingRun:
     def facts(self) -> DataFrame:
         return materialize(O.client_facts(self.invoices, self.cfg.as_of, self.cfg.window_days))
 
+    @cached_property
+    def group_facts(self) -> DataFrame:
+        return materialize(O.group_facts(self.facts, self.code_map))
+
     @cached_property
     def group_rev(self) -> DataFrame:
-        return O.group_revenue(O.window_totals(self.facts), self.code_map, one_row_per_client=True)
+        return O.group_window_revenue(self.group_facts)
 
     @cached_property
     def abc(self) -> DataFrame:
@@ -136,12 +142,8 @@ class BillingRun:
     # -------------------------------------------------- headcount and demand
     @cached_property
     def active_groups(self) -> DataFrame:
-        """Groups with revenue in the window. Taken from the materialised
-        per-client facts when this run already has them; otherwise from the
-        windowed invoices alone (a date-pruned scan, no full-history pass)."""
-        if "facts" in self.__dict__:
-            return self.group_rev.select("econ_group")
-        return O.group_revenue(self.client_rev, self.code_map).select("econ_group")
+        """Groups with revenue in the window."""
+        return self.group_rev.select("econ_group")
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -165,12 +167,11 @@ class BillingRun:
 
     @cached_property
     def group_span(self) -> DataFrame:
-        return O.group_billing_span(self.code_map, self.span)
+        return self.group_facts.select("econ_group", "first_billed", "last_billed")
 
     @cached_property
     def profile(self) -> DataFrame:
-        group_rev = self.group_rev  # materialises facts first: active groups then reuse them
-        return O.rdm_profile(self.mean_demand, group_rev, self.group_span, self.cfg.as_of)
+        return O.rdm_profile(self.mean_demand, self.group_rev, self.group_span, self.cfg.as_of)
 
     def recency_segments(self, dim_recency: DataFrame) -> DataFrame:
         return O.segment(self.profile, dim_recency, "days_since_last", "recency_segment")
