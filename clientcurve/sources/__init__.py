@@ -5,6 +5,7 @@ from .fixtures import FixtureTables, fixture_tables
 from .readers import (
     employees_from_source,
     invoices_from_source,
+    jdbc_query,
     jdbc_table,
     orgs_from_text,
     read_delimited_text,
@@ -22,6 +23,7 @@ __all__ = [
     "fixture_tables",
     "http_codes",
     "invoices_from_source",
+    "jdbc_query",
     "jdbc_table",
     "orgs_from_text",
     "read_delimited_text",

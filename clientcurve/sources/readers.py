@@ -80,6 +80,17 @@ def jdbc_table(
     return reader.load()
 
 
+def jdbc_query(spark: SparkSession, url: str, query: str, properties: dict | None = None, fetch_size: int = 10000) -> DataFrame:
+    """The result of a SQL statement run by the database itself (e.g. a
+    GROUP BY that should be reduced at the source before crossing the
+    network). Spark wraps it as a subquery; it is read by one task, so use
+    it for already-reduced results and :func:`jdbc_table` for bulk reads."""
+    reader = spark.read.format("jdbc").option("url", url).option("query", query).option("fetchsize", fetch_size)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    return reader.load()
+
+
 def invoices_from_source(df: DataFrame, columns: dict = INVOICE_COLUMNS) -> DataFrame:
     """Source invoice rows -> ``invoices`` model (types per schemas.INVOICES)."""
     c = {v: F.col(_q(k)) for k, v in columns.items()}
