@@ -14,8 +14,9 @@
    the grand total, and are broadcast back (size bounded by the partition
    count, not by the data).
 
-With DECIMAL input every step is exact, so the result does not depend on
-the partitioning: it equals the single-partition window bit for bit.
+Sums are exact (a DECIMAL value is summed as integer units of its scale),
+so the result does not depend on the partitioning: it equals the
+single-partition window bit for bit.
 """
 
 from __future__ import annotations
@@ -63,10 +64,8 @@ def running_sum(
 
     # Without an explicit count AQE sizes the range partitions from the data
     # (coalescing merges neighbouring ranges, so partition ids stay in order).
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
-    ranged = ranged.withColumns(
-        {_PART: F.spark_partition_id(), _UNITS: units}
-    )
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = ranged.withColumns({_PART: F.spark_partition_id(), _UNITS: units})
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = materialize(ranged.withColumn(_LOCAL, F.sum(_UNITS).over(w_local)))
 
