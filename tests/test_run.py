@@ -88,3 +88,15 @@ def test_spark_submit_job(spark):
     )
     assert spark.read.parquet(paths["changed_orgs"]).count() == 138
     assert spark.read.parquet(paths["delivery_report"]).count() == 1000
+
+
+def test_outbox_has_exactly_the_changed_ids_and_rollup_is_constant(spark):
+    r = run_for(spark, "/root/testdata/sf0.01")
+    changed = {row["id"] for row in r.changed.select("id").collect()}
+    outbox = [row["id"] for row in r.outbox.select("id").collect()]
+    assert len(outbox) == len(set(outbox)) and set(outbox) == changed
+    per_group = r.org_rollup.where("econ_group IS NOT NULL").groupBy("econ_group").agg(
+        {"group_status": "count"}
+    )
+    distinct = r.org_rollup.where("econ_group IS NOT NULL").select("econ_group", "group_status").distinct()
+    assert distinct.count() == per_group.count()
