@@ -93,7 +93,7 @@ def running_sum(
 def running_sum_single_partition(
     df: DataFrame, value: str, tiebreak: str, out: str = "cum", total_out: str | None = "total", descending: bool = True
 ) -> DataFrame:
-    """Reference form with one global window (all rows in one task). Kept for
+    """Baseline form with one global window (all rows in one task). Kept for
     tests and as the benchmark comparison point; not used by the library."""
     v = F.col(value)
     order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
