@@ -61,7 +61,7 @@ def test_query_matches_oracle(spark, con, name):
     assert res["values_match"], res
 
 
-def test_spark_submit_job(spark):
+def test_spark_submit_job(spark, tmp_path):
     """The job entry point on files laid out as in production: model-named
     Parquet tables and the CRM snapshot as a pipe file with its own header."""
     from clientcurve.plans import job
@@ -76,8 +76,27 @@ def test_spark_submit_job(spark):
     t.delivery_log.write.parquet(f"{base}/log")
     crm = t.orgs.select([t.orgs[v].alias(k) for k, v in readers.ORG_SNAPSHOT_COLUMNS.items()])
     writers.write_delimited(crm, f"{base}/orgs", sep="|")
+    import json
+
+    from clientcurve import config as C
+
+    seg = tmp_path / "segments.json"
+    seg.write_text(
+        json.dumps(
+            {
+                "DimRecencia": [dict(zip(["R_ID", "R_Segmento", "minimo", "maximo"], r)) for r in C.RECENCY_SEGMENTS],
+                "DimDemanda": [dict(zip(["D_ID", "D_Segmento", "minimo", "maximo"], r)) for r in C.DEMAND_SEGMENTS],
+            },
+            indent=2,
+        ),
+        encoding="utf-8",
+    )
+    codes = tmp_path / "codes.csv"
+    codes.write_bytes("\ufeffCode;Descr;Link;Descr\n200;OK;https://x/200;ok\n404;Not Found;https://x/404;\n".encode("utf-8"))
     paths = job.main(
         [
+            "--segments", str(seg),
+            "--http-codes", str(codes),
             "--invoices", f"{base}/invoices",
             "--employees", f"{base}/employees",
             "--orgs", f"{base}/orgs",
@@ -87,7 +106,11 @@ def test_spark_submit_job(spark):
         ]
     )
     assert spark.read.parquet(paths["changed_orgs"]).count() == 138
-    assert spark.read.parquet(paths["delivery_report"]).count() == 1000
+    report = spark.read.parquet(paths["delivery_report"])
+    assert report.count() == 1000
+    assert {r["description"] for r in report.where("http_code = 404").select("description").distinct().collect()} == {"Not Found"}
+    prof = spark.read.parquet(paths["rdm_profile"])
+    assert prof.where("recency_segment IS NOT NULL").count() > 0
 
 
 def test_outbox_has_exactly_the_changed_ids_and_rollup_is_constant(spark):
