@@ -85,10 +85,21 @@ def group_window_revenue(gfacts: DataFrame) -> DataFrame:
 
 def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     """Every client-month row with the group of each organisation owning the
-    client's code (left join: unmatched rows keep a null group; a code owned
-    by several organisations repeats the row)."""
-    m = code_map.select(F.col("code"), F.col("econ_group"))
-    return client_rev.join(m, client_rev["client_code"] == m["code"], "left").drop("code")
+    client's code (left-join semantics: unmatched rows keep a null group; a
+    code owned by several organisations repeats the row).
+
+    Written as inner join + anti join instead of one LEFT join: a code shared
+    by a large share of the organisations is a hot key on the *right* side,
+    which AQE cannot split in a left outer join but can in an inner join. The
+    anti join only needs the distinct codes, so a hot code collapses to one
+    row before its shuffle."""
+    m = code_map.select("code", "econ_group")
+    matched = client_rev.join(m, client_rev["client_code"] == m["code"], "inner").drop("code")
+    codes = code_map.select("code").distinct()
+    unmatched = client_rev.join(codes, client_rev["client_code"] == codes["code"], "left_anti").withColumn(
+        "econ_group", F.lit(None).cast("string")
+    )
+    return matched.unionByName(unmatched)
 
 
 def group_revenue(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:

@@ -65,3 +65,19 @@ def test_headcount_with_a_hot_group(spark):
                 want[(g, m)] += n
     assert got == dict(want)
     assert got[("HOT", "202406")] > 0
+
+
+def test_client_group_join_with_a_hot_code(spark, orgs_df):
+    # one contract code owned by 300 organisations, one code owned by none
+    orgs = orgs_df([{"id": i, "codes": "5", "econ_group": f"G{i % 7}"} for i in range(300)] + [{"id": 999, "codes": "8", "econ_group": None}])
+    rev = spark.createDataFrame(
+        [("5", "202401", None, None, None), ("6", "202401", None, None, None), ("8", "202402", None, None, None)],
+        "client_code string, month string, gross decimal(28,2), last_billed date, first_billed date",
+    )
+    out = O.client_group_join(rev, O.explode_codes(orgs)).collect()
+    by_code = defaultdict(list)
+    for r in out:
+        by_code[r["client_code"]].append(r["econ_group"])
+    assert len(by_code["5"]) == 300 and sorted(set(by_code["5"])) == [f"G{k}" for k in range(7)]
+    assert by_code["6"] == [None]  # no owner: kept once with a null group
+    assert by_code["8"] == [None]  # owner without a group
