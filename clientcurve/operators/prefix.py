@@ -6,7 +6,8 @@
    samples the *composite* key for the bounds, so even a value shared by a
    third of the rows is split across partitions by the tie-break column;
 2. one window pass per range partition gives the running total inside the
-   partition (partition id taken from ``spark_partition_id``);
+   partition (partition id taken from ``spark_partition_id``; a range
+   exchange on that id gives each range its own reducer);
 3. that result is checkpointed to the shared checkpoint folder: the range
    bounds come from a sample, and pinning the partition ids keeps the next
    two steps consistent even if executors are lost and work is recomputed;
@@ -48,6 +49,7 @@ def running_sum(
     total_out: str | None = "total",
     descending: bool = True,
     num_partitions: int | None = None,
+    regroup: str = "range",
 ) -> DataFrame:
     """Add ``out`` = running total of ``value`` in ``(value, tiebreak)`` order
     (ROWS frame: ties on ``value`` are ordered by ``tiebreak``, never merged),
@@ -66,6 +68,12 @@ def running_sum(
     # (coalescing merges neighbouring ranges, so partition ids stay in order).
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
     ranged = ranged.withColumns({_PART: F.spark_partition_id(), _UNITS: units})
+    if regroup == "range":
+        # Bring each range to its own partition for the per-range window: the
+        # ids are distinct and sorted, so a range exchange maps them one to one
+        # (a hash exchange may put two ranges on one reducer), and the window
+        # then needs no further exchange.
+        ranged = ranged.repartitionByRange(_PART)
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = materialize(ranged.withColumn(_LOCAL, F.sum(_UNITS).over(w_local)))
 
