@@ -46,9 +46,11 @@ def append_history(df: DataFrame, path: str, run_ts: _dt.datetime, id_col: str =
 
     Uses dynamic partition overwrite: only the partition of this run is
     (re)written, earlier runs are untouched. Cost is O(rows of this run); the
-    history is never read back and rewritten."""
+    history is never read back and rewritten. ``rebalance`` sizes the files of
+    the run evenly (AQE splits them by the advisory partition size)."""
     (
         stamp_run(df, run_ts, id_col)
+        .hint("rebalance", "run_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
@@ -66,9 +68,14 @@ def history_union(*runs: DataFrame) -> DataFrame:
 
 
 def write_partitioned_by_run_date(df: DataFrame, path: str, run_date_col: str = "run_date", fmt: str = "parquet") -> str:
-    """Dated output: one partition per run date, replacing only the dates present."""
+    """Dated output: one partition per run date, replacing only the dates present.
+
+    The ``rebalance`` hint clusters rows by date before the write (few files
+    per date instead of one per task and date) and lets AQE split a date that
+    holds a large share of the rows into several evenly sized files."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", run_date_col)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(fmt)
         .partitionBy(run_date_col)
