@@ -36,9 +36,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(v):
     if isinstance(v, float):
-        if math.isnan(v):
-            return "NaN"
-        return round(v, 9)
+        # exact: both engines must produce the same double, as the driver hashes values
+        return "NaN" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
