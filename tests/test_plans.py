@@ -68,3 +68,23 @@ def test_org_frame_reads_invoice_history_once(spark):
     plan = _plan(r.changed)
     assert "FileScan" not in plan, plan
     assert "Scan ExistingRDD" in plan
+
+
+def test_code_join_has_no_outer_join(spark):
+    """The client/code left join is planned as inner + anti join, so a hot
+    code on the code-map side stays splittable by AQE."""
+    from clientcurve.plans.registry import run_for
+
+    r = run_for(spark, SF_SMALL)
+    plan = _plan(O.client_group_join(r.client_rev, r.code_map))
+    assert "LeftOuter" not in plan and "RightOuter" not in plan
+    assert "LeftAnti" in plan
+
+
+def test_materialize_parquet_option_round_trips(spark):
+    from clientcurve.session import materialize
+
+    df = spark.createDataFrame([(1, Decimal("1.25"), dt.date(2024, 1, 2))], "id long, v decimal(18,2), d date")
+    back = materialize(df, fmt="parquet")
+    assert "FileScan parquet" in _plan(back)
+    assert [tuple(r) for r in back.collect()] == [(1, Decimal("1.25"), dt.date(2024, 1, 2))]
