@@ -103,6 +103,9 @@ class RunConfig:
     # Count a changed first-billing date in the billing flag too (the original
     # job only looked at the last date).
     billing_include_first: bool = False
+    # Count a contract code shared by several organisations of one group once
+    # for that group (the original job counted it once per organisation).
+    dedupe_shared_codes: bool = False
     field_keys: dict = field(default_factory=lambda: dict(FIELD_KEYS))
 
     @property
@@ -121,5 +124,6 @@ class RunConfig:
             a_max_share=self.a_max_share,
             b_max_share=self.b_max_share,
             billing_include_first=self.billing_include_first,
+            dedupe_shared_codes=self.dedupe_shared_codes,
             field_keys=dict(self.field_keys),
         )

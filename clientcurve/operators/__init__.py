@@ -22,6 +22,7 @@ from .revenue import (
     client_facts,
     client_group_join,
     client_month_revenue,
+    group_code_pairs,
     group_facts,
     group_revenue,
     group_window_revenue,
@@ -54,6 +55,7 @@ __all__ = [
     "flag_group_status_change",
     "flag_status_change",
     "group_billing_span",
+    "group_code_pairs",
     "group_facts",
     "group_month_grid",
     "group_revenue",

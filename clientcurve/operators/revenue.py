@@ -60,12 +60,21 @@ def client_facts(invoices: DataFrame, as_of: _dt.date, window_days: int = C.WIND
     )
 
 
-def group_facts(facts: DataFrame, code_map: DataFrame) -> DataFrame:
+def group_code_pairs(code_map: DataFrame, dedupe: bool = False) -> DataFrame:
+    """(code, econ_group) pairs of the code map with a group. By default one
+    pair per owning organisation, so a code shared by several organisations
+    of a group counts once per organisation (the source's behaviour); with
+    ``dedupe`` each (code, group) pair counts once."""
+    m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
+    return m.distinct() if dedupe else m
+
+
+def group_facts(facts: DataFrame, code_map: DataFrame, dedupe: bool = False) -> DataFrame:
     """One row per economic group from one join of the per-client facts with
     the code map: (econ_group, window_gross, window_rows, first_billed,
     last_billed). Window revenue, the active-group set and the group billing
     span are all read from this table."""
-    m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
+    m = group_code_pairs(code_map, dedupe)
     joined = facts.join(m, facts["client_code"] == m["code"], "inner")
     return joined.groupBy("econ_group").agg(
         F.sum("window_gross").alias("window_gross"),
@@ -102,7 +111,7 @@ def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     return matched.unionByName(unmatched)
 
 
-def group_revenue(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
+def group_revenue(client_rev: DataFrame, code_map: DataFrame, dedupe: bool = False) -> DataFrame:
     """(econ_group, gross): window revenue per economic group; a group whose
     revenue rows are all null gets 0.
 
@@ -111,7 +120,7 @@ def group_revenue(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     aggregation happens map-side on both sums. (A run reads the same figure
     from :func:`group_facts`.)"""
     per_client = client_rev.groupBy("client_code").agg(F.sum("gross").alias("gross"))
-    m = code_map.where(F.col("econ_group").isNotNull()).select("code", "econ_group")
+    m = group_code_pairs(code_map, dedupe)
     joined = per_client.join(m, per_client["client_code"] == m["code"], "inner")
     return joined.groupBy("econ_group").agg(sum_or_zero("gross").cast("decimal(38,2)").alias("gross"))
 

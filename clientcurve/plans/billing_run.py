@@ -70,7 +70,7 @@ class BillingRun:
 
     @cached_property
     def group_facts(self) -> DataFrame:
-        return materialize(O.group_facts(self.facts, self.code_map))
+        return materialize(O.group_facts(self.facts, self.code_map, self.cfg.dedupe_shared_codes))
 
     @cached_property
     def group_rev(self) -> DataFrame:

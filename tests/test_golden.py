@@ -329,3 +329,20 @@ def test_payload_json_is_flat_object(mk):
         '{"64506c623805f8b073a60555309a4bf2d0949f76":171,"44cc10af09a12836d1843f5f5657484de7bc71d6":28,'
         '"3c324f964624bdc71b66ff21c0cfdf097dc39836":"2024-01-02"}'
     )
+
+
+def test_shared_code_dedupe_option_counts_once(invoices_df, orgs_df):
+    inv = invoices_df([("5", D(2024, 6, 1), money(10), "F", 1)])
+    orgs = orgs_df(
+        [
+            {"id": 1, "codes": "5", "econ_group": "G"},
+            {"id": 2, "codes": "5.6", "econ_group": "G"},
+            {"id": 3, "codes": "5", "econ_group": "H"},
+        ]
+    )
+    rev = O.client_month_revenue(inv, AS_OF)
+    cm = O.explode_codes(orgs)
+    assert rows(O.group_revenue(rev, cm)) == [("G", money(20)), ("H", money(10))]
+    assert rows(O.group_revenue(rev, cm, dedupe=True)) == [("G", money(10)), ("H", money(10))]
+    facts = O.client_facts(inv, AS_OF)
+    assert rows(O.group_facts(facts, cm, dedupe=True), "econ_group", "window_gross") == [("G", money(10)), ("H", money(10))]
