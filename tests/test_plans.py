@@ -88,3 +88,14 @@ def test_materialize_parquet_option_round_trips(spark):
     back = materialize(df, fmt="parquet")
     assert "FileScan parquet" in _plan(back)
     assert [tuple(r) for r in back.collect()] == [(1, Decimal("1.25"), dt.date(2024, 1, 2))]
+
+
+def test_window_reaches_the_orders_scan_through_the_binding(spark):
+    from clientcurve.plans.registry import run_for
+
+    df = run_for(spark, SF_SMALL).client_rev
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
+    assert "GreaterThanOrEqual(o_orderdate,2000-08-01T00:00)" in pushed
+    assert "LessThan(o_orderdate,2001-08-02T00:00)" in pushed
+    assert "o_orderpriority" not in re.search(r"ReadSchema: (struct<[^\n]*>)", text).group(1)
