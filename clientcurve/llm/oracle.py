@@ -1,3 +1,37 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op8_mix_sources"] = r"""
+WITH base AS (
+  SELECT doc_id, source,
+         CAST(CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, 12) AS key
+  FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM base GROUP BY source),
+ranked AS (
+  SELECT *, CAST(2 * source_size AS DOUBLE) AS cap,
+         CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank
+  FROM totals),
+filled AS (
+  SELECT *, cap / weight AS ratio,
+         CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS budget,
+         coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before,
+         sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_from
+  FROM ranked),
+lev AS (SELECT max((budget - cap_before) / weight_from) AS level FROM filled WHERE (budget - cap_before) / weight_from <= ratio),
+targets AS (
+  SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * weight) END AS target
+  FROM filled, lev),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM targets),
+run AS (
+  SELECT b.doc_id, b.size, p.source_size, p.target, p.copies, p.target - p.copies * p.source_size AS rest,
+         CAST(sum(b.size) OVER (PARTITION BY b.source ORDER BY b.key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto,
+         CAST(sum(b.size) OVER (PARTITION BY b.source, b.key) AS BIGINT) AS here
+  FROM base b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       size * (copies + CASE WHEN rest > 0 AND (upto <= rest OR (upto - here <= rest AND upto - rest < rest - (upto - here))) THEN 1 ELSE 0 END) AS taken
+FROM run
+"""

@@ -11,6 +11,7 @@ from clientcurve.session import ensure_checkpoint_dir
 
 from . import oracle
 from ._common import ship
+from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 
 
@@ -23,7 +24,13 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard,)}
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources to weights 5, 2, 1 takes of each document."""
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op5_ngram_jaccard, op8_mix_sources)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
