@@ -13,6 +13,7 @@ from . import oracle
 from ._common import ship
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
+from .suffix_dedup import suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +25,18 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each text without strings of 400 bytes that repeat."""
+    return suffix_dedup(_table(spark, sf_dir, "documents"), length=400)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources to weights 5, 2, 1 takes of each document."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard, op8_mix_sources)}
+QUERIES = {f.__name__: f for f in (op5_ngram_jaccard, op6_suffix_dedup, op8_mix_sources)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
