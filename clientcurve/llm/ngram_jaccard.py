@@ -11,8 +11,11 @@ product of the document by n-gram incidence matrix with its transpose:
 2. *Size bound before the product.* In any one order of all n-grams, a linked
    pair must share one of the first ``n - ceil(n*num/den) + 1`` n-grams of each
    set. The order is (bucket count, hash), so that frequent n-grams stand last
-   and their columns are not touched. Sets which share such an n-gram are tied
-   together by star edges, and contracted to candidate groups.
+   and their columns are not touched. Sets in the column of such an n-gram are
+   tied together where their sizes and sketches allow a link: a sketch has the
+   parity of the set in each of 1,024 hash buckets, and two sketches differ in
+   at most as many bits as the sets in members. Ties are contracted to candidate
+   groups.
 3. *Blocks.* A candidate group is ordered by set size and cut into blocks of a
    bounded number of n-grams; only pairs of blocks whose size ranges can reach
    the threshold meet. In a task, overlap counts are accumulated row by row
@@ -48,6 +51,8 @@ from ._hashing import PrefixHash, mix
 SLICE_BYTES = 2 << 20
 HISTOGRAM_BITS = 20  # buckets of the n-gram counts: a table of 4 MB
 CHUNK_BITS = 14
+SKETCH_BITS = 1024
+COLUMN_ROWS = 2048  # longer columns tie all their rows, which only widens a group
 BLOCK_NGRAMS = 1 << 21  # n-grams of one block: 16 MB of hashes
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -104,6 +109,12 @@ def set_key(grams: np.ndarray) -> bytes | None:
     return mix(both + np.uint64(len(grams))).tobytes()
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """Parity of a set in each of SKETCH_BITS buckets."""
+    odd = np.bincount((grams & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _short(key: bytes) -> int:
     """The first half of a key; sets that share it by chance only share a candidate group."""
     return int(np.frombuffer(key[:8], np.int64)[0])
@@ -116,7 +127,7 @@ def _prefix_length(size: int, num: int, den: int) -> int:
 def _sets_and_counts(docs: DataFrame, n: int) -> DataFrame:
     """Rows of kind 0: one for each document; of kind 1: bucket counts of a task."""
     id_type = docs.schema["__id"].dataType.simpleString()
-    schema = f"kind int, __id {id_type}, n long, key binary, k long, text_hash long, chunk int, counts binary"
+    schema = f"kind int, __id {id_type}, n long, key binary, k long, sketch binary, text_hash long, chunk int, counts binary"
 
     def run(batches):
         ids_type, counts = None, np.zeros(1 << HISTOGRAM_BITS, np.uint32)
@@ -131,20 +142,20 @@ def _sets_and_counts(docs: DataFrame, n: int) -> DataFrame:
                 keys = [set_key(s) for s in sets]
                 yield _rows(
                     schema_names,
-                    [np.zeros(size, np.int32), ids.slice(lo, size), [len(s) for s in sets], keys, [None if k is None else _short(k) for k in keys], hashes.slice(lo, size), [None] * size, [None] * size],
+                    [np.zeros(size, np.int32), ids.slice(lo, size), [len(s) for s in sets], keys, [None if k is None else _short(k) for k in keys], [sketch(s) for s in sets], hashes.slice(lo, size), [None] * size, [None] * size],
                     ids_type,
                 )
         if ids_type is not None:
             parts = counts.reshape(-1, 1 << CHUNK_BITS)
             k = [i for i in range(len(parts)) if parts[i].any()]
-            yield _rows(schema_names, [np.ones(len(k), np.int32), [None] * len(k), [None] * len(k), [None] * len(k), [None] * len(k), [None] * len(k), k, [zlib.compress(parts[i].tobytes(), 1) for i in k]], ids_type)
+            yield _rows(schema_names, [np.ones(len(k), np.int32), *[[None] * len(k)] * 6, k, [zlib.compress(parts[i].tobytes(), 1) for i in k]], ids_type)
 
-    schema_names = ["kind", "__id", "n", "key", "k", "text_hash", "chunk", "counts"]
+    schema_names = ["kind", "__id", "n", "key", "k", "sketch", "text_hash", "chunk", "counts"]
     return docs.mapInArrow(run, schema)
 
 
 def _rows(names, columns, ids_type) -> pa.RecordBatch:
-    types = [pa.int32(), ids_type, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    types = [pa.int32(), ids_type, pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
@@ -188,11 +199,56 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, counts) -> DataFrame:
     return docs.select("__text").mapInArrow(run, "gram long, k long")
 
 
+def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
+    """Spanning forests (a, b) of the pairs in each column of prefix n-grams
+    that sizes and sketches admit."""
+
+    def run(batches):
+        a, b, held = [], [], 0
+        for g in sorted_groups(batches, ["gram"]):
+            if g.num_rows < 2:
+                continue
+            k, n = g.column("k").to_numpy(), g.column("n").to_numpy()
+            m = len(k)
+            if m > COLUMN_ROWS:
+                root = np.zeros(m, np.int64)
+            else:
+                bits = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint64).reshape(m, -1)
+                root = np.arange(m)
+                for i in range(1, m):
+                    differ = np.bitwise_count(bits[:i] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    ok = (differ * (num + den) <= (n[:i] + n[i]) * (den - num)) & (np.minimum(n[:i], n[i]) * den >= np.maximum(n[:i], n[i]) * num)
+                    _join_rows(root, i, np.flatnonzero(ok))
+            some = np.flatnonzero(root != np.arange(m))
+            a.append(k[some])
+            b.append(k[root[some]])
+            held += len(some)
+            if held > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                a, b, held = [], [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return columns.mapInArrow(run, "a long, b long")
+
+
+def _join_rows(label: np.ndarray, i: int, hit: np.ndarray) -> None:
+    """Join row i with the components of the rows ``hit`` before it."""
+    if len(hit):
+        roots = np.unique(label[hit])
+        if len(roots) > 1:
+            label[np.isin(label, roots)] = roots[0]
+        label[i] = roots[0]
+
+
 def _links(rows: DataFrame, num: int, den: int) -> DataFrame:
     """Spanning forests (a, b) of the links in each pair of blocks."""
 
     def run(batches):
+        a, b = [], []
         for g in sorted_groups(batches, ["grp", "i", "j"]):
+            if g.num_rows < 2:
+                continue
             keys = g.column("key").to_pylist()
             blk = g.column("blk").to_numpy()
             sets = [np.frombuffer(s, np.uint64) for s in g.column("grams").to_pylist()]
@@ -203,9 +259,14 @@ def _links(rows: DataFrame, num: int, den: int) -> DataFrame:
             keys, blk, sets = [keys[x] for x in pick], blk[pick], [sets[x] for x in pick]
             same = g.column("i")[0].as_py() == g.column("j")[0].as_py()
             root = _overlap_forest(sets, None if same else blk, num, den)
-            out = [(keys[x], keys[r]) for x, r in enumerate(root) if r != x]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
+            some = [x for x, r in enumerate(root) if r != x]
+            a += [keys[x] for x in some]
+            b += [keys[root[x]] for x in some]
+            if len(a) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a binary, b binary")
 
@@ -240,13 +301,7 @@ def _overlap_forest(sets: list[np.ndarray], side: np.ndarray | None, num: int, d
         ok = overlap * (num + den) >= num * (size[:i] + size[i])
         if side is not None:
             ok &= side[:i] != side[i]
-        hit = np.flatnonzero(ok)
-        if len(hit):
-            roots = np.unique(label[hit])
-            low = roots[0]
-            if len(roots) > 1:
-                label[np.isin(label, roots)] = low
-            label[i] = low
+        _join_rows(label, i, np.flatnonzero(ok))
     return label
 
 
@@ -254,15 +309,18 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``(<id_col>, n_shingles, component_id)`` for every row of ``docs``:
     classes of documents whose n-gram sets reach Jaccard ``num/den``."""
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     table = stored(_sets_and_counts(base, n), "ngram-sets")
     counts = spark.sparkContext.broadcast(_total_counts(table))
-    rows = table.where("kind = 0").select("__id", "n", "key", "k", "text_hash")
+    rows = table.where("kind = 0").select("__id", "n", "key", "k", "sketch", "text_hash")
 
     # Candidate groups: sets tied by a shared n-gram of their prefixes.
     postings = stored(_postings(base, n, num, den, counts), "ngram-postings")
     shared = postings.groupBy("gram").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a < z")
-    ties = postings.join(shared, "gram").select("a", F.col("k").alias("b"))
+    sketches = rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    columns = postings.join(shared.select("gram"), "gram").distinct().join(sketches, "k").select("gram", "k", "n", "sketch")
+    ties = _ties(columns.repartition(parts, "gram").sortWithinPartitions("gram", "n", "k"), num, den)
     groups = connected_components(ties).select(F.col("node").alias("k"), F.col("label").alias("grp"))
 
     # One row for each distinct set; those of candidate groups are cut into blocks.
@@ -301,7 +359,6 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         grams_of, "key binary, grp long, blk int, pairs array<struct<i:int,j:int>>, grams binary"
     )
     blocks = got.select("key", "grp", "blk", "grams", F.inline("pairs"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     forest = _links(blocks.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j"), num, den)
     labels = connected_components(forest).withColumnRenamed("node", "key")
 
