@@ -7,19 +7,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clientcurve.session import ensure_checkpoint_dir
+from clientcurve.session import ensure_checkpoint_dir, shared_path
 
 from . import oracle
 from ._common import ship
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
+from .packing import pack_documents
 from .suffix_dedup import suffix_dedup
+from .token_codes import read_codes, write_codes
+
+
+END_ID = 2
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on this machine and its executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as directly addressable codes and
+    read back from the files."""
+    path = shared_path(spark, "token-codes")
+    write_codes(_table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=END_ID)
+    return read_codes(spark, path)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents that share 90 of 100 distinct 3-word shingles."""
     return ngram_jaccard(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
@@ -36,7 +56,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard, op6_suffix_dedup, op8_mix_sources)}
+def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4,096 tokens that mix the sources."""
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
+
+
+QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op8_mix_sources, op10_pack_documents)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
