@@ -12,9 +12,10 @@ product of the document by n-gram incidence matrix with its transpose:
    pair must share one of the first ``n - ceil(n*num/den) + 1`` n-grams of each
    set. The order is (bucket count, hash), so that frequent n-grams stand last
    and their columns are not touched. Sets in the column of such an n-gram are
-   tied together where their sizes and sketches allow a link: a sketch has the
-   parity of the set in each of 1,024 hash buckets, and two sketches differ in
-   at most as many bits as the sets in members. Ties are contracted to candidate
+   tied together where their sizes and sketches allow a link: only sets of
+   near sizes meet, in overlapping size classes; a sketch has the parity of the
+   set in each of 1,024 or more hash buckets, and two sketches differ in at most
+   as many bits as the sets in members. Ties are contracted to candidate
    groups.
 3. *Blocks.* A candidate group is ordered by set size and cut into blocks of a
    bounded number of n-grams; only pairs of blocks whose size ranges can reach
@@ -37,6 +38,7 @@ Other columns of the input are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -51,9 +53,9 @@ from ._hashing import PrefixHash, mix
 SLICE_BYTES = 2 << 20
 HISTOGRAM_BITS = 20  # buckets of the n-gram counts: a table of 4 MB
 CHUNK_BITS = 14
-SKETCH_BITS = 1024
+SKETCH_BITS = 1024  # or half the set's size, if that is more
 COLUMN_ROWS = 2048  # longer columns tie all their rows, which only widens a group
-BLOCK_NGRAMS = 1 << 21  # n-grams of one block: 16 MB of hashes
+BLOCK_NGRAMS = 1 << 19  # n-grams of one block: 4 MB of hashes
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -110,11 +112,26 @@ def set_key(grams: np.ndarray) -> bytes | None:
 
 
 def sketch(grams: np.ndarray) -> bytes:
-    """Parity of a set in each of SKETCH_BITS buckets."""
-    odd = np.bincount((grams & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Parity of a set in each bucket; buckets are a power of two, at least
+    SKETCH_BITS and a quarter of the set's size."""
+    bits = max(SKETCH_BITS, 1 << max(0, len(grams).bit_length() - 2))
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _stacked(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, longer ones folded to the shortest."""
+    least = min(map(len, sketches))
+    rows = []
+    for s in sketches:
+        bits = np.frombuffer(s, np.uint64)
+        while len(bits) * 8 > least:
+            half = len(bits) // 2
+            bits = bits[:half] ^ bits[half:]
+        rows.append(bits)
+    return np.stack(rows)
+
+
 def _short(key: bytes) -> int:
     """The first half of a key; sets that share it by chance only share a candidate group."""
     return int(np.frombuffer(key[:8], np.int64)[0])
@@ -205,7 +222,7 @@ def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
 
     def run(batches):
         a, b, held = [], [], 0
-        for g in sorted_groups(batches, ["gram"]):
+        for g in sorted_groups(batches, ["gram", "class"]):
             if g.num_rows < 2:
                 continue
             k, n = g.column("k").to_numpy(), g.column("n").to_numpy()
@@ -213,7 +230,7 @@ def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
             if m > COLUMN_ROWS:
                 root = np.zeros(m, np.int64)
             else:
-                bits = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint64).reshape(m, -1)
+                bits = _stacked(g.column("sketch").to_pylist())
                 root = np.arange(m)
                 for i in range(1, m):
                     differ = np.bitwise_count(bits[:i] ^ bits[i]).sum(axis=1, dtype=np.int64)
@@ -319,8 +336,13 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     postings = stored(_postings(base, n, num, den, counts), "ngram-postings")
     shared = postings.groupBy("gram").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a < z")
     sketches = rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    columns = postings.join(shared.select("gram"), "gram").distinct().join(sketches, "k").select("gram", "k", "n", "sketch")
-    ties = _ties(columns.repartition(parts, "gram").sortWithinPartitions("gram", "n", "k"), num, den)
+    common = postings.join(shared.select("gram"), "gram").distinct().join(sketches.select("k", "n"), "k")
+    # A size stands in two classes, each den/num wide: sizes that may link meet in one of them.
+    grade = F.floor(F.log(F.col("n")) / math.log(den / num * (1 + 1e-9))).cast("int") if num < den else F.col("n").cast("int")
+    common = stored(common.select("gram", "k", "n", F.explode(F.array(grade, grade + 1) if num < den else F.array(grade)).alias("class")), "ngram-common")
+    near = common.groupBy("gram", "class").agg(F.count("*").alias("rows")).where("rows > 1").select("gram", "class")
+    columns = common.join(near, ["gram", "class"]).join(sketches.select("k", "sketch"), "k")
+    ties = _ties(columns.repartition(parts, "gram", "class").sortWithinPartitions("gram", "class", "n", "k"), num, den)
     groups = connected_components(ties).select(F.col("node").alias("k"), F.col("label").alias("grp"))
 
     # One row for each distinct set; those of candidate groups are cut into blocks.

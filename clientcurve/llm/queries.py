@@ -14,6 +14,7 @@ from ._common import ship
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 from .packing import pack_documents
+from .quality_cnn import quality_scores
 from .suffix_dedup import suffix_dedup
 from .token_codes import read_codes, write_codes
 
@@ -50,6 +51,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"), length=400)
 
 
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a text's quality label is 1, from its bytes alone."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of the sources to weights 5, 2, 1 takes of each document."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
@@ -61,7 +67,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op8_mix_sources, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op10_pack_documents)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
