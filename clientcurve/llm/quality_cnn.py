@@ -1,8 +1,10 @@
 """Quality classifier (operator 7): a byte-level convolutional network in numpy.
 
 A text's bytes are cut into chunks of 512 that overlap by 64 and together cover
-the whole text. Each byte becomes a learned vector; learned filters of 16 bytes
-run over the chunk in steps of 8; each filter's largest response in the chunk is
+the whole text. Each byte, with a mark if it ends four bytes that also stand up
+to 32 bytes before (a filter alone cannot tell that a word repeats, whatever the
+word), becomes a learned vector; learned filters of 16 bytes run over the chunk
+in steps of 8; each filter's largest response in the chunk is
 kept (max-pooling). The mean and the maximum of these over the chunks of the
 document, weighted by learned weights, give one probability.
 
@@ -34,6 +36,8 @@ from ._common import stored, text_slices
 CHUNK, STEP, HOP = 512, 448, 8  # bytes of a chunk, between chunks, between filter positions
 EMBED, FILTERS = 8, 24
 PAD = 256
+ECHO = 257  # added to the code of a byte that ends a repeat of four bytes
+LAGS = range(2, 33)
 SLICE_BYTES = 1 << 18
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24 << 20
 EPOCHS, RATE, MINIBATCH = 8, 0.01, 32
@@ -48,7 +52,15 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     left = size[doc] - first
     at = (offsets[doc] + first)[:, None] + np.arange(CHUNK)
     inside = np.arange(CHUNK) < left[:, None]
-    return np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))] if len(data) else PAD, PAD).astype(np.int16), doc
+    if not len(doc):
+        return np.zeros((0, CHUNK), np.int16), doc
+    raw = data[np.minimum(at, len(data) - 1)]
+    echo = np.zeros(raw.shape, bool)
+    for lag in LAGS:
+        same = raw[:, lag:] == raw[:, :-lag]
+        pair = same[:, 1:] & same[:, :-1]
+        echo[:, lag + 3 :] |= pair[:, 2:] & pair[:, :-2]
+    return np.where(inside, raw + ECHO * echo.astype(np.int16), PAD).astype(np.int16), doc
 
 
 class Net:
@@ -58,7 +70,7 @@ class Net:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
         self.p = {
-            "embed": r.normal(0, 0.5, (257, EMBED)).astype(np.float32),
+            "embed": r.normal(0, 0.5, (2 * ECHO, EMBED)).astype(np.float32),
             "filters": r.normal(0, 0.12, (HOP * EMBED, 2 * FILTERS)).astype(np.float32),
             "bias": np.zeros(FILTERS, np.float32),
             "out": r.normal(0, 0.1, 2 * FILTERS).astype(np.float32),
@@ -116,7 +128,7 @@ class Net:
         flat = dboth.reshape(-1, 2 * FILTERS)
         dblocks = (flat @ self.p["filters"].T).reshape(-1, EMBED)
         which = chunks.ravel()
-        dembed = np.stack([np.bincount(which, dblocks[:, e], minlength=257) for e in range(EMBED)], 1).astype(np.float32)
+        dembed = np.stack([np.bincount(which, dblocks[:, e], minlength=2 * ECHO) for e in range(EMBED)], 1).astype(np.float32)
         dembed[PAD] = 0
         return {"embed": dembed, "filters": blocks.T @ flat, "bias": dpeak.sum(0), "out": f.T @ dz, "b": np.array([dz.sum()], np.float32)}
 
