@@ -11,6 +11,7 @@ from clientcurve.session import ensure_checkpoint_dir, shared_path
 
 from . import oracle
 from ._common import ship
+from .html_extract import extract_articles
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 from .packing import pack_documents
@@ -62,12 +63,17 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the path its host's pages vote for."""
+    return extract_articles(_table(spark, sf_dir, "pages"))
+
+
 def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4,096 tokens that mix the sources."""
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
