@@ -35,3 +35,37 @@ SELECT doc_id, size, source_size, target,
        size * (copies + CASE WHEN rest > 0 AND (upto <= rest OR (upto - here <= rest AND upto - rest < rest - (upto - here))) THEN 1 ELSE 0 END) AS taken
 FROM run
 """
+
+ORACLES["op4_preference"] = r"""
+WITH t AS (
+  SELECT conv_id AS pair, turn, role, text FROM conversations
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, text NULLS FIRST) = 1),
+e AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY pair ORDER BY turn DESC) = 1),
+r AS (
+  SELECT t.pair, t.turn, t.role, t.text FROM t JOIN e ON t.pair = e.pair WHERE t.turn < e.turn
+  UNION ALL
+  SELECT e.pair, e.turn, o.role, o.text FROM e JOIN e AS o ON o.pair = xor(e.pair, 1)),
+j AS (
+  SELECT coalesce(c.pair, r.pair) AS pair, coalesce(c.turn, r.turn) AS turn,
+         c.pair IS NOT NULL AS in_c, r.pair IS NOT NULL AS in_r,
+         c.role AS c_role, c.text AS c_text, r.role AS r_role, r.text AS r_text,
+         c.pair IS NOT NULL AND r.pair IS NOT NULL AND c.role IS NOT DISTINCT FROM r.role
+           AND c.text IS NOT DISTINCT FROM r.text AS same
+  FROM t AS c FULL JOIN r ON c.pair = r.pair AND c.turn = r.turn),
+s AS (SELECT pair, min(turn) AS split FROM j WHERE NOT same GROUP BY pair),
+k AS (SELECT j.*, s.split IS NULL OR j.turn < s.split AS in_prompt FROM j LEFT JOIN s ON j.pair = s.pair),
+parts AS (
+  SELECT pair, turn, 'prompt' AS part, c_role AS role, c_text AS text FROM k WHERE in_prompt
+  UNION ALL SELECT pair, turn, 'chosen', c_role, c_text FROM k WHERE NOT in_prompt AND in_c
+  UNION ALL SELECT pair, turn, 'rejected', r_role, r_text FROM k WHERE NOT in_prompt AND in_r),
+o AS (
+  SELECT *, '<|im_start|>' || coalesce(role, '') || chr(10) AS header,
+         '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS rendered,
+         part <> 'prompt' AND coalesce(role = 'assistant', false) AS carries
+  FROM parts)
+SELECT pair AS pair_id, part, turn, role, rendered,
+       CAST(CASE WHEN carries THEN length(header) ELSE 0 END AS INTEGER) AS mask_from,
+       CAST(CASE WHEN carries THEN length(rendered) ELSE 0 END AS INTEGER) AS mask_to
+FROM o
+"""

@@ -15,6 +15,7 @@ from .html_extract import extract_articles
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 from .packing import pack_documents
+from .preference import one_row_a_turn, preference_segments, swapped_endings
 from .quality_cnn import quality_scores
 from .suffix_dedup import suffix_dedup
 from .token_codes import read_codes, write_codes
@@ -42,6 +43,13 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_codes(spark, path)
 
 
+def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of each conversation (chosen) against itself
+    with its neighbour's last turn (rejected)."""
+    turns = one_row_a_turn(_table(spark, sf_dir, "conversations"), "conv_id")
+    return preference_segments(turns, swapped_endings(turns)).withColumnRenamed("pair", "pair_id")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents that share 90 of 100 distinct 3-word shingles."""
     return ngram_jaccard(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
@@ -73,7 +81,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_codes, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
