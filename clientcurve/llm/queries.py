@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientcurve.session import ensure_checkpoint_dir, shared_path
 
@@ -19,6 +20,8 @@ from .preference import one_row_a_turn, preference_segments, swapped_endings
 from .quality_cnn import quality_scores
 from .suffix_dedup import suffix_dedup
 from .token_codes import read_codes, write_codes
+from .topk_nra import exact_topk
+from .vp_tree import nearest_neighbours
 
 
 END_ID = 2
@@ -35,6 +38,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five largest inner products of every fiftieth vector with all others."""
+    return exact_topk(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op2_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest by cosine of every fiftieth vector among all others."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as directly addressable codes and
     read back from the files."""
@@ -81,7 +94,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_vp_tree, op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
