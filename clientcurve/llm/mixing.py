@@ -95,38 +95,40 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return plan.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
-def mix_sources(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: Sequence[int] = (5, 2, 1),
-    share: float = 1.5,
-    max_repeat: int = 2,
-) -> DataFrame:
-    """``(<id_col>, size, source_size, target, taken, source, copies, key)`` for
-    every row: ``copies`` is how often the mix takes the document, ``taken`` the
-    words of these copies."""
-    rows = stored(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"),
-            hash_key(F.col(id_col), F.col(text_col)).alias("key"),
-        ),
+def mix_plan(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2) -> DataFrame:
+    """One row a source, from ``sizes(source, size, key)``: target, whole copies
+    of every document, and the hash up to which documents are taken once more."""
+    return pinned(_thresholds(sizes, pinned(source_targets(sizes, weights, share, max_repeat))))
+
+
+def _copies() -> Column:
+    once_more = (F.col("key") < F.col("edge")) | ((F.col("key") == F.col("edge")) & F.col("with_edge"))
+    return F.col("copies") + F.coalesce(once_more, F.lit(False)).cast("long")
+
+
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return stored(
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), hash_key(F.col(id_col), F.col(text_col)).alias("key")),
         "mix-sizes",
     )
-    targets = pinned(source_targets(rows, weights, share, max_repeat))
-    plan = pinned(_thresholds(rows, targets)).withColumnRenamed("source", "s")
-    once_more = (F.col("key") < F.col("edge")) | ((F.col("key") == F.col("edge")) & F.col("with_edge"))
-    copies = F.col("copies") + F.coalesce(once_more, F.lit(False)).cast("long")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("id").alias(id_col),
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * copies).alias("taken"),
-        "source",
-        copies.alias("copies"),
-        "key",
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``(<id_col>, size, source_size, target, taken, source, copies)`` for every
+    row: ``copies`` is how often the mix takes the document, ``taken`` the words
+    of these copies. The options are those of :func:`mix_plan`."""
+    sizes = _sizes(docs, id_col, text_col, source_col)
+    plan = mix_plan(sizes, **options).withColumnRenamed("source", "s")
+    return sizes.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"), "source", _copies().alias("copies")
     )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it is taken. The
+    texts are not shuffled: they meet a plan of one row a source."""
+    plan = mix_plan(_sizes(docs, id_col, text_col, source_col), **options).withColumnRenamed("source", "s")
+    plan = plan.select("s", "copies", "edge", "with_edge")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(source_col).alias("source"), hash_key(F.col(id_col), F.col(text_col)).alias("key"))
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("times", _copies()).where("times > 0")
+    return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc.*")

@@ -26,6 +26,8 @@ are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,8 +41,9 @@ PAD = 256
 ECHO = 257  # added to the code of a byte that ends a repeat of four bytes
 LAGS = range(2, 33)
 SLICE_BYTES = 1 << 18
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 24 << 20
-EPOCHS, RATE, MINIBATCH = 8, 0.01, 32
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16 << 20
+EPOCHS, RATE, MINIBATCH = 6, 0.01, 32
+THRESHOLD = 0.3
 
 
 def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,35 +191,32 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return [bytes(r["__text"]) for r in got], np.array([r["__label"] for r in got], np.float64)
 
 
-def quality_scores(
+def scorer(net: Net) -> Callable[[Column], Column]:
+    """The network as a function of a text column. Only the text visits Python."""
+
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], names=["text"])
+        parts = [net.score(data, off) for _, _, data, off in text_slices(batch, "text", SLICE_BYTES)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return score
+
+
+def fitted(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    threshold: float = 0.3,
     sample_rows: int = SAMPLE_ROWS,
     sample_bytes: int = SAMPLE_BYTES,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """``(<id_col>, held_out, score, predicted)`` and the columns ``keep`` of
-    every row of ``docs``."""
-    net = fit(*training_sample(docs, labels, id_col, text_col, label_col, sample_rows, sample_bytes))
-    rows = docs.select(F.col(text_col).alias("__text"), F.col(id_col).alias("__id"), *[F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep)])
-    back = rows.columns[1:]  # the text itself need not come back from the task
-
-    def run(batches):
-        for b in batches:
-            scores = [net.score(data, off) for _, _, data, off in text_slices(b, "__text", SLICE_BYTES)]
-            if scores:
-                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(np.concatenate(scores))], names=[*back, "__score"])
-
-    schema = rows.select(*back, F.lit(0.0).alias("__score")).schema
-    scored = rows.mapInArrow(run, schema)
-    return scored.select(
-        F.col("__id").alias(id_col),
-        held_out(F.col("__id")).alias("held_out"),
-        F.col("__score").alias("score"),
-        (F.col("__score") >= threshold).cast("int").alias("predicted"),
-        *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)],
-    )
+) -> Net:
+    """A network fitted to the labelled rows that are not held out."""
+    return fit(*training_sample(docs, labels, id_col, text_col, label_col, sample_rows, sample_bytes))
+
+
+def quality_scores(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``(<id_col>, held_out, score, predicted)`` of every row of ``docs``."""
+    scored = docs.select(F.col(id_col), scorer(net)(F.col(text_col)).alias("score"))
+    return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -8,16 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clientcurve.session import ensure_checkpoint_dir, shared_path
 
 from . import oracle
 from ._common import ship
+from ._tokens import tokenizer_path
 from .html_extract import extract_articles
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 from .packing import pack_documents
 from .preference import one_row_a_turn, preference_segments, swapped_endings
-from .quality_cnn import quality_scores
+from .quality_cnn import fitted, quality_scores
 from .suffix_dedup import suffix_dedup
 from .token_codes import read_codes, write_codes
 from .topk_nra import exact_topk
@@ -27,13 +29,6 @@ from .vp_tree import nearest_neighbours
 END_ID = 2
 
 
-def tokenizer_path(name: str) -> str:
-    """Place of a public tokenizer's file on this machine and its executors."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,7 +70,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that a text's quality label is 1, from its bytes alone."""
-    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    docs = _table(spark, sf_dir, "documents")
+    return quality_scores(docs, fitted(docs, _table(spark, sf_dir, "labels")))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +90,12 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_vp_tree, op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py, applied to documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_vp_tree, op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents, pipeline)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -111,4 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.ORACLES)
+    own = dict(oracle.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own

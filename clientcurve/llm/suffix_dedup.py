@@ -42,7 +42,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import sorted_groups, stored, text_slices
@@ -331,25 +331,23 @@ def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[:1].sum()) + int((np.diff(gone.astype(np.int8)) == 1).sum()))
                 sha.append(hashlib.sha256(rest).hexdigest())
-                left.append(rest if with_text else None)
+                left.append(rest.decode("utf-8", "ignore") if with_text else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.binary())],
+                [pa.array(keys, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())],
                 names=["key", "removed", "spans", "sha", "left"],
             )
 
-    return found.mapInArrow(run, "key binary, removed long, spans long, sha string, left binary")
+    return found.mapInArrow(run, "key binary, removed long, spans long, sha string, left string")
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, max_spans: int = MAX_SPANS, with_text: bool = False) -> DataFrame:
-    """``(<id_col>, n_bytes, n_removed, n_spans, kept_sha256[, kept])`` for every
-    row of ``docs``; ``kept`` is what is left, as bytes (a cut may fall inside a
-    character)."""
+def repeated_cuts(docs: DataFrame, text_col: str = "text", length: int = 400, gram: int = GRAM, max_spans: int = MAX_SPANS, with_text: bool = False) -> DataFrame:
+    """``(key, removed, spans, sha, left)`` of each distinct text that loses
+    bytes; ``key`` is :func:`key_of` the text, ``left`` what stays, on demand, as text (a character cut in two goes)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    key = F.unhex(F.md5(text))
-    texts = docs.select(key.alias("key"), text.alias("text"))
-    runs = stored(_runs(texts.where(F.octet_length("text") >= length), length, gram), "dedup-runs")
+    texts = docs.select(key_of(F.col(text_col)).alias("key"), text.alias("text")).where(F.octet_length("text") >= length)
+    runs = stored(_runs(texts, length, gram), "dedup-runs")
 
     # Anchors that occur more than once, then the runs of these alone.
     often = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
@@ -363,7 +361,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("m").alias("least")).where("kinds > 1 AND least = 1")
     wanted = kinds.join(mixed, "anchor").select("rep.*", "anchor", (F.col("m") > 1).alias("whole"), (F.col("kinds") > max_spans).alias("hot"))
     by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("at", "starts", "lead", "anchor", "whole", "hot")).alias("spans"))
-    one = _one_row_each(docs, id_col, text_col)
+    one = texts.dropDuplicates(["key"])
     cut_out = one.join(by_text, "key")
     spans = cut_out.select("key", "text", F.inline("spans")).select(
         "key", "at", "starts", "lead", "anchor", "whole", "hot", F.col("text").substr(F.col("at") + 1, F.col("starts") + (length - 1)).alias("bytes")
@@ -374,22 +372,33 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ranges = found.groupBy("key").agg(F.collect_list(F.struct("at", "starts")).alias("ranges"))
     cut = _cut(one.join(stored(ranges, "dedup-ranges"), "key").select("key", "ranges", "text"), length, with_text)
-    cut = stored(cut, "dedup-cut")
-    rows = docs.select(
-        F.col(id_col), key.alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha_all"), *([text.alias("all")] if with_text else [])
-    )
-    out = rows.join(cut, "key", "left").select(
+    return stored(cut, "dedup-cut")
+
+
+def key_of(text: Column) -> Column:
+    """128 bits that stand for a text; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``(<id_col>, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of
+    ``docs``; the options are those of :func:`repeated_cuts`."""
+    cut = repeated_cuts(docs, text_col, **options)
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    rows = docs.select(F.col(id_col), key_of(F.col(text_col)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha_all"))
+    return rows.join(cut, "key", "left").select(
         id_col,
         "n_bytes",
         F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("sha", "sha_all").alias("kept_sha256"),
-        *([F.when(F.col("removed").isNull(), F.col("all")).otherwise(F.col("left")).alias("kept")] if with_text else []),
     )
-    return out
 
 
-def _one_row_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, text), one row for each distinct text."""
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text")).dropDuplicates(["key"])
+def without_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with repeated strings cut out of the texts; all rows and other
+    columns stay. A character cut in two goes."""
+    cut = repeated_cuts(docs, text_col, with_text=True, **options).select(F.col("key").alias("__key"), F.col("left").alias("__left"))
+    joined = docs.join(cut, key_of(F.col(text_col)) == F.col("__key"), "left")
+    kept = F.when(F.col("__key").isNull(), F.col(text_col)).otherwise(F.col("__left"))
+    return joined.select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns])
