@@ -23,9 +23,11 @@ of the ``gram``-byte substrings inside them. So
    verified on the bytes; a claim that fails (a collision) has its task's
    strings compared exactly instead;
 4. an anchor with more than ``max_spans`` distinct spans (the edge of a passage
-   in a large part of all documents) is not sorted in one task: its strings are
-   counted by two independent polynomial hashes in a Spark aggregation, which
-   spreads them over all tasks. No occurrence is left out;
+   in a large part of all documents) is not sorted in one task: its spans are
+   dealt to many tasks, each settles the strings that repeat among its own, and
+   one copy of each of its strings, as two independent polynomial hashes, goes to
+   a bucket of its hash, where strings from all tasks meet. A string in any share
+   of the documents costs a bucket one entry a task. No occurrence is left out;
 5. the ranges of repeated starts of a text are merged, and the text is cut.
 
 Work on texts is keyed by a 128-bit hash, so a group of identical documents is
@@ -287,29 +289,82 @@ def _sorted_blocks(spans: DataFrame, length: int) -> DataFrame:
     return spans.mapInArrow(run, RANGES)
 
 
-def _counted(spans: DataFrame, length: int) -> DataFrame:
-    """Repeated ranges of anchors with very many spans: strings are counted by
-    two hashes, spread over all tasks."""
+ENTRY = np.dtype([("one", "<u8"), ("two", "<u8"), ("span", "<i4"), ("at", "<i4")])
+MEETING_SPANS, BUCKET_STRINGS = 512, 1 << 17
 
-    def strings(batches):
-        for b in batches:
-            starts = b.column(2).to_numpy().astype(np.int64)
-            for lo, size, data, off in text_slices(b, "bytes", SLICE_BYTES):
-                n = starts[lo : lo + size]
-                owner = np.repeat(np.arange(size), n)
-                inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-                x = off[owner] + inner
-                one, two = (mix(PrefixHash(data, base).at(x, x + length)).view(np.int64) for base in BASES)
-                of = pa.array(owner + lo)
-                at = b.column(1).to_numpy()[owner + lo] + inner
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(of), pa.array(at.astype(np.int32)), b.column(3).take(of), pa.array(one), pa.array(two)],
-                    names=["key", "at", "whole", "one", "two"],
-                )
 
-    rows = stored(spans.select("key", "at", "starts", "whole", "bytes").mapInArrow(strings, "key binary, at int, whole boolean, one long, two long"), "dedup-strings")
-    often = rows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.where("NOT whole").join(often, ["one", "two"]).select("key", "at", F.lit(1).alias("starts"))
+def _met(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each distinct pair in sorted order, size of its class, for each
+    element): positions of one representative, and how often each occurs."""
+    order = np.lexsort((two, one))
+    x, y = one[order], two[order]
+    new = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
+    heads = np.flatnonzero(new)
+    count = np.empty(len(one), np.int64)
+    count[order] = np.repeat(np.diff(np.append(heads, len(one))), np.diff(np.append(heads, len(one))))
+    return order[heads], count
+
+
+def _counted(spans: DataFrame, length: int, parts: int) -> DataFrame:
+    """Repeated ranges of anchors with very many spans (step 4 above)."""
+    total = spans.agg(F.sum("starts")).first()[0] or 0
+    buckets = 1 + total // BUCKET_STRINGS
+
+    def settle(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, MEETING_SPANS):
+                part = b.slice(lo, MEETING_SPANS)
+                n = part.column(2).to_numpy().astype(np.int64)
+                keys, first, whole = part.column(0).to_pylist(), part.column(1).to_numpy(), part.column(3).to_numpy(zero_copy_only=False)
+                for _, _, data, off in text_slices(part, "bytes", 1 << 30):
+                    owner = np.repeat(np.arange(len(n)), n)
+                    inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+                    x = off[owner] + inner
+                    one, two = (mix(PrefixHash(data, base).at(x, x + length)) for base in BASES)
+                reps, count = _met(one, two)
+                again = (count > 1) & ~whole[owner]
+                out_keys, ranges = [], []
+                for i in np.unique(owner[again]):
+                    got = _ranges(again[np.searchsorted(owner, i) : np.searchsorted(owner, i, side="right")], int(first[i]))
+                    ranges += got
+                    out_keys += [keys[i]] * len(got)
+                k = len(out_keys)
+                if k:
+                    yield _meeting(out_keys, [r[0] for r in ranges], [r[1] for r in ranges], [None] * k, [None] * k, [None] * k)
+                entries = np.empty(len(reps), ENTRY)
+                entries["one"], entries["two"] = one[reps], two[reps]
+                # Strings that are settled here are sent without a span: only as partners of others.
+                entries["span"] = np.where((count[reps] > 1) | whole[owner[reps]], -1, owner[reps])
+                entries["at"] = first[owner[reps]] + inner[reps]
+                bucket = (entries["one"] >> np.uint64(11)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                entries, bucket = entries[order], bucket[order]
+                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                packed = b"".join(keys)
+                m = len(cuts)
+                if m:
+                    yield _meeting([None] * m, [None] * m, [None] * m, bucket[cuts].astype(np.int64).tolist(), [p.tobytes() for p in np.split(entries, cuts[1:])], [packed] * m)
+
+    def _meeting(keys, at, starts, bucket, entries, spans_):
+        types = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, at, starts, bucket, entries, spans_), types, strict=True)], names=["key", "at", "starts", "bucket", "entries", "keys"])
+
+    dealt = spans.select("key", "at", "starts", "whole", "bytes", "anchor").repartitionByRange(parts, "anchor", "key").sortWithinPartitions("anchor", "key")
+    table = stored(dealt.mapInArrow(settle, "key binary, at int, starts int, bucket long, entries binary, keys binary"), "dedup-meeting")
+
+    def meet(batches):
+        for g in sorted_groups(batches, ["bucket"]):
+            parts_ = [np.frombuffer(e, ENTRY) for e in g.column("entries").to_pylist()]
+            all_keys = g.column("keys").to_pylist()
+            e = np.concatenate(parts_)
+            row = np.repeat(np.arange(len(parts_)), [len(p) for p in parts_])
+            _, count = _met(e["one"], e["two"])
+            hit = np.flatnonzero((count > 1) & (e["span"] >= 0))
+            if len(hit):
+                yield _range_batch([all_keys[r][16 * s : 16 * s + 16] for r, s in zip(row[hit], e["span"][hit], strict=True)], [(int(a), 1) for a in e["at"][hit]])
+
+    meeting = table.where("bucket IS NOT NULL").select("bucket", "entries", "keys").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return table.where("key IS NOT NULL").select("key", "at", "starts").union(meeting.mapInArrow(meet, RANGES))
 
 
 def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
@@ -317,25 +372,27 @@ def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
     (on demand) what is left."""
 
     def run(batches):
-        for b in batches:
-            keys, removed, spans, sha, left = [], [], [], [], []
-            for r in b.to_pylist():
-                raw = r["text"] or b""
-                cover = np.zeros(len(raw) + 1, np.int32)
-                for x in r["ranges"]:
-                    cover[x["at"]] += 1
-                    cover[x["at"] + x["starts"] - 1 + length] -= 1
-                gone = np.cumsum(cover[:-1]) > 0
-                rest = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                keys.append(r["key"])
-                removed.append(int(gone.sum()))
-                spans.append(int(gone[:1].sum()) + int((np.diff(gone.astype(np.int8)) == 1).sum()))
-                sha.append(hashlib.sha256(rest).hexdigest())
-                left.append(rest.decode("utf-8", "ignore") if with_text else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())],
-                names=["key", "removed", "spans", "sha", "left"],
-            )
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                keys, ranges = b.column(0), b.column(1)
+                flat, ends = ranges.flatten(), np.cumsum(np.diff(ranges.offsets.to_numpy()))
+                at, starts = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("at", "starts"))
+                removed, spans, sha, left = [], [], [], []
+                for i, text in enumerate(b.column(2)):
+                    raw = text.as_py() or b""
+                    x, n = (v[ends[i - 1] if i else 0 : ends[i]] for v in (at, starts))
+                    cover = np.bincount(x, minlength=len(raw) + 1) - np.bincount(x + n - 1 + length, minlength=len(raw) + 1)
+                    gone = np.cumsum(cover[:-1]) > 0
+                    rest = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                    removed.append(int(gone.sum()))
+                    spans.append(int(gone[:1].sum()) + int((np.diff(gone.astype(np.int8)) == 1).sum()))
+                    sha.append(hashlib.sha256(rest).hexdigest())
+                    left.append(rest.decode("utf-8", "ignore") if with_text else None)
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())],
+                    names=["key", "removed", "spans", "sha", "left"],
+                )
 
     return found.mapInArrow(run, "key binary, removed long, spans long, sha string, left string")
 
@@ -368,7 +425,7 @@ def repeated_cuts(docs: DataFrame, text_col: str = "text", length: int = 400, gr
     )
     spans = stored(spans, "dedup-context")
     few = spans.where("NOT hot").repartition(parts, "anchor").sortWithinPartitions("anchor")
-    found = whole.union(_sorted_blocks(few, length)).union(_counted(spans.where("hot"), length))
+    found = whole.union(_sorted_blocks(few, length)).union(_counted(spans.where("hot"), length, parts))
 
     ranges = found.groupBy("key").agg(F.collect_list(F.struct("at", "starts")).alias("ranges"))
     cut = _cut(one.join(stored(ranges, "dedup-ranges"), "key").select("key", "ranges", "text"), length, with_text)
