@@ -41,8 +41,8 @@ PAD = 256
 ECHO = 257  # added to the code of a byte that ends a repeat of four bytes
 LAGS = range(2, 33)
 SLICE_BYTES = 1 << 18
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 16 << 20
-EPOCHS, RATE, MINIBATCH = 6, 0.01, 32
+SAMPLE_ROWS, SAMPLE_BYTES = 6000, 24 << 20
+EPOCHS, RATE, MINIBATCH = 8, 0.01, 32
 THRESHOLD = 0.3
 
 
