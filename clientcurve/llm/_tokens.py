@@ -9,15 +9,17 @@ text, and any other kind of tokenizer, goes through the library whole."""
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 300_000  # of one worker process
+CACHE_WORDS = 600_000  # entries of each of the two caches of a worker process
 # Letters whose class and lower case agree in all Unicode versions; U+0130 grows when lowered.
 _ODD = regex.compile("[^\n\\x20-\\x7e¡-įı-ɏ]")
 _ODD_SPACE = regex.compile("  | \n|\n |\n\n")
+_MARKS = frozenset(".,;:!?%&$#*|)")
 # The patterns of the two pre-tokenizers.
 _BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -52,7 +54,8 @@ class Encoder:
         kind = self._kind()
         self._model = self.tokenizer.model
         self._pattern = regex.compile(_WORD_PATTERN if kind == "word" else _BYTE_PATTERN)
-        self._words = _Words(self._chunk)
+        self._words, self._known = _Words(self._chunk), _Words(self._piece)
+        self._code = "H" if self.dtype == np.uint16 else "I"
         self._fast = {"byte": self._bytes_text, "word": self._words_text}.get(kind)
 
     def _kind(self) -> str | None:
@@ -70,19 +73,22 @@ class Encoder:
                 return "word"
         return None
 
-    def _pieces(self, text: str) -> bytes:
-        out: list[int] = []
-        for piece in self._pattern.findall(text):
-            letters = piece.encode().decode("latin-1").translate(self._letters)
-            out += [t.id for t in self._model.tokenize(letters)]
-        return np.array(out, self.dtype).tobytes()
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
+        letters = piece.encode().decode("latin-1").translate(self._letters)
+        return array(self._code, [t.id for t in self._model.tokenize(letters)]).tobytes()
 
     def _chunk(self, key: str) -> bytes:
-        """Keys of the byte kind: ``\\x01`` starts the first chunk of a text, a
-        line feed stands for itself, any other chunk follows one space."""
-        if self._fast == self._words_text or key[:1] == "\n":
-            return self._pieces(key)
-        return self._pieces(key[1:] if key[:1] == "\x01" else " " + key)
+        """Keys of the byte kind: ``\x01`` starts the first chunk of a text, a
+        line feed stands for itself, any other chunk follows one space. A word
+        with at most one mark after it needs no pattern to be cut."""
+        space = " " if self._fast == self._bytes_text else ""
+        if key.isalpha():
+            return self._known[space + key]
+        if key[-1:] in _MARKS and key[:-1].isalpha():
+            return self._known[space + key[:-1]] + self._known[key[-1]]
+        text = key if not space or key[:1] == "\n" else key[1:] if key[:1] == "\x01" else space + key
+        return b"".join(map(self._known.__getitem__, self._pattern.findall(text)))
 
     def _bytes_text(self, text: str) -> bytes | None:
         if _ODD_SPACE.search(text):
