@@ -95,7 +95,7 @@ class Net:
 
     def features(self, peaks: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
         count = np.bincount(doc, minlength=docs)
-        out = np.zeros((docs, 2 * FILTERS), np.float32)
+        out = np.zeros((docs, 2 * FILTERS), peaks.dtype)
         some = np.flatnonzero(count)
         if len(some):
             heads = np.searchsorted(doc, some)
@@ -118,11 +118,13 @@ class Net:
         n, docs = len(chunks), len(labels)
         peaks, best, blocks = self.respond(chunks, where=True)
         f = self.features(peaks, doc, docs)
-        dz = ((1 / (1 + np.exp(-self.logits(f))) - labels) / docs).astype(np.float32)
-        df = dz[:, None] * self.p["out"]
-        count = np.bincount(doc, minlength=docs)
+        dz = ((1 / (1 + np.exp(-self.logits(f))) - labels) / docs).astype(f.dtype)
+        df, count = dz[:, None] * self.p["out"], np.bincount(doc, minlength=docs)
         is_max = peaks == f[doc, FILTERS:]
-        dpeak = df[doc, :FILTERS] / count[doc, None] + df[doc, FILTERS:] * is_max
+        heads = np.searchsorted(doc, np.arange(docs)[count > 0])
+        ties = np.ones((docs, FILTERS), peaks.dtype)
+        ties[count > 0] = np.add.reduceat(is_max, heads, axis=0, dtype=peaks.dtype) if len(heads) else 1
+        dpeak = df[doc, :FILTERS] / count[doc, None] + df[doc, FILTERS:] * is_max / ties[doc]
         dpeak *= peaks > 0
         dboth = np.zeros((n, CHUNK // HOP, 2 * FILTERS), np.float32)
         c, k = np.arange(n)[:, None], np.arange(FILTERS)[None]
