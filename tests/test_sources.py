@@ -73,3 +73,48 @@ def test_pipe_roundtrip_nulls(spark):
     back = readers.read_delimited_text(spark, path, "|")
     assert [tuple(r) for r in back.collect()] == [("1", "1.2", None)]
     assert os.path.isdir(path.replace("file:", ""))
+
+
+def test_snapshot_keeps_values(spark):
+    """Values that pandas would read as they stand: long ids, timestamp text,
+    doubled quotes, blanks in codes; what is no number becomes null."""
+    from clientcurve.session import shared_path
+    from clientcurve.sources import readers
+
+    names = {v: k for k, v in readers.ORG_SNAPSHOT_COLUMNS.items()}
+    fields = ["id", "codes", "econ_group", "crm_curve", "crm_first", "crm_last", "crm_status", "crm_group_status"]
+    lines = [
+        "|".join(names[f] for f in fields),
+        '9007199254740993| 12.13|"G ""A"" x"|27.0|2024-01-05 00:00:00|2024-01-05T00:00:00|171|654',
+        "8|7|plain|1e400|2024-01-06|x|NaN|99999999999",
+        "9.0|||27.5|||inf|",
+    ]
+    path = shared_path(spark, "snapshot")
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    got = {r["id"]: r.asDict() for r in readers.read_orgs_snapshot(spark, path).collect()}
+    a, b, c = got[9007199254740993], got[8], got[9]
+    assert (a["codes"], a["econ_group"], a["crm_curve"], str(a["crm_first"]), str(a["crm_last"])) == (" 12.13", 'G "A" x', 27, "2024-01-05", "2024-01-05")
+    assert (b["crm_curve"], str(b["crm_first"]), b["crm_last"], b["crm_status"], b["crm_group_status"]) == (None, "2024-01-06", None, None, None)
+    assert c["codes"] is None and c["econ_group"] is None and c["crm_status"] is None
+
+
+def test_cluster_needs_a_shared_folder():
+    import pytest
+
+    from clientcurve import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
