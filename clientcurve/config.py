@@ -8,7 +8,7 @@ and can be re-executed after a failure with identical results.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values. These are the option ids, thresholds, labels and field keys of
@@ -97,6 +97,12 @@ class RunConfig:
 
     as_of: _dt.date = DEFAULT_AS_OF
     window_days: int = WINDOW_DAYS
+    # Whole months: from the first day of the month that starts the window to
+    # the last day of the month before the run.
+    month_aligned: bool = False
+    # Leave out invoices dated after the run date from billing dates, so that a
+    # past date gives the same dates however often it is run again.
+    billing_until_as_of: bool = False
     active_days: int = ACTIVE_DAYS
     a_max_share: float = CURVE_A_MAX_SHARE
     b_max_share: float = CURVE_B_MAX_SHARE
@@ -110,20 +116,16 @@ class RunConfig:
 
     @property
     def window_start(self) -> _dt.date:
-        return self.as_of - _dt.timedelta(days=self.window_days)
+        start = self.as_of - _dt.timedelta(days=self.window_days)
+        return start.replace(day=1) if self.month_aligned else start
+
+    @property
+    def window_end(self) -> _dt.date:
+        return self.as_of.replace(day=1) - _dt.timedelta(days=1) if self.month_aligned else self.as_of
 
     @property
     def run_ts(self) -> _dt.datetime:
         return _dt.datetime.combine(self.as_of, _dt.time())
 
     def with_as_of(self, as_of: _dt.date) -> "RunConfig":
-        return RunConfig(
-            as_of=as_of,
-            window_days=self.window_days,
-            active_days=self.active_days,
-            a_max_share=self.a_max_share,
-            b_max_share=self.b_max_share,
-            billing_include_first=self.billing_include_first,
-            dedupe_shared_codes=self.dedupe_shared_codes,
-            field_keys=dict(self.field_keys),
-        )
+        return replace(self, as_of=as_of, field_keys=dict(self.field_keys))

@@ -16,7 +16,7 @@ from .codes import explode_codes, split_codes
 from .demand import demand_mom, mean_demand
 from .headcount import active_headcount, headcount_intervals
 from .outbox import delivery_report, outbox_change_code, payload_column, update_outbox, update_payload
-from .prefix import running_sum, running_sum_single_partition
+from .prefix import running_sum
 from .revenue import (
     billable,
     client_facts,
@@ -30,7 +30,7 @@ from .revenue import (
 )
 from .segments import rdm_profile, segment
 from .status import activity_status, group_status_rollup
-from .summary import curve_movers, curve_summary, report_route
+from .summary import curve_movers, curve_summary, report_route, status_movers
 
 __all__ = [
     "abc_classify",
@@ -72,8 +72,8 @@ __all__ = [
     "rdm_profile",
     "report_route",
     "running_sum",
-    "running_sum_single_partition",
     "segment",
+    "status_movers",
     "split_codes",
     "total_revenue",
     "update_outbox",

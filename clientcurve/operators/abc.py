@@ -58,11 +58,18 @@ def org_abc(orgs: DataFrame, abc: DataFrame) -> DataFrame:
     no revenue (or the organisation has no group).
 
     ``abc`` has one row per group; AQE broadcasts it when its runtime size is
-    small and otherwise splits a hot group on the organisation side."""
+    small and otherwise splits a hot group on the organisation side.
+    Organisations without a group take the defaults and bypass the join, so
+    they are no hot (null) key."""
     g = abc.select("econ_group", F.col("curve").alias("_curve"), F.col("group_status").alias("_gs"))
-    return (
-        orgs.join(g, "econ_group", "left")
+    grouped = (
+        orgs.where(F.col("econ_group").isNotNull())
+        .join(g, "econ_group", "left")
         .withColumn("curve", F.coalesce("_curve", F.lit(C.CURVE_NONE)))
         .withColumn("group_status", F.coalesce("_gs", F.lit(C.GROUP_NEVER)))
         .drop("_curve", "_gs")
     )
+    alone = orgs.where(F.col("econ_group").isNull()).withColumns(
+        {"curve": F.lit(C.CURVE_NONE), "group_status": F.lit(C.GROUP_NEVER)}
+    )
+    return grouped.unionByName(alone)

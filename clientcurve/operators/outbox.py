@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.labels import change_code, delivery_outcome
 from ..functions.nulls import flag_is_one
-from ..sources.dims import fits_broadcast
 
 
 def _first_last_flags():
@@ -69,12 +68,9 @@ def delivery_report(log: DataFrame, http_codes: DataFrame) -> DataFrame:
     """(org_id, run_date, http_code, outcome, description, link): each delivery
     attempt with its outcome label and the HTTP code's description.
 
-    The code dimension is broadcast after a bounded size check (the standard
-    registry has a few dozen rows); a larger file falls back to a shuffle
-    join chosen by AQE."""
+    Nothing runs while the plan is built: Spark broadcasts the code dimension
+    when its size at run time allows it."""
     codes = http_codes.select(F.col("code"), "description", "link")
-    if fits_broadcast(codes):
-        codes = F.broadcast(codes)
     return log.join(codes, log["http_code"] == codes["code"], "left").select(
         "org_id",
         "run_date",

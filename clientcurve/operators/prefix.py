@@ -15,7 +15,7 @@
    the grand total, and are broadcast back (size bounded by the partition
    count, not by the data).
 
-Sums are exact (a DECIMAL value is summed as integer units of its scale),
+Sums are exact (a DECIMAL value is summed with 38 digits),
 so the result does not depend on the partitioning: it equals the
 single-partition window bit for bit.
 """
@@ -30,17 +30,11 @@ from ..session import materialize
 
 _PART = "_rs_part"
 _LOCAL = "_rs_local"
-_UNITS = "_rs_units"
 _TOTAL = "_rs_total"
 _OFFSET = "_rs_offset"
 _GRAND = "_rs_grand"
 
 
-def _scale(df: DataFrame, value: str) -> int | None:
-    t = df.schema[value].dataType
-    return t.scale if isinstance(t, T.DecimalType) else None
-
-
 def running_sum(
     df: DataFrame,
     value: str,
@@ -49,64 +43,45 @@ def running_sum(
     total_out: str | None = "total",
     descending: bool = True,
     num_partitions: int | None = None,
-    regroup: str = "range",
 ) -> DataFrame:
     """Add ``out`` = running total of ``value`` in ``(value, tiebreak)`` order
     (ROWS frame: ties on ``value`` are ordered by ``tiebreak``, never merged),
     and optionally ``total_out`` = the grand total.
 
-    A DECIMAL value is summed as exact integer units of its scale (cents for
-    money) in BIGINT: wide decimals are summed through BigDecimal, integers
-    stay in generated code; an overflow raises under ANSI instead of
-    wrapping. Results are turned back into DECIMAL(38, scale)."""
+    A DECIMAL value of scale s is summed as DECIMAL(38, s), so no total that the
+    type can hold overflows, whatever the ANSI setting."""
     v = F.col(value)
     order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
-    scale = _scale(df, value)
-    units = (v * F.lit(10**scale)).cast("bigint") if scale is not None else v
+    kind = df.schema[value].dataType
+    wide = T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else None
+
+    def exact(c):
+        return c if wide is None else c.cast(wide)
+
 
     # Without an explicit count AQE sizes the range partitions from the data
     # (coalescing merges neighbouring ranges, so partition ids stay in order).
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = ranged.withColumns({_PART: F.spark_partition_id(), _UNITS: units})
-    if regroup == "range":
-        # Bring each range to its own partition for the per-range window: the
-        # ids are distinct and sorted, so a range exchange maps them one to one
-        # (a hash exchange may put two ranges on one reducer), and the window
-        # then needs no further exchange.
-        ranged = ranged.repartitionByRange(_PART)
+    ranged = ranged.withColumn(_PART, F.spark_partition_id())
+    # Bring each range to its own partition for the per-range window: the ids
+    # are distinct and sorted, so a range exchange maps them one to one (a hash
+    # exchange may put two ranges on one reducer), and the window then needs no
+    # further exchange.
+    ranged = ranged.repartitionByRange(_PART)
     w_local = Window.partitionBy(_PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = materialize(ranged.withColumn(_LOCAL, F.sum(_UNITS).over(w_local)))
+    local = materialize(ranged.withColumn(_LOCAL, exact(F.sum(exact(v)).over(w_local))))
 
-    totals = local.groupBy(_PART).agg(F.sum(_UNITS).alias(_TOTAL))
+    totals = local.groupBy(_PART).agg(exact(F.sum(exact(v))).alias(_TOTAL))
     # One row per range partition: a single-partition window is fine here.
     w_prev = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
         _PART,
-        F.coalesce(F.sum(_TOTAL).over(w_prev), F.lit(0)).alias(_OFFSET),
-        F.sum(_TOTAL).over(w_all).alias(_GRAND),
+        exact(F.coalesce(F.sum(_TOTAL).over(w_prev), F.lit(0))).alias(_OFFSET),
+        exact(F.sum(_TOTAL).over(w_all)).alias(_GRAND),
     )
 
-    def back(c):
-        if scale is None:
-            return c
-        return (c.cast(f"decimal(38,0)") / F.lit(10**scale)).cast(f"decimal(38,{scale})")
-
-    res = local.join(F.broadcast(offsets), _PART).withColumn(out, back(F.col(_LOCAL) + F.col(_OFFSET)))
-    if total_out:
-        res = res.withColumn(total_out, back(F.col(_GRAND)))
-    return res.drop(_PART, _UNITS, _LOCAL, _OFFSET, _GRAND)
-
-
-def running_sum_single_partition(
-    df: DataFrame, value: str, tiebreak: str, out: str = "cum", total_out: str | None = "total", descending: bool = True
-) -> DataFrame:
-    """Baseline form with one global window (all rows in one task). Kept for
-    tests and as the benchmark comparison point; not used by the library."""
-    v = F.col(value)
-    order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    res = df.withColumn(out, F.sum(v).over(w))
+    res = local.join(F.broadcast(offsets), _PART).withColumn(out, exact(F.col(_LOCAL) + F.col(_OFFSET)))
     if total_out:
-        res = res.withColumn(total_out, F.sum(v).over(Window.partitionBy()))
-    return res
+        res = res.withColumn(total_out, F.col(_GRAND))
+    return res.drop(_PART, _LOCAL, _OFFSET, _GRAND)

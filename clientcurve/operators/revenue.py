@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import lit_date, month_key
 from ..functions.nulls import sum_or_zero
+from ..session import materialize
 
 
 def billable(invoices: DataFrame) -> DataFrame:
@@ -101,7 +102,10 @@ def client_group_join(client_rev: DataFrame, code_map: DataFrame) -> DataFrame:
     by a large share of the organisations is a hot key on the *right* side,
     which AQE cannot split in a left outer join but can in an inner join. The
     anti join only needs the distinct codes, so a hot code collapses to one
-    row before its shuffle."""
+    row before its shuffle. The client-month rows are stored first: both joins
+    read them, and the anti join must not sink below their aggregate, where it
+    would scan the invoices again."""
+    client_rev = materialize(client_rev)
     m = code_map.select("code", "econ_group")
     matched = client_rev.join(m, client_rev["client_code"] == m["code"], "inner").drop("code")
     codes = code_map.select("code").distinct()

@@ -45,8 +45,13 @@ def group_status_rollup(df: DataFrame, active_days: int = C.ACTIVE_DAYS) -> Data
         .groupBy("econ_group")
         .agg(F.min("_gs1").alias("_gs_group"))
     )
-    return (
-        marked.join(per_group, "econ_group", "left")
+    grouped = (
+        marked.where(F.col("econ_group").isNotNull())
+        .join(per_group, "econ_group", "left")
         .withColumn("group_status", F.col("_gs_group"))
         .drop("_gs1", "_gs_group")
     )
+    # Organisations without a group bypass the join: they are no hot (null) key.
+    alone = marked.where(F.col("econ_group").isNull()).drop("_gs1")
+    alone = alone.withColumn("group_status", F.lit(None).cast(marked.schema["group_status"].dataType))
+    return grouped.unionByName(alone)

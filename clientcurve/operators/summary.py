@@ -42,6 +42,14 @@ def curve_movers(changed: DataFrame) -> DataFrame:
     )
 
 
+def status_movers(changed: DataFrame) -> DataFrame:
+    """(id, econ_group, movement) for the organisations whose status changed:
+    'inactive' for those that are now inactive, 'active' for all others."""
+    return changed.where(flag_is_one("status_changed")).select(
+        "id", "econ_group", F.when(F.col("status") == C.ORG_INACTIVE, F.lit("inactive")).otherwise(F.lit("active")).alias("movement")
+    )
+
+
 def report_route(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     """(run_date, weekday, weekday_label, reports) per distinct run date: the
     weekly report goes out together with the daily one on the weekly day."""

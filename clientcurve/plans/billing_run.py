@@ -55,6 +55,17 @@ class BillingRun:
         self.cfg = cfg or RunConfig()
         self.num_partitions = num_partitions
 
+    @property
+    def _window_days(self) -> int:
+        return (self.cfg.window_end - self.cfg.window_start).days
+
+    @cached_property
+    def billed(self) -> DataFrame:
+        """Invoices that billing dates may see."""
+        if self.cfg.billing_until_as_of:
+            return self.invoices.where(F.col("issue_date") <= F.lit(self.cfg.as_of))
+        return self.invoices
+
     # ------------------------------------------------------------ revenue / ABC
     @cached_property
     def code_map(self) -> DataFrame:
@@ -62,11 +73,11 @@ class BillingRun:
 
     @cached_property
     def client_rev(self) -> DataFrame:
-        return O.client_month_revenue(self.invoices, self.cfg.as_of, self.cfg.window_days)
+        return O.client_month_revenue(self.invoices, self.cfg.window_end, self._window_days)
 
     @cached_property
     def facts(self) -> DataFrame:
-        return materialize(O.client_facts(self.invoices, self.cfg.as_of, self.cfg.window_days))
+        return materialize(O.client_facts(self.billed, self.cfg.window_end, self._window_days))
 
     @cached_property
     def group_facts(self) -> DataFrame:
@@ -74,7 +85,11 @@ class BillingRun:
 
     @cached_property
     def group_rev(self) -> DataFrame:
-        return O.group_window_revenue(self.group_facts)
+        """Window revenue of the groups. Its scan reads the window only; a run
+        that has reduced the whole history already takes it from there."""
+        if "group_facts" in self.__dict__:
+            return O.group_window_revenue(self.group_facts)
+        return O.group_revenue(self.client_rev, self.code_map, self.cfg.dedupe_shared_codes)
 
     @cached_property
     def abc(self) -> DataFrame:
@@ -87,7 +102,9 @@ class BillingRun:
     # ----------------------------------------------------------- billing dates
     @cached_property
     def span(self) -> DataFrame:
-        return self.facts.select("client_code", "first_billed", "last_billed")
+        if "facts" in self.__dict__:
+            return self.facts.select("client_code", "first_billed", "last_billed")
+        return O.billing_span(self.billed)
 
     @cached_property
     def org_dates(self) -> DataFrame:
@@ -105,11 +122,17 @@ class BillingRun:
         Dates are joined on ``id`` first, so the class join, the group
         roll-up aggregate and its join-back all run on one ``econ_group``
         partitioning of the organisation frame."""
+        _ = self.facts, self.group_facts  # both the span and the class: one pass over the history
         frame = O.org_abc(self.orgs.join(self.org_dates, "id", "left"), self.abc)
         # Materialised: the group roll-up reads this frame twice (grouped MIN
         # and the join back), which would otherwise recompute its joins.
         return materialize(O.activity_status(frame, self.cfg.as_of, self.cfg.active_days))
 
+    @cached_property
+    def org_dated(self) -> DataFrame:
+        """Snapshot + dates, recency and status: no class, hence no revenue."""
+        return O.activity_status(self.orgs.join(self.org_dates, "id", "left"), self.cfg.as_of, self.cfg.active_days)
+
     @cached_property
     def org_rollup(self) -> DataFrame:
         return O.group_status_rollup(self.org_status, self.cfg.active_days)
@@ -147,15 +170,24 @@ class BillingRun:
 
     @cached_property
     def grid(self) -> DataFrame:
-        return O.group_month_grid(self.active_groups, self.cfg.window_start, self.cfg.as_of)
+        return O.group_month_grid(self.active_groups, self.cfg.window_start, self.cfg.window_end)
 
     @cached_property
     def intervals(self) -> DataFrame:
         return O.headcount_intervals(self.employees, self.code_map)
 
+    @cached_property
+    def window_intervals(self) -> DataFrame:
+        """Intervals that touch a month of the window; the bounds are plain date
+        predicates, so they reach the scan of the employees."""
+        last_day = F.last_day(F.lit(self.cfg.window_end))
+        first_day = F.lit(self.cfg.window_start.replace(day=1))
+        touching = (F.col("admitted") <= last_day) & (F.col("dismissed").isNull() | (F.col("dismissed") >= first_day))
+        return O.headcount_intervals(self.employees.where(touching), self.code_map)
+
     @cached_property
     def headcount(self) -> DataFrame:
-        return O.active_headcount(self.intervals, self.active_groups, self.cfg.window_start, self.cfg.as_of)
+        return O.active_headcount(self.window_intervals, self.active_groups, self.cfg.window_start, self.cfg.window_end)
 
     @cached_property
     def demand(self) -> DataFrame:
@@ -171,6 +203,7 @@ class BillingRun:
 
     @cached_property
     def profile(self) -> DataFrame:
+        _ = self.group_facts  # revenue and span: one pass over the history
         return O.rdm_profile(self.mean_demand, self.group_rev, self.group_span, self.cfg.as_of)
 
     def recency_segments(self, dim_recency: DataFrame) -> DataFrame:
@@ -180,13 +213,17 @@ class BillingRun:
         return O.segment(self.profile, dim_demand, "mean_demand", "demand_segment", DEMAND_PRECISION)
 
     # -------------------------------------------------------------- the job
-    def write_outputs(self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None) -> dict[str, str]:
-        """Write every output under ``out_dir`` (a shared folder) and return
-        the paths. An output that later outputs derive from is written once
+    def write_outputs(self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None, history: str | None = None) -> dict[str, str]:
+        """Write every output under ``out_dir/run_date=<as_of>`` (a shared
+        folder) and return the paths; other runs' outputs stay. The history of
+        all runs is one table, at ``history`` (``out_dir/history`` by default). An output that later outputs derive from is written once
         and read back as their input, so no chain is computed twice and the
         lineage of every later step starts at a stored table."""
         spark = self.orgs.sparkSession
-        out = out_dir.rstrip("/")
+        root = out_dir.rstrip("/")
+        out = f"{root}/run_date={self.cfg.as_of}"
+        # The job needs the whole history once, and everything else from that.
+        _ = self.facts, self.group_facts
         paths: dict[str, str] = {}
 
         def put(df: DataFrame, name: str) -> DataFrame:
@@ -198,12 +235,13 @@ class BillingRun:
         changed = put(O.changed_orgs(flagged), "changed_orgs")
         put(O.curve_summary(changed), "curve_summary")
         put(O.curve_movers(changed), "curve_movers")
+        put(O.status_movers(changed), "status_movers")
         outbox = O.update_outbox(changed)
         records = outbox.select(
             "*", O.payload_column(self.cfg.field_keys).alias("payload"), F.lit(self.cfg.as_of).alias("run_date")
         )
-        paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{out}/update_outbox")
-        paths["history"] = writers.append_history(changed, f"{out}/history", self.cfg.run_ts)
+        paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{root}/update_outbox")
+        paths["history"] = writers.append_history(changed, history or f"{root}/history", self.cfg.run_ts)
 
         headcount = put(self.headcount, "headcount")
         demand = put(O.demand_mom(headcount), "demand")
@@ -217,6 +255,6 @@ class BillingRun:
         put(profile, "rdm_profile")
         if self.delivery_log is not None and http_codes is not None:
             paths["delivery_report"] = writers.write_partitioned_by_run_date(
-                O.delivery_report(self.delivery_log, http_codes), f"{out}/delivery_report"
+                O.delivery_report(self.delivery_log.where(F.col("run_date") == F.lit(self.cfg.as_of)), http_codes), f"{root}/delivery_report"
             )
         return paths

@@ -3,13 +3,15 @@
     spark-submit -m clientcurve.plans.job \
         --invoices <parquet path> --employees <parquet path> \
         --orgs <delimited snapshot path> --out <shared output folder> \
-        [--as-of YYYY-MM-DD] [--segments <segment JSON>] [--http-codes <file>] \
-        [--delivery-log <parquet path>]
+        [--as-of YYYY-MM-DD] [--segments <segment JSON>] \
+        [--delivery-log <parquet path> --http-codes <file>]
 
 Invoices and employees are read as tables already in the model's column
 names (use ``sources.readers.jdbc_table`` + ``invoices_from_source`` /
 ``employees_from_source`` to read them from the source database instead).
-The run date defaults to today; re-running a date rewrites only that run.
+The run date defaults to today. Outputs go to <out>/run_date=<date>, so re-running
+a date rewrites only that run; the history, the outbox and the delivery report are
+tables of all runs, partitioned by run.
 """
 
 from __future__ import annotations
@@ -29,13 +31,19 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--invoices", required=True)
     p.add_argument("--employees", required=True)
     p.add_argument("--orgs", required=True, help="CRM snapshot, pipe-delimited with header")
-    p.add_argument("--out", required=True, help="shared output folder of this run")
+    p.add_argument("--out", required=True, help="shared output folder of all runs")
     p.add_argument("--as-of", type=_dt.date.fromisoformat, default=_dt.date.today())
     p.add_argument("--segments", help="segment dimensions JSON (defaults to the built-in ones)")
-    p.add_argument("--http-codes", help="HTTP-code dimension file (defaults to the status registry)")
+    p.add_argument("--http-codes", help="HTTP-code dimension file (needed with --delivery-log)")
     p.add_argument("--delivery-log", help="delivery log table (org_id, http_code, run_date)")
+    p.add_argument("--history", help="history table of all runs (defaults to <out>/history)")
     p.add_argument("--orgs-sep", default="|")
-    return p.parse_args(argv)
+    p.add_argument("--month-aligned", action="store_true", help="whole months, up to the month before the run")
+    p.add_argument("--billing-until-as-of", action="store_true", help="no billing date after the run date")
+    a = p.parse_args(argv)
+    if a.delivery_log and not a.http_codes:
+        p.error("--delivery-log needs --http-codes")
+    return a
 
 
 def main(argv=None) -> dict:
@@ -48,10 +56,10 @@ def main(argv=None) -> dict:
         dim_recency, dim_demand = readers.read_segment_dims(spark, a.segments)
     else:
         dim_recency, dim_demand = dims.dim_recency(spark), dims.dim_demand(spark)
-    http_codes = readers.read_http_codes(spark, a.http_codes) if a.http_codes else dims.http_codes(spark)
+    http_codes = readers.read_http_codes(spark, a.http_codes) if a.http_codes else None
     log = spark.read.parquet(a.delivery_log) if a.delivery_log else None
-    run = BillingRun(invoices, employees, orgs, RunConfig(as_of=a.as_of), delivery_log=log)
-    return run.write_outputs(a.out, dim_recency=dim_recency, dim_demand=dim_demand, http_codes=http_codes)
+    run = BillingRun(invoices, employees, orgs, RunConfig(as_of=a.as_of, month_aligned=a.month_aligned, billing_until_as_of=a.billing_until_as_of), delivery_log=log)
+    return run.write_outputs(a.out, dim_recency=dim_recency, dim_demand=dim_demand, http_codes=http_codes, history=a.history)
 
 
 if __name__ == "__main__":

@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from .. import config as C
-from ..sources.dims import http_code_rows
 from .registry import PREVIOUS_RUN_GAP_DAYS
 
 AS_OF = C.DEFAULT_AS_OF
@@ -373,10 +372,12 @@ def _history_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    recency = _values(C.RECENCY_SEGMENTS, ["r_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "INTEGER", "INTEGER"])
-    demand = _values(C.DEMAND_SEGMENTS, ["d_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "DOUBLE", "DOUBLE"])
+    recency = _values([(1, "R1", 366, 99999999), (2, "R2", 211, 365), (3, "R3", 91, 210), (4, "R4", 31, 90), (5, "R5", 0, 30)], ["r_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "INTEGER", "INTEGER"])
+    demand = _values([(1, "D1", -10.0, 0.0), (2, "D2", 0.01, 0.04), (3, "D3", 0.041, 0.08), (4, "D4", 0.081, 0.12), (5, "D5", 0.121, 10.0)], ["d_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "DOUBLE", "DOUBLE"])
     http = _values(
-        [(c, d, link) for c, d, link, _ in http_code_rows()], ["code", "description", "link"], ["INTEGER", "VARCHAR", "VARCHAR"]
+        # the codes that occur in the delivery log
+        [(c, d, f"https://developer.mozilla.org/en-US/docs/Web/HTTP/Reference/Status/{c}") for c, d in ((200, "OK"), (201, "Created"), (404, "Not Found"), (500, "Internal Server Error"))],
+        ["code", "description", "link"], ["INTEGER", "VARCHAR", "VARCHAR"]
     )
     weekday_labels = "[" + ", ".join(_s(x) for x in C.WEEKDAY_LABELS) + "]"
     q = {
@@ -501,6 +502,27 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {_big('id')}, codes, econ_group, {_big('crm_curve')}, {_iso('crm_first')}, {_iso('crm_last')},
                    {_big('crm_status')}, {_big('crm_group_status')} FROM orgs"""
         ),
+        "status_movers": _std(
+            f"""SELECT {_big('id')}, econ_group, CASE WHEN status = 172 THEN 'inactive' ELSE 'active' END AS movement
+            FROM changed WHERE status_changed = 1"""
+        ),
+        "segment_file_roundtrip": _std(
+            f"""SELECT p.econ_group, {_big('p.days_since_last')}, t.segment AS recency_segment
+            FROM profile p LEFT JOIN {recency} ON p.days_since_last BETWEEN t.lo AND t.hi""",
+            demand=True,
+        ),
+        "http_file_roundtrip": _std(
+            f"""SELECT {_big('d.http_code')},
+                   CASE WHEN d.http_code IS NULL THEN 'Erro' WHEN d.http_code = 200 THEN 'Sucesso' ELSE 'Falha' END AS outcome,
+                   t.description, count(*) AS attempts
+            FROM delivery_log d LEFT JOIN {http} ON d.http_code = t.code GROUP BY ALL"""
+        ),
+        "delivery_report_roundtrip": _std(
+            f"""SELECT {_iso('run_date')},
+                   CASE WHEN http_code IS NULL THEN 'Erro' WHEN http_code = 200 THEN 'Sucesso' ELSE 'Falha' END AS outcome,
+                   count(*) AS attempts
+            FROM delivery_log GROUP BY ALL"""
+        ),
         "date_coerce": _std(
             """SELECT source, key, raw, strftime(CAST(try_strptime(raw, '%Y%m%d') AS DATE), '%Y-%m-%d') AS parsed
             FROM (SELECT 'billing_first' AS source, client_code AS key, strftime(first_billed, '%Y%m%d') AS raw FROM span

@@ -10,11 +10,13 @@ parameter ``RunConfig.as_of`` (the last order date of the fixture data).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from .. import operators as O
 from ..config import RunConfig
 from ..functions.dates import coerce_date
@@ -148,7 +150,7 @@ def q_org_billing_span(spark, sf_dir):
 
 def q_org_activity_status(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_status.selectExpr(_big("id"), _iso("last_billed"), _big("days_since_last"), _big("status"))
+    return r.org_dated.selectExpr(_big("id"), _iso("last_billed"), _big("days_since_last"), _big("status"))
 
 
 def q_group_status_rollup(spark, sf_dir):
@@ -158,7 +160,7 @@ def q_group_status_rollup(spark, sf_dir):
 
 def q_flag_billing_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_billing_change(r.org_rollup).selectExpr(
+    return O.flag_billing_change(r.org_dated).selectExpr(
         _big("id"),
         _iso("first_billed"),
         _iso("crm_first"),
@@ -172,7 +174,7 @@ def q_flag_billing_change(spark, sf_dir):
 
 def q_flag_status_change(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return O.flag_status_change(r.org_rollup).selectExpr(
+    return O.flag_status_change(r.org_dated).selectExpr(
         _big("id"), _big("days_since_last"), _big("status"), _big("crm_status"), _big("status_changed")
     )
 
@@ -370,6 +372,42 @@ def q_csv_pipe_roundtrip(spark, sf_dir):
     )
 
 
+def q_status_movers(spark, sf_dir):
+    return O.status_movers(run_for(spark, sf_dir).changed).selectExpr(_big("id"), "econ_group", "movement")
+
+
+def q_segment_file_roundtrip(spark, sf_dir):
+    """Recency segments of the profile by dimensions read from a JSON file."""
+    path = shared_path(spark, "segments-json")
+    names = ["R_ID", "R_Segmento", "minimo", "maximo"]
+    doc = {
+        "DimRecencia": [dict(zip(names, r, strict=True)) for r in C.RECENCY_SEGMENTS],
+        "DimDemanda": [dict(zip(["D_ID", "D_Segmento", "minimo", "maximo"], r, strict=True)) for r in C.DEMAND_SEGMENTS],
+    }
+    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.text(path)
+    recency, _ = readers.read_segment_dims(spark, path)
+    r = run_for(spark, sf_dir)
+    return r.recency_segments(recency).selectExpr("econ_group", _big("days_since_last"), "recency_segment")
+
+
+def q_http_file_roundtrip(spark, sf_dir):
+    """Delivery attempts described by a semicolon file with a byte-order mark and
+    a repeated header name."""
+    path = shared_path(spark, "http-csv")
+    lines = ["\ufeffCode;Text;Link;Text"] + [f"{c};{d};{link};" for c, d, link, _ in dims.http_code_rows()]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    report = O.delivery_report(FixtureTables(spark, sf_dir).delivery_log, readers.read_http_codes(spark, path))
+    return report.groupBy("http_code", "outcome", "description").agg(F.count("*").alias("attempts")).selectExpr(_big("http_code"), "outcome", "description", "attempts")
+
+
+def q_delivery_report_roundtrip(spark, sf_dir):
+    """The delivery report, written as a table partitioned by run date and read back."""
+    path = shared_path(spark, "delivery-report")
+    writers.write_partitioned_by_run_date(O.delivery_report(FixtureTables(spark, sf_dir).delivery_log, dims.http_codes(spark)), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("run_date", "outcome").agg(F.count("*").alias("attempts")).selectExpr(_iso("run_date"), "outcome", "attempts")
+
+
 def q_date_coerce(spark, sf_dir):
     """Text dates parsed without failing: billing dates as 'yyyyMMdd' text
     (valid), stored first dates (null where missing) and market-segment text
@@ -424,6 +462,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_union": q_history_union,
     "history_append_roundtrip": q_history_append_roundtrip,
     "csv_pipe_roundtrip": q_csv_pipe_roundtrip,
+    "status_movers": q_status_movers,
+    "segment_file_roundtrip": q_segment_file_roundtrip,
+    "http_file_roundtrip": q_http_file_roundtrip,
+    "delivery_report_roundtrip": q_delivery_report_roundtrip,
     "date_coerce": q_date_coerce,
     "report_route": q_report_route,
 }
