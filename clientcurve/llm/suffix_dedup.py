@@ -408,8 +408,11 @@ def repeated_cuts(docs: DataFrame, text_col: str = "text", length: int = 400, gr
 
     # Anchors that occur more than once, then the runs of these alone.
     often = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    alike = ["key", "at", "starts", "lead", "anchor", "span"]
-    live = stored(runs.join(often, "anchor").groupBy(*alike).agg(F.count("*").alias("m")), "dedup-live")
+    # Grouping by a struct keeps Spark from aggregating where the join has put an
+    # anchor's rows: it can split the join of a hot anchor, and copies are
+    # combined in each task before they are dealt anew.
+    live = runs.join(often, "anchor").groupBy("key", "at", "starts", "lead", F.struct("anchor", "span").alias("what")).agg(F.count("*").alias("m"))
+    live = stored(live.select("key", "at", "starts", "lead", "what.*", "m"), "dedup-live")
     place = F.struct("key", "at", "starts", "lead")
     kinds = stored(live.groupBy("anchor", "span").agg(F.sum("m").alias("m"), F.min(place).alias("rep")), "dedup-spans")
     whole = live.join(kinds.where("m > 1").select("anchor", "span"), ["anchor", "span"]).select("key", "at", "starts")
