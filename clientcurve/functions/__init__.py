@@ -2,11 +2,8 @@
 
 from .dates import (
     coerce_date,
-    day_key,
     days_between,
-    iso,
     month_key,
-    month_start,
     month_starts_between,
 )
 from .labels import change_code, curve_label, delivery_outcome, trend, weekday_label, weekday_number
@@ -16,14 +13,11 @@ __all__ = [
     "change_code",
     "coerce_date",
     "curve_label",
-    "day_key",
     "days_between",
     "delivery_outcome",
     "false_if_null",
     "flag_is_one",
-    "iso",
     "month_key",
-    "month_start",
     "month_starts_between",
     "pandas_ne",
     "pandas_ne_flag",

@@ -25,26 +25,11 @@ def month_key(d) -> Column:
     return F.lpad((F.year(d) * 100 + F.month(d)).cast("string"), 6, "0")
 
 
-def day_key(d) -> Column:
-    """DATE -> 'yyyyMMdd'."""
-    return F.date_format(_c(d), DAY_FMT)
-
-
-def iso(d) -> Column:
-    """DATE -> 'yyyy-MM-dd'."""
-    return F.date_format(_c(d), ISO_FMT)
-
-
 def coerce_date(text, fmt: str = DAY_FMT) -> Column:
     """Parse text as a date; an unparsable value gives null instead of an error."""
     return F.try_to_date(_c(text), fmt)
 
 
-def month_start(month) -> Column:
-    """'yyyyMM' -> DATE of the first day of that month."""
-    return F.try_to_date(_c(month), MONTH_FMT)
-
-
 def first_month_start_on_or_after(d) -> Column:
     """The first month start that is not before ``d``."""
     d = _c(d)

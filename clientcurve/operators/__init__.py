@@ -2,7 +2,7 @@
 Spark's own expressions, joins, aggregates and windows."""
 
 from .abc import abc_classify, cumulative_revenue, curve_class, org_abc
-from .billing import billing_span, group_billing_span, org_billing_span, org_dates
+from .billing import billing_span, org_billing_span, org_dates
 from .calendar import group_month_grid, month_calendar
 from .changes import (
     changed_orgs,
@@ -54,7 +54,6 @@ __all__ = [
     "flag_curve_change",
     "flag_group_status_change",
     "flag_status_change",
-    "group_billing_span",
     "group_code_pairs",
     "group_facts",
     "group_month_grid",

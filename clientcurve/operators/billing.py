@@ -39,12 +39,3 @@ def org_billing_span(orgs: DataFrame, span: DataFrame, code_map: DataFrame | Non
     none of its codes billed."""
     cm = code_map if code_map is not None else explode_codes(orgs)
     return orgs.select("id").join(org_dates(cm, span), "id", "left")
-
-
-def group_billing_span(code_map: DataFrame, span: DataFrame) -> DataFrame:
-    """(econ_group, first_billed, last_billed) over all codes of the group."""
-    return (
-        _code_dates(code_map.where(F.col("econ_group").isNotNull()), span)
-        .groupBy("econ_group")
-        .agg(F.min("first_billed").alias("first_billed"), F.max("last_billed").alias("last_billed"))
-    )

@@ -143,7 +143,7 @@ def q_org_abc(spark, sf_dir):
 
 def q_org_billing_span(spark, sf_dir):
     r = run_for(spark, sf_dir)
-    return r.org_abc.join(r.org_dates, "id", "left").selectExpr(
+    return r.org_abc.join(O.org_billing_span(r.orgs, r.span, r.code_map), "id", "left").selectExpr(
         _big("id"), _big("curve"), _big("group_status"), _iso("first_billed"), _iso("last_billed")
     )
 

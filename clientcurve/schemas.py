@@ -14,15 +14,6 @@ INVOICES = T.StructType(
     ]
 )
 
-EMPLOYEES = T.StructType(
-    [
-        T.StructField("client_code", T.StringType(), False),
-        T.StructField("employee_code", T.StringType(), True),
-        T.StructField("admitted", T.DateType(), True),
-        T.StructField("dismissed", T.DateType(), True),
-    ]
-)
-
 # CRM organisation snapshot. ``codes`` is a dot-separated list of contract
 # codes and must stay a string (a float reading turns "10.19" into 10.19).
 ORGS = T.StructType(
@@ -38,9 +29,6 @@ ORGS = T.StructType(
     ]
 )
 
-# The same snapshot as text, the way it arrives in a delimited file.
-ORGS_TEXT = T.StructType([T.StructField(f.name, T.StringType(), f.nullable) for f in ORGS.fields])
-
 HTTP_CODES = T.StructType(
     [
         T.StructField("code", T.IntegerType(), False),
@@ -100,11 +88,3 @@ SEGMENT_DIMS_JSON = T.StructType(
         ),
     ]
 )
-
-DELIVERY_LOG = T.StructType(
-    [
-        T.StructField("org_id", T.LongType(), False),
-        T.StructField("http_code", T.IntegerType(), True),
-        T.StructField("run_date", T.DateType(), True),
-    ]
-)

@@ -1,7 +1,7 @@
 """Sources: the driver fixture binding, production readers and fixed dimensions."""
 
 from .dims import dim_demand, dim_recency, http_codes
-from .fixtures import FixtureTables, fixture_tables
+from .fixtures import FixtureTables
 from .readers import (
     employees_from_source,
     invoices_from_source,
@@ -20,7 +20,6 @@ __all__ = [
     "dim_demand",
     "dim_recency",
     "employees_from_source",
-    "fixture_tables",
     "http_codes",
     "invoices_from_source",
     "jdbc_query",

@@ -10,16 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config as C
 from .. import schemas as S
 
-# Upper bound on rows of a dimension that may be broadcast.
-MAX_DIM_ROWS = 10000
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_DIM_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows, so the check costs the same for any input size."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
 def http_code_rows() -> list[tuple]:
     """(code, description, link, detail) for every standard HTTP status code.
 

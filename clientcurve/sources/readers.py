@@ -120,6 +120,8 @@ def read_delimited_text(spark: SparkSession, path: str, sep: str) -> DataFrame:
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", "UTF-8")
+        .option("quote", '"')
+        .option("escape", '"')  # a doubled quote stands for one
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
@@ -131,17 +133,25 @@ def orgs_from_text(df: DataFrame, columns: dict = ORG_SNAPSHOT_COLUMNS, date_fmt
     reordered export columns are harmless; codes stay text."""
     c = {v: F.col(_q(k)) for k, v in columns.items()}
 
+    def whole(x, kind):
+        # "27" and "27.0" both occur in exports; anything else becomes null. Only
+        # text with a fraction goes through a double, so long ids keep their digits.
+        return F.coalesce(x.try_cast(kind), F.nullif(x.try_cast("double"), F.lit(float("nan"))).try_cast(kind))
+
     def as_int(x):
-        # "27" and "27.0" both occur in exports; anything else becomes null.
-        return x.try_cast("double").cast("int")
+        return whole(x, "int")
+
+    def as_date(x):
+        # Stored dates also come as timestamp text.
+        return F.coalesce(coerce_date(x, date_fmt), x.try_cast("timestamp_ntz").cast("date"))
 
     return df.select(
-        c["id"].try_cast("double").cast("bigint").alias("id"),
-        F.nullif(F.trim(c["codes"]), F.lit("")).alias("codes"),
+        whole(c["id"], "bigint").alias("id"),
+        F.nullif(c["codes"], F.lit("")).alias("codes"),
         F.nullif(c["econ_group"], F.lit("")).alias("econ_group"),
         as_int(c["crm_curve"]).alias("crm_curve"),
-        coerce_date(c["crm_first"], date_fmt).alias("crm_first"),
-        coerce_date(c["crm_last"], date_fmt).alias("crm_last"),
+        as_date(c["crm_first"]).alias("crm_first"),
+        as_date(c["crm_last"]).alias("crm_last"),
         as_int(c["crm_status"]).alias("crm_status"),
         as_int(c["crm_group_status"]).alias("crm_group_status"),
     )
