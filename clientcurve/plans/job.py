@@ -6,9 +6,8 @@
         [--as-of YYYY-MM-DD] [--segments <segment JSON>] \
         [--delivery-log <parquet path> --http-codes <file>]
 
-Invoices and employees are read as tables already in the model's column
-names (use ``sources.readers.jdbc_table`` + ``invoices_from_source`` /
-``employees_from_source`` to read them from the source database instead).
+Invoices and employees are read as Parquet in the model's column names, or, with
+``--jdbc-url``, as tables of the source database in its own column names.
 The run date defaults to today. Outputs go to <out>/run_date=<date>, so re-running
 a date rewrites only that run; the history, the outbox and the delivery report are
 tables of all runs, partitioned by run.
@@ -19,7 +18,7 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..config import RunConfig
 from ..sources import dims, readers
@@ -28,8 +27,11 @@ from .billing_run import BillingRun
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="client-billing run")
-    p.add_argument("--invoices", required=True)
-    p.add_argument("--employees", required=True)
+    p.add_argument("--invoices", required=True, help="Parquet path, or table name with --jdbc-url")
+    p.add_argument("--employees", required=True, help="Parquet path, or table name with --jdbc-url")
+    p.add_argument("--jdbc-url", help="read invoices and employees from this database, in its column names")
+    p.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE", help="reader option, e.g. user=...; may repeat")
+    p.add_argument("--jdbc-slices", type=int, default=16, help="parallel reads of a table, by issue date or admission date")
     p.add_argument("--orgs", required=True, help="CRM snapshot, pipe-delimited with header")
     p.add_argument("--out", required=True, help="shared output folder of all runs")
     p.add_argument("--as-of", type=_dt.date.fromisoformat, default=_dt.date.today())
@@ -46,11 +48,25 @@ def parse_args(argv=None) -> argparse.Namespace:
     return a
 
 
+def read_facts(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
+    """Invoices and employees in the model's columns, from Parquet or a database.
+    Rows before the first slice's bound go to the first slice, none is lost."""
+    if not a.jdbc_url:
+        return spark.read.parquet(a.invoices), spark.read.parquet(a.employees)
+    options = dict(o.split("=", 1) for o in a.jdbc_option)
+
+    def table(name: str, column: str, years: int) -> DataFrame:
+        first = a.as_of.replace(year=a.as_of.year - years, day=1)
+        return readers.jdbc_table(spark, a.jdbc_url, name, options, column, f"{first} 00:00:00", f"{a.as_of} 00:00:00", a.jdbc_slices)
+
+    invoices = readers.invoices_from_source(table(a.invoices, "DataEmissao", 5))
+    return invoices, readers.employees_from_source(table(a.employees, "DataAdmissao", 20))
+
+
 def main(argv=None) -> dict:
     a = parse_args(argv)
     spark = SparkSession.builder.appName(f"clientcurve-{a.as_of}").getOrCreate()
-    invoices = spark.read.parquet(a.invoices)
-    employees = spark.read.parquet(a.employees)
+    invoices, employees = read_facts(spark, a)
     orgs = readers.read_orgs_snapshot(spark, a.orgs, sep=a.orgs_sep)
     if a.segments:
         dim_recency, dim_demand = readers.read_segment_dims(spark, a.segments)

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from clientcurve import sources
-from clientcurve.plans.registry import run_for
+from clientcurve.plans.registry import QUERIES, run_for
 from clientcurve.session import shared_path
 
 from .conftest import SF_SMALL
@@ -41,11 +41,41 @@ def test_write_outputs(spark):
     assert spark.read.parquet(paths["update_outbox"]).count() == 138
     prof = spark.read.parquet(paths["rdm_profile"])
     assert {"recency_segment", "demand_segment"} <= set(prof.columns)
-    assert spark.read.parquet(paths["delivery_report"]).count() == 1000
+    # the delivery report holds the run's own date
+    log = r.delivery_log.where(f"run_date = DATE '{r.cfg.as_of}'").count()
+    assert _rows(spark, paths["delivery_report"]) == log
+
+
+def _rows(spark, path):
+    return spark.read.schema("org_id long").parquet(path).count()
+
+
+def test_two_dates_share_one_output(spark):
+    """Two runs, then the older again: both runs' tables stay, the history adds up."""
+    import datetime as dt
+
+    from clientcurve import RunConfig
+    from clientcurve.plans.billing_run import BillingRun
+    from clientcurve.sources.fixtures import FixtureTables
+
+    t = FixtureTables(spark, SF_SMALL)
+    out = shared_path(spark, "runs")
+
+    def once(day):
+        run = BillingRun(t.invoices, t.employees, t.orgs, RunConfig(as_of=day))
+        return run.write_outputs(out, history=f"{out}/all-history")
+
+    new, old = once(dt.date(2001, 8, 1)), once(dt.date(2001, 1, 1))
+    n, o = (spark.read.parquet(p["changed_orgs"]).count() for p in (new, old))
+    assert n == 138 and new["changed_orgs"] != old["changed_orgs"]
+    once(dt.date(2001, 1, 1))
+    assert spark.read.parquet(new["changed_orgs"]).count() == n and spark.read.parquet(old["changed_orgs"]).count() == o
+    assert spark.read.parquet(f"{out}/all-history").count() == n + o
+
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +83,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
     assert res["cols_match"], res
@@ -73,7 +103,9 @@ def test_spark_submit_job(spark, tmp_path):
     base = shared_path(spark, "job")
     t.invoices.write.parquet(f"{base}/invoices")
     t.employees.write.parquet(f"{base}/employees")
-    t.delivery_log.write.parquet(f"{base}/log")
+    # some attempts on the run's date, the others on other dates
+    log = t.delivery_log.selectExpr("org_id", "http_code", "if(http_code = 404, DATE '2001-08-01', run_date) AS run_date")
+    log.write.parquet(f"{base}/log")
     crm = t.orgs.select([t.orgs[v].alias(k) for k, v in readers.ORG_SNAPSHOT_COLUMNS.items()])
     writers.write_delimited(crm, f"{base}/orgs", sep="|")
     import json
@@ -107,7 +139,7 @@ def test_spark_submit_job(spark, tmp_path):
     )
     assert spark.read.parquet(paths["changed_orgs"]).count() == 138
     report = spark.read.parquet(paths["delivery_report"])
-    assert report.count() == 1000
+    assert report.count() == log.where("run_date = DATE '2001-08-01'").count() > 0
     assert {r["description"] for r in report.where("http_code = 404").select("description").distinct().collect()} == {"Not Found"}
     prof = spark.read.parquet(paths["rdm_profile"])
     assert prof.where("recency_segment IS NOT NULL").count() > 0
@@ -123,3 +155,34 @@ def test_outbox_has_exactly_the_changed_ids_and_rollup_is_constant(spark):
     )
     distinct = r.org_rollup.where("econ_group IS NOT NULL").select("econ_group", "group_status").distinct()
     assert distinct.count() == per_group.count()
+
+
+def test_job_reads_database_tables_in_slices(spark, monkeypatch):
+    """Plan level only: the database reader is replaced by rows in the source's
+    columns, and what it is asked for is looked at."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from clientcurve.plans import job
+    from clientcurve.sources import readers
+
+    asked = []
+    tables = {
+        "dbo.Notas": spark.createDataFrame(
+            [(7, dt.datetime(2024, 3, 1, 5), Decimal("1.50"), "F", 3)], "CodigoCliente int, DataEmissao timestamp, ValorBruto decimal(10,2), Status string, NroNfe int"
+        ),
+        "dbo.Func": spark.createDataFrame([(7, 9, dt.datetime(2020, 1, 2), None)], "CodigoCliente int, CodigoFuncionario int, DataAdmissao timestamp, DataDemissao timestamp"),
+    }
+
+    def fake(session, url, table, properties=None, column=None, low=None, high=None, slices=None):
+        asked.append((url, table, properties, column, low, high, slices))
+        return tables[table]
+
+    monkeypatch.setattr(readers, "jdbc_table", fake)
+    base = ["--invoices", "dbo.Notas", "--employees", "dbo.Func", "--orgs", "x", "--out", "y", "--as-of", "2024-06-30"]
+    a = job.parse_args([*base, "--jdbc-url", "jdbc:sqlserver://h", "--jdbc-option", "user=u", "--jdbc-slices", "4"])
+    invoices, employees = job.read_facts(spark, a)
+    assert [tuple(r) for r in invoices.collect()] == [("7", dt.date(2024, 3, 1), Decimal("1.50"), "F", 3)]
+    assert [tuple(r) for r in employees.collect()] == [("7", "9", dt.date(2020, 1, 2), None)]
+    assert asked[0] == ("jdbc:sqlserver://h", "dbo.Notas", {"user": "u"}, "DataEmissao", "2019-06-01 00:00:00", "2024-06-30 00:00:00", 4)
+    assert asked[1][1:4] == ("dbo.Func", {"user": "u"}, "DataAdmissao")
