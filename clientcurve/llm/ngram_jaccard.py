@@ -53,9 +53,9 @@ from ._hashing import PrefixHash, mix
 SLICE_BYTES = 2 << 20
 HISTOGRAM_BITS = 20  # buckets of the n-gram counts: a table of 4 MB
 CHUNK_BITS = 14
-SKETCH_BITS = 1024  # or half the set's size, if that is more
+SKETCH_BITS = 1024  # at least; more for large sets, see sketch()
 COLUMN_ROWS = 2048  # longer columns tie all their rows, which only widens a group
-BLOCK_NGRAMS = 1 << 19  # n-grams of one block: 4 MB of hashes
+BLOCK_NGRAMS = 1 << 20  # n-grams of one block: 8 MB of hashes
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -111,10 +111,12 @@ def set_key(grams: np.ndarray) -> bytes | None:
     return mix(both + np.uint64(len(grams))).tobytes()
 
 
-def sketch(grams: np.ndarray) -> bytes:
-    """Parity of a set in each bucket; buckets are a power of two, at least
-    SKETCH_BITS and a quarter of the set's size."""
-    bits = max(SKETCH_BITS, 1 << max(0, len(grams).bit_length() - 2))
+def sketch(grams: np.ndarray, num: int, den: int) -> bytes:
+    """Parity of a set in each bucket. Unrelated sets differ in nearly half the
+    buckets; for that to exceed what a link allows, (a + b) * (den - num) /
+    (den + num) bits, the buckets grow with the set: a power of two."""
+    need = -(-5 * len(grams) * (den - num) // (den + num))
+    bits = max(SKETCH_BITS, 1 << max(0, need - 1).bit_length())
     odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -141,7 +143,7 @@ def _prefix_length(size: int, num: int, den: int) -> int:
     return size - -(-size * num // den) + 1
 
 
-def _sets_and_counts(docs: DataFrame, n: int) -> DataFrame:
+def _sets_and_counts(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Rows of kind 0: one for each document; of kind 1: bucket counts of a task."""
     id_type = docs.schema["__id"].dataType.simpleString()
     schema = f"kind int, __id {id_type}, n long, key binary, k long, sketch binary, text_hash long, chunk int, counts binary"
@@ -159,7 +161,7 @@ def _sets_and_counts(docs: DataFrame, n: int) -> DataFrame:
                 keys = [set_key(s) for s in sets]
                 yield _rows(
                     schema_names,
-                    [np.zeros(size, np.int32), ids.slice(lo, size), [len(s) for s in sets], keys, [None if k is None else _short(k) for k in keys], [sketch(s) for s in sets], hashes.slice(lo, size), [None] * size, [None] * size],
+                    [np.zeros(size, np.int32), ids.slice(lo, size), [len(s) for s in sets], keys, [None if k is None else _short(k) for k in keys], [sketch(s, num, den) for s in sets], hashes.slice(lo, size), [None] * size, [None] * size],
                     ids_type,
                 )
         if ids_type is not None:
@@ -328,7 +330,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
-    table = stored(_sets_and_counts(base, n), "ngram-sets")
+    table = stored(_sets_and_counts(base, n, num, den), "ngram-sets")
     counts = spark.sparkContext.broadcast(_total_counts(table))
     rows = table.where("kind = 0").select("__id", "n", "key", "k", "sketch", "text_hash")
 

@@ -90,7 +90,7 @@ def test_sketches_bound_the_difference():
     for size in (3, 900, 5000, 40_000):
         a = np.unique(rnd.integers(0, 1 << 63, size, dtype=np.uint64))
         b = np.unique(np.concatenate([a[: len(a) * 9 // 10], rnd.integers(0, 1 << 63, size // 8 + 1, dtype=np.uint64)]))
-        x = J._stacked([J.sketch(a), J.sketch(b)])
+        x = J._stacked([J.sketch(a, 80, 100), J.sketch(b, 80, 100)])
         assert np.bitwise_count(x[0] ^ x[1]).sum() <= len(np.setxor1d(a, b))
 
 
