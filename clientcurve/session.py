@@ -45,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        # Nothing configured (local tests): use a fresh private folder.
+        if not sc.master.startswith("local["):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        # Nothing configured and one process (tests): a fresh private folder.
         configured = tempfile.mkdtemp(prefix="clientcurve-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, configured)
     sc.setCheckpointDir(configured)
