@@ -9,7 +9,8 @@ have equal content, hence the same *anchor*: the smallest (hash, then leftmost)
 of the ``gram``-byte substrings inside them. So
 
 1. each document's string starts fall into *runs*, maximal ranges of starts with
-   one anchor. A run is keyed by its anchor's hash and by the hash of its whole
+   one anchor (a text of over a MiB is read in overlapping stretches, and a run
+   may end with its stretch). A run is keyed by its anchor's hash and by the hash of its whole
    span (first start to last start + length). One row a run: identical documents
    and passages collapse in the map-side combine;
 2. runs whose anchor occurs once are unique; runs whose whole span occurs again
@@ -77,7 +78,9 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     grams = first.grams(gram)
     hashes = mix(grams)
     place = np.arange(len(hashes), dtype=np.uint64)
-    packed = (hashes >> np.uint64(PLACE_BITS)) << np.uint64(PLACE_BITS) | place
+    # Stretches are no longer than this; the bits depend on nothing else, so that equal strings have one anchor everywhere.
+    bits = max(PLACE_BITS, (SLICE_BYTES + length).bit_length())
+    packed = (hashes >> np.uint64(bits)) << np.uint64(bits) | place
     best = _window_min(packed, length - gram + 1)  # of each start of a string
     starts_in = np.maximum(np.diff(offsets) - length + 1, 0)
     total = int(starts_in.sum())
@@ -86,7 +89,7 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     doc = np.repeat(np.arange(len(starts_in)), starts_in)
     at = np.arange(total) - np.repeat(np.cumsum(starts_in) - starts_in, starts_in)
     glob = at + offsets[doc]
-    anchor = (best[glob] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    anchor = (best[glob] & np.uint64((1 << bits) - 1)).astype(np.int64)
     new = np.ones(total, bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
     heads = np.flatnonzero(new)
@@ -104,26 +107,37 @@ def text_key(text: np.ndarray) -> bytes:
     return hashlib.md5(text.tobytes(), usedforsecurity=False).digest()
 
 
+def stretches(data: np.ndarray, offsets: np.ndarray, length: int, size: int):
+    """(bytes, offsets, first byte) of a slice's stretches: the slice itself, or
+    pieces of a text that is longer than ``size``. Pieces overlap by
+    ``length - 1`` bytes, so every string starts in exactly one."""
+    if len(data) <= size:
+        yield data, offsets, 0
+        return
+    for lo in range(0, max(len(data) - length + 1, 0), size):
+        part = data[lo : lo + size + length - 1]
+        yield part, np.array([0, len(part)]), lo
+
+
 def _runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for lo, _, data, off in text_slices(batch, "text", SLICE_BYTES):
-                if len(data) >> PLACE_BITS:
-                    raise ValueError(f"a text of {len(data)} bytes is longer than anchors can address")
+            for lo, _, whole, offsets in text_slices(batch, "text", SLICE_BYTES):
                 keys = batch.column(0)
-                doc, at, count, lead, anchor, span = anchor_runs(data, off, length, gram)
-                if len(doc):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys.take(pa.array(doc + lo)),
-                            pa.array(at.astype(np.int32)),
-                            pa.array(count.astype(np.int32)),
-                            pa.array(lead.astype(np.int32)),
-                            pa.array(anchor.view(np.int64)),
-                            pa.array(span.view(np.int64)),
-                        ],
-                        names=["key", "at", "starts", "lead", "anchor", "span"],
-                    )
+                for data, off, shift in stretches(whole, offsets, length, SLICE_BYTES):
+                    doc, at, count, lead, anchor, span = anchor_runs(data, off, length, gram)
+                    if len(doc):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                keys.take(pa.array(doc + lo)),
+                                pa.array((at + shift).astype(np.int32)),
+                                pa.array(count.astype(np.int32)),
+                                pa.array(lead.astype(np.int32)),
+                                pa.array(anchor.view(np.int64)),
+                                pa.array(span.view(np.int64)),
+                            ],
+                            names=["key", "at", "starts", "lead", "anchor", "span"],
+                        )
 
     return texts.mapInArrow(run, "key binary, at int, starts int, lead int, anchor long, span long")
 
@@ -367,6 +381,16 @@ def _counted(spans: DataFrame, length: int, parts: int) -> DataFrame:
     return table.where("key IS NOT NULL").select("key", "at", "starts").union(meeting.mapInArrow(meet, RANGES))
 
 
+def _merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges [first, end) with those that overlap or touch made one."""
+    order = np.argsort(first, kind="stable")
+    first, end = first[order].astype(np.int64), np.maximum.accumulate(end[order].astype(np.int64))
+    new = np.ones(len(first), bool)
+    new[1:] = first[1:] > end[:-1]
+    heads = np.flatnonzero(new)
+    return first[heads], end[np.append(heads[1:], len(first)) - 1]
+
+
 def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
     """Rows (key, ranges, text) -> per text: removed bytes, spans, hash and
     (on demand) what is left."""
@@ -382,11 +406,11 @@ def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
                 for i, text in enumerate(b.column(2)):
                     raw = text.as_py() or b""
                     x, n = (v[ends[i - 1] if i else 0 : ends[i]] for v in (at, starts))
-                    cover = np.bincount(x, minlength=len(raw) + 1) - np.bincount(x + n - 1 + length, minlength=len(raw) + 1)
-                    gone = np.cumsum(cover[:-1]) > 0
-                    rest = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                    removed.append(int(gone.sum()))
-                    spans.append(int(gone[:1].sum()) + int((np.diff(gone.astype(np.int8)) == 1).sum()))
+                    a, z = _merged(x, x + n - 1 + length)
+                    bounds = np.concatenate([[0], np.stack([a, z], 1).ravel(), [len(raw)]]).tolist()
+                    rest = b"".join(raw[bounds[j] : bounds[j + 1]] for j in range(0, len(bounds), 2))
+                    removed.append(int((z - a).sum()))
+                    spans.append(len(a))
                     sha.append(hashlib.sha256(rest).hexdigest())
                     left.append(rest.decode("utf-8", "ignore") if with_text else None)
                 yield pa.RecordBatch.from_arrays(

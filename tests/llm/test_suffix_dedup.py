@@ -67,6 +67,29 @@ def test_very_long_text(make_docs):
     assert [out[i]["n_removed"] for i in (1, 2, 3)] == [500, 500, 0] and out[2]["n_bytes"] == 502
 
 
+def test_text_above_16_mib(make_docs):
+    """Passages across the borders of stretches, and past what 24 bits address."""
+    rnd = np.random.default_rng(3)
+    text = rnd.choice(np.frombuffer(b"uvwxyz ", np.uint8), 17 << 20).tobytes().decode()
+    passages = [rnd.choice(np.frombuffer(b"abcdef", np.uint8), 500).tobytes().decode() for _ in range(4)]
+    at = [0, (1 << 20) - 250, (5 << 20) - 399, (16 << 20) + 12_345]
+    for a, p in zip(at, passages, strict=True):
+        text = text[:a] + p + text[a + 500 :]
+    rows = [(1, text), (2, "0" + passages[0] + "1" + passages[1]), (3, "2" + passages[2] + "3"), (4, passages[3])]
+    out = {r["doc_id"]: r for r in S.suffix_dedup(make_docs(rows)).collect()}
+    assert [(out[i]["n_removed"], out[i]["n_spans"]) for i in (1, 2, 3, 4)] == [(2000, 4), (1000, 2), (500, 1), (500, 1)]
+    rest = "".join(text[a:z] for a, z in zip([0] + [a + 500 for a in at], [*at, len(text)], strict=True))
+    assert out[1]["n_bytes"] == 17 << 20 and out[1]["kept_sha256"] == hashlib.sha256(rest.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("size", [1, 50, 333])
+def test_stretches_equal_brute_force(make_docs, monkeypatch, size):
+    monkeypatch.setattr(S, "SLICE_BYTES", size)
+    rows = corpus(9, 40)
+    out = S.suffix_dedup(make_docs(rows), length=40, gram=16)
+    assert Counter(tuple(r) for r in out.collect()) == Counter((r[0], *b[:4]) for r, b in zip(rows, brute([r[1] for r in rows], 40), strict=True))
+
+
 def test_sorted_suffixes_and_extensions():
     rnd = np.random.default_rng(2)
     data = rnd.integers(97, 99, 600, dtype=np.uint8)
