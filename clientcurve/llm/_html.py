@@ -47,52 +47,56 @@ APART_WORDS = frozenset(
     " pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored"
     " subscribe tags teaser toolbar topbar widget widgets".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+PAGE_TAGS = ("#", "html", "body")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "apart", "own", "links", "article", "blocks")
+    __slots__ = ("tag", "parent", "path", "apart", "own", "links", "article", "blocks", "comment")
 
-    def __init__(self, tag, parent, path, apart):
-        self.tag, self.parent, self.path, self.apart = tag, parent, path, apart
+    def __init__(self, tag, parent, path, apart, comment=False):
+        self.tag, self.parent, self.path, self.apart, self.comment = tag, parent, path, apart, comment
         self.own = self.links = 0  # characters of text below, and of these in links
         self.article = tag in ("article", "main")
         self.blocks = []
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """Generalised name of an element (tag and class, numbers as #), and whether
-    its attributes set it apart from an article."""
+def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
+    """Generalised name of an element (tag and class, numbers as #), whether its
+    attributes set it apart from an article, and whether they name comments."""
     if not attrs or "=" not in attrs:
-        return tag, tag in APART or (bool(attrs) and " hidden" in attrs.lower())
-    name, apart = tag, tag in APART
+        return tag, tag in APART or (bool(attrs) and " hidden" in attrs.lower()), False
+    name, apart, comment = tag, tag in APART, False
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key == "class":
             name = f"{tag}.{'.'.join(sorted(set(_DIGITS.sub('#', value).split())))}"
         if key in ("class", "id", "role"):
             words = {w.lower() for w in _WORD.findall(value)}
-            apart = apart or (not words.isdisjoint(APART_WORDS) and words.isdisjoint(("with", "has", "no")))
+            if not words.isdisjoint(APART_WORDS) and words.isdisjoint(("with", "has", "no")):
+                apart, comment = True, comment or not words.isdisjoint(COMMENT_WORDS)
         elif (key == "style" and _HIDDEN.search(value)) or (key == "aria-hidden" and value == "true"):
             apart = True
-    return name, apart
+    return name, apart, comment
 
 
-def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str]]]]:
+def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str], int]]]:
     """Elements in page order, and the blocks: (element, its pieces of text with
-    references decoded)."""
+    references decoded, characters of these in links)."""
     root = Element("#", None, "", False)
     elements, blocks = [root], []
     stack = [root]
     pieces: list[str] = []
-    at, lower, link = 0, None, 0
+    at, lower, link, linked = 0, None, 0, 0
 
     def close_block():
-        nonlocal pieces
+        nonlocal pieces, linked
         if pieces:
-            blocks.append((stack[-1], pieces))
-            pieces = []
+            blocks.append((stack[-1], pieces, linked))
+            pieces, linked = [], 0
 
     def text(raw: str):
+        nonlocal linked
         if raw:
             s = unescape(raw) if "&" in raw else raw
             pieces.append(s)
@@ -101,6 +105,7 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str]]]]:
             top.own += n
             if link:
                 top.links += n
+                linked += n
 
     def pop_to(i: int):
         nonlocal link
@@ -164,8 +169,8 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str]]]]:
         if tag in VOID:
             continue
         parent = stack[-1]
-        name, apart = _label(tag, m.group(4))
-        e = Element(tag, parent, f"{parent.path}>{name}" if tag in BLOCK else parent.path, apart)
+        name, apart, comment = _label(tag, m.group(4))
+        e = Element(tag, parent, f"{parent.path}>{name}" if tag in BLOCK else parent.path, apart, comment)
         elements.append(e)
         link += tag == "a"
         stack.append(e)  # the slash of <tag/> means nothing in HTML
@@ -176,16 +181,21 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str]]]]:
 
 def _settle(elements: list[Element]) -> None:
     """Sum text upward, and settle what stands apart: words of a class do not set
-    apart what holds an article; a page header is apart but for headings of an
+    apart what holds an article, but for comments within an article, each of which
+    may be an article element; a page header is apart but for headings of an
     article's own header."""
+    within = set()  # elements inside an article
     for e in reversed(elements[1:]):
         p = e.parent
         p.article = p.article or e.article
     for e in elements[1:]:
+        if e.parent.tag == "article" or id(e.parent) in within:
+            within.add(id(e))
+        talk = e.comment and id(e) in within
         if e.apart and e.tag not in ("nav", "aside", "footer") and e.article:
-            e.apart = e.tag == "#"
+            e.apart = talk
         if e.tag in ("html", "body", "article", "main"):
-            e.apart = False
+            e.apart = talk
         if e.tag == "header" and not e.article:
             e.apart = True
         e.apart = e.apart or e.parent.apart
@@ -210,11 +220,53 @@ def best_container(elements: list[Element], share: float = 0.8) -> Element | Non
     return here
 
 
+def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str], int]], dense: Element) -> Element:
+    """The outermost ancestor of ``dense`` whose further text is still of the
+    article, which the densest container need not hold: an enclosing article, or
+    a main where there is none; else a container that adds blocks which do not
+    stand apart, are not mostly links and are of no other article. The page as a
+    whole (body) may add headings, paragraphs and sections only, and nothing
+    beside an article."""
+    chain = [dense]
+    while chain[-1].parent is not None:
+        chain.append(chain[-1].parent)
+    level = {id(e): i for i, e in enumerate(chain)}  # of the innermost ancestor of dense around an element
+    other, boxed = set(), set()  # elements in another article, in a box beside dense
+    for e in elements[1:]:
+        if id(e) in level:
+            continue
+        level[id(e)] = level[id(e.parent)]
+        if e.tag in ("article", "main") or id(e.parent) in other:
+            other.add(id(e))
+        if e.tag in CONTAINERS and e.tag != "section" or id(e.parent) in boxed:
+            boxed.add(id(e))
+    adds, foreign = set(), set()  # levels with text of the article, with other text
+    for e, pieces, linked in blocks:
+        i = level[id(e)]
+        if not i or (e.apart and not _own_heading(e, chain[i])):
+            continue
+        size = len("".join("".join(pieces).split()))
+        if not size:
+            continue
+        page = chain[i].tag in PAGE_TAGS
+        ok = 2 * linked <= size and id(e) not in other and not (page and (id(e) in boxed or e.apart))
+        (adds if ok else foreign).add(i)
+    here, semantic, stopped, further = dense, dense.tag in ("article", "main"), False, False
+    for i, a in enumerate(chain[1:], 1):
+        further, stopped = further or i in adds, stopped or i in foreign or (a.tag in PAGE_TAGS and semantic)
+        if a.tag == "article" or (a.tag == "main" and not semantic):
+            here, semantic, stopped, further = a, True, False, False
+        elif further and not stopped and (a.tag in CONTAINERS or a.parent is None):
+            here, further = a, False
+    return here
+
+
 def container_vote(html: str) -> tuple[str, int] | None:
-    """(generalised path of the page's best container, its score)."""
-    elements, _ = parse(html)
+    """(generalised path of the container of the page's article, its score)."""
+    elements, blocks = parse(html)
     _settle(elements)
     e = best_container(elements)
+    e = e and whole_article(elements, blocks, e)
     return (e.path, e.own - e.links) if e else None
 
 
@@ -230,12 +282,13 @@ def article_text(html: str, path: str | None) -> str:
     place = place or best_container(elements)
     if place is None:
         return ""
+    place = whole_article(elements, blocks, place)
     inside = {id(place)}
     for e in elements:
         if e.parent is not None and id(e.parent) in inside:
             inside.add(id(e))
     out = []
-    for e, pieces in blocks:
+    for e, pieces, _ in blocks:
         if id(e) in inside and (not e.apart or _own_heading(e, place)):
             line = " ".join("".join(pieces).split())
             if line:

@@ -2,7 +2,10 @@
 
 Each page is read twice. First its containers are scored: the best is the
 smallest one that holds four fifths of the text outside links, menus, headers,
-footers, sidebars, notices, adverts, forms and comments. The page votes for that
+footers, sidebars, notices, adverts, forms and comments. From there it widens to
+the outermost container whose further text is still of the article (an enclosing
+article element, or blocks that are neither set apart nor links), so that title,
+lead and closing parts beside a dense container stay. The page votes for that
 container's generalised path (tags and classes from the root, numbers as ``#``).
 Spark counts the votes per host and path (map-side combined, so a host with any
 share of the pages is no hot key) and takes the most voted path of each host,

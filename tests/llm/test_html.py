@@ -76,3 +76,27 @@ def test_hosts_agree_on_a_path(spark):
 
 def test_vote():
     assert container_vote(PAGE)[0] == ">html>body.has-sidebar>div.layout>main>article.post.post-#" and container_vote("<nav>x</nav>") is None
+
+
+LONG = "<p>" + "long body words " * 40 + "</p>"
+LINE = ("long body words " * 40).strip()
+
+
+@pytest.mark.parametrize(
+    "page,text,path",
+    [
+        (f"<body><article><h1>Title</h1><p>lead</p><div class=content>{LONG}</div><section>short end</section></article></body>", f"Title\nlead\n{LINE}\nshort end", ">body>article"),
+        (f"<body><article><header><h1>Title</h1></header><p>lead</p><table><tr><td>{LONG}</td></tr></table><p>end</p></article><p>of the site</p></body>", f"Title\nlead\n{LINE}\nend", ">body>article"),
+        (f"<body><main><h1>Title</h1><section>{LONG}</section><section>end</section></main></body>", f"Title\n{LINE}\nend", ">body>main"),
+        (f"<body><nav>menu</nav><div class=post><h1>Title</h1><p class=byline>By B</p><div class=text>{LONG}</div><p>end</p></div></body>", f"Title\n{LINE}\nend", ">body>div.post"),
+        (f"<body><div><header><h1>Title</h1></header><div class=text>{LONG}</div></div></body>", f"Title\n{LINE}", ">body>div"),
+        (f"<body><h1>Title</h1><div class=text>{LONG}</div><section>end</section></body>", f"Title\n{LINE}\nend", ">body"),
+        # What is of no article stays out.
+        (f"<body><div><div class=text>{LONG}</div><ul><li><a href=1>one</a><li><a href=2>two</a></ul></div></body>", LINE, ">body>div>div.text"),
+        (f"<body><main><article><div>{LONG}</div></article><article class=x><p>another</p></article></main></body>", LINE, ">body>main>article"),
+        (f"<body><article><div>{LONG}</div><section class=comments><article class=comment>talk</article></section><p>end</p></article></body>", f"{LINE}\nend", ">body>article"),
+    ],
+)
+def test_all_of_an_article_beside_its_dense_container(page, text, path):
+    assert article_text(page, None) == text and container_vote(page)[0] == path
+    assert article_text(page, path) == text
