@@ -5,6 +5,7 @@ elements hold no text, and which parts of a page are not its article."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html import unescape
 
 # Markup: comments and raw-text elements as a whole, then tags; an unclosed
@@ -220,22 +221,24 @@ def best_container(elements: list[Element], share: float = 0.8) -> Element | Non
     return here
 
 
-def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str], int]], dense: Element) -> Element:
+def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str], int]], dense: Element, others: frozenset[int] = frozenset()) -> Element:
     """The outermost ancestor of ``dense`` whose further text is still of the
     article, which the densest container need not hold: an enclosing article, or
     a main where there is none; else a container that adds blocks which do not
     stand apart, are not mostly links and are of no other article. The page as a
     whole (body) may add headings, paragraphs and sections only, and nothing
-    beside an article."""
+    beside an article. ``others``: ids of elements that are taken in any case."""
     chain = [dense]
     while chain[-1].parent is not None:
         chain.append(chain[-1].parent)
     level = {id(e): i for i, e in enumerate(chain)}  # of the innermost ancestor of dense around an element
-    other, boxed = set(), set()  # elements in another article, in a box beside dense
+    other, boxed, taken = set(), set(), set(others)  # elements in another article, in a box beside dense, in others
     for e in elements[1:]:
         if id(e) in level:
             continue
         level[id(e)] = level[id(e.parent)]
+        if id(e.parent) in taken:
+            taken.add(id(e))
         if e.tag in ("article", "main") or id(e.parent) in other:
             other.add(id(e))
         if e.tag in CONTAINERS and e.tag != "section" or id(e.parent) in boxed:
@@ -243,7 +246,7 @@ def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str]
     adds, foreign = set(), set()  # levels with text of the article, with other text
     for e, pieces, linked in blocks:
         i = level[id(e)]
-        if not i or (e.apart and not _own_heading(e, chain[i])):
+        if not i or id(e) in taken or (e.apart and not _own_heading(e, chain[i])):
             continue
         size = len("".join("".join(pieces).split()))
         if not size:
@@ -261,35 +264,74 @@ def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str]
     return here
 
 
-def container_vote(html: str) -> tuple[str, int] | None:
-    """(generalised path of the container of the page's article, its score)."""
+def container_vote(html: str) -> tuple[str, int, list[str]] | None:
+    """(generalised path of the container of the page's article, its score, paths
+    of the outermost elements with text beside it)."""
     elements, blocks = parse(html)
     _settle(elements)
     e = best_container(elements)
-    e = e and whole_article(elements, blocks, e)
-    return (e.path, e.own - e.links) if e else None
+    if e is None:
+        return None
+    e = whole_article(elements, blocks, e)
+    around, top = {id(e)}, {}  # ancestors of e; of each other element, the outermost one below these
+    p = e.parent
+    while p is not None:
+        around.add(id(p))
+        p = p.parent
+    for x in elements[1:]:
+        if id(x) not in around:
+            top[id(x)] = (None if x.parent is e else x) if id(x.parent) in around else top[id(x.parent)]
+    tops = (top.get(id(x)) for x, pieces, _ in blocks if not x.apart and "".join(pieces).strip())
+    return e.path, e.own - e.links, sorted({t.path for t in tops if t is not None and t.tag in BLOCK} - {e.path})
+
+
+def _set_apart(elements: list[Element], paths: frozenset[str], places: list[Element]) -> None:
+    """Set apart the elements at ``paths`` that neither hold a place nor lie in one."""
+    inside, holds, gone = {id(e) for e in places}, set(), set()
+    for e in places:
+        while e.parent is not None and id(e.parent) not in holds:
+            e = e.parent
+            holds.add(id(e))
+    for e in elements[1:]:
+        if id(e.parent) in inside:
+            inside.add(id(e))
+        elif id(e.parent) in gone:
+            gone.add(id(e))
+            e.apart = True
+        elif e.path in paths and e.tag in BLOCK and not e.apart and id(e) not in inside and id(e) not in holds:
+            gone.add(id(e))
+            e.apart = True
+            p = e.parent
+            while p is not None:
+                p.own, p.links, p = p.own - e.own, p.links - e.links, p.parent
 
 
-def article_text(html: str, path: str | None) -> str:
-    """Text of the container at ``path``; of the page's own best one if it has
-    none there (or nothing in it)."""
+def article_text(html: str, path: str | None, beside: Iterable[str] = ()) -> str:
+    """Text of all containers at ``path``; of the page's own best one if it has
+    none there (or nothing in it), or less than half of the best one's text.
+    ``beside``: paths of what stands beside the article on pages of this kind."""
     elements, blocks = parse(html)
     _settle(elements)
-    place = None
+    places = []
     if path is not None:
-        there = [e for e in elements if e.path == path and (e.tag in CONTAINERS or e.parent is None) and not e.apart and e.own > e.links]
-        place = max(there, key=lambda e: e.own - e.links, default=None)
-    place = place or best_container(elements)
-    if place is None:
+        places = [e for e in elements if e.path == path and (e.tag in CONTAINERS or e.parent is None) and not e.apart and e.own > e.links]
+        if places:
+            _set_apart(elements, frozenset(beside), places)
+    own = best_container(elements)
+    own = own and whole_article(elements, blocks, own)
+    if own is not None and 2 * sum(e.own - e.links for e in places) < own.own - own.links:
+        places = [own]
+    if not places:
         return ""
-    place = whole_article(elements, blocks, place)
-    inside = {id(place)}
+    dense = max(places, key=lambda e: e.own - e.links)
+    place = whole_article(elements, blocks, dense, frozenset(id(e) for e in places if e is not dense))
+    inside = {id(place)} | {id(e) for e in places}
     for e in elements:
         if e.parent is not None and id(e.parent) in inside:
             inside.add(id(e))
     out = []
     for e, pieces, _ in blocks:
-        if id(e) in inside and (not e.apart or _own_heading(e, place)):
+        if id(e) in inside and (not e.apart or any(_own_heading(e, p) for p in (place, *places))):
             line = " ".join("".join(pieces).split())
             if line:
                 out.append(line)

@@ -9,8 +9,11 @@ lead and closing parts beside a dense container stay. The page votes for that
 container's generalised path (tags and classes from the root, numbers as ``#``).
 Spark counts the votes per host and path (map-side combined, so a host with any
 share of the pages is no hot key) and takes the most voted path of each host,
-ties by score, then by path. Then every page's text is taken from the container
-at its host's path, or from the page's own best one where it has none there.
+ties by score, then by path; the paths that stand beside it on a tenth of its
+voters are known to be no article there. Then every page's text is taken from all
+containers at its host's path, in page order, or from the page's own best one
+where it has none there, or where these hold less than half as much text as the
+best one does (without what is known to stand beside): a page of another layout.
 
 Blocks are joined by line feeds in page order; white space inside a block is one
 space; character references are decoded. Nothing is capped.
@@ -36,32 +39,43 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, path, pages)``: the winning path of each host and its votes."""
+    """``(host, path, pages, beside)``: the winning path of each host, its votes, and
+    the paths that stand beside it on a tenth or more of the pages that voted for it."""
 
     def votes(batches):
         for b in batches:
-            found = [container_vote(h) if h else None for h in b.column(1).to_pylist()]
+            rows, found = [], []
+            for i, h in enumerate(b.column(1).to_pylist()):
+                v = container_vote(h) if h else None
+                if v:
+                    mine = [(v[0], v[1], None), *((v[0], 0, p) for p in v[2])]
+                    found += mine
+                    rows += [i] * len(mine)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([v and v[0] for v in found], pa.string()), pa.array([v and v[1] for v in found], pa.int64())],
-                names=["host", "path", "score"],
+                [b.column(0).take(pa.array(rows, pa.int64())), *(pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string())))],
+                names=["host", "path", "score", "beside"],
             )
 
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    counted = rows.mapInArrow(votes, "host string, path string, score long").where("path IS NOT NULL")
-    counted = counted.groupBy("host", "path").agg(F.count("*").alias("pages"), F.sum("score").alias("score"))
-    return counted.groupBy("host").agg(F.max(F.struct("pages", "score", "path")).alias("w")).select("host", "w.path", "w.pages")
+    counted = rows.mapInArrow(votes, "host string, path string, score long, beside string")
+    counted = pinned(counted.groupBy("host", "path", "beside").agg(F.count("*").alias("pages"), F.sum("score").alias("score")))
+    won = counted.where("beside IS NULL").groupBy("host").agg(F.max(F.struct("pages", "score", "path")).alias("w")).select("host", "w.path", "w.pages")
+    # At most ten times as many paths a host as its pages have on average.
+    near = counted.where("beside IS NOT NULL").select("host", "path", "beside", F.col("pages").alias("n")).join(won, ["host", "path"]).where("n * 10 >= pages")
+    near = near.groupBy("host").agg(F.sort_array(F.collect_list("beside")).alias("beside"))
+    return won.join(near, "host", "left").select("host", "path", "pages", F.coalesce("beside", F.array().cast("array<string>")).alias("beside"))
 
 
 def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(<id_col>, <url_col>, text, n_chars)`` for every row of ``pages``."""
-    paths = pinned(host_paths(pages, url_col, html_col)).select(F.col("host").alias("h"), "path")
+    paths = pinned(host_paths(pages, url_col, html_col)).select(F.col("host").alias("h"), "path", "beside")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    joined = rows.join(paths, host_of(F.col("url")) == F.col("h"), "left").select("id", "url", "html", "path")
+    joined = rows.join(paths, host_of(F.col("url")) == F.col("h"), "left").select("id", "url", "html", "path", "beside")
     id_type = joined.schema["id"].dataType.simpleString()
 
     def texts(batches):
         for b in batches:
-            out = [article_text(h, p) if h else "" for h, p in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            out = [article_text(h, p, n or ()) if h else "" for h, p, n in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["id", "url", "text", "n_chars"]
             )

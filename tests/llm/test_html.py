@@ -100,3 +100,21 @@ LINE = ("long body words " * 40).strip()
 def test_all_of_an_article_beside_its_dense_container(page, text, path):
     assert article_text(page, None) == text and container_vote(page)[0] == path
     assert article_text(page, path) == text
+
+
+def test_all_containers_at_the_path_and_pages_of_other_layouts(spark):
+    one = "<html><body><div><section><p>{}</p></section></div><div class='talk'><p>short words of others</p></div></body></html>"
+    rows = [(i, "http://a.example/", one.format(f"article words {i} " * 30)) for i in range(5)]
+    parts = [f"part {k} " * (9 + 20 * (k == 1)) for k in range(3)]
+    rows += [(5, "http://a.example/", one.format(parts[0] + "</p></section><section><p>" + parts[1] + "</p></section><section><p>" + parts[2]))]
+    # A teaser at the host's path, the article elsewhere; with more talk than article.
+    story = "<div class='story'><h2>Head</h2><p>" + "real words " * 50 + "</p></div><div class='talk'>"
+    rows += [(6, "http://a.example/", one.format("teaser").replace("<div class='talk'>", story))]
+    rows += [(7, "http://a.example/", one.format("teaser").replace("<div class='talk'>", story + "shouting " * 300))]
+    rows += [(8, "http://a.example/", one.format("real text " * 10).replace("short", "shouting " * 400))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [tuple(r) for r in host_paths(pages).select("path", "beside").collect()] == [(">html>body>div>section", [">html>body>div.talk"])]
+    out = {r["page_id"]: r["text"] for r in extract_articles(pages).collect()}
+    assert out[5] == "\n".join(p.strip() for p in parts)
+    assert out[6] == out[7] == "Head\n" + ("real words " * 50).strip()
+    assert out[8] == ("real text " * 10).strip() and out[0] == ("article words 0 " * 30).strip()
