@@ -327,6 +327,14 @@ def _overlap_forest(sets: list[np.ndarray], side: np.ndarray | None, num: int, d
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``(<id_col>, n_shingles, component_id)`` for every row of ``docs``:
     classes of documents whose n-gram sets reach Jaccard ``num/den``."""
+    rows = jaccard_rows(docs, id_col, text_col, n, num, den)
+    return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def jaccard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``(id, text_hash, n, component_id, first)`` for every row of ``docs``;
+    ``first``: whether id and text are those of its class's document of smallest
+    id (null last), then text hash."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
@@ -349,7 +357,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # One row for each distinct set; those of candidate groups are cut into blocks.
     classes = rows.where("n > 0").groupBy("key", "k", "n").agg(
-        F.min("__id").alias("first_id"), F.min(F.struct("__id", "text_hash")).alias("rep")
+        F.min("__id").alias("first_id"), F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "text_hash")).alias("rep")
     )
     classes = stored(classes, "ngram-classes")
     order = Window.partitionBy("grp").orderBy("n", "key")
@@ -386,12 +394,14 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     forest = _links(blocks.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j"), num, den)
     labels = connected_components(forest).withColumnRenamed("node", "key")
 
-    named = classes.select("key", "first_id").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_key = named.join(smallest, "label").select("key", "component_id")
+    named = classes.select("key", "first_id", "rep").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"), F.min("rep").alias("kept"))
+    by_key = named.select("key", "label").join(smallest, "label").select("key", "component_id", "kept")
     return rows.join(by_key, "key", "left").select(
-        F.col("__id").alias(id_col),
-        F.col("n").alias("n_shingles"),
+        F.col("__id").alias("id"),
+        "text_hash",
+        "n",
         F.when(F.col("n") == 0, F.col("__id")).otherwise(F.col("component_id")).alias("component_id"),
+        ((F.col("n") == 0) | (F.col("__id").eqNullSafe(F.col("kept.__id")) & (F.col("text_hash") == F.col("kept.text_hash")))).alias("first"),
     )
 

@@ -2,7 +2,7 @@
 
 1. quality classifier: documents that it rejects go;
 2. n-gram Jaccard join: of each class of near copies (five words, similarity 0.8)
-   the document of the smallest id stays;
+   one row stays, that of the smallest id (null last, then by text hash);
 3. suffix-array dedup: strings of ``REPEAT_BYTES`` that occur elsewhere are cut out
    of the texts; the length is below that of any passage of over 50 words;
 4. mixing sources to target weights: documents are left out or repeated;
@@ -12,8 +12,8 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, all but the
 last with the columns of ``documents``. ``run`` stores each stage's rows as
 Parquet in the shared folder and rereads them.
 
-Defined cases: rows with a null id cannot be told apart and stay in stage 2;
-rows that repeat an id stay or go with it there; null and empty texts pass all
+Defined cases: stage 2 tells rows apart by id and text, null ids included, and of
+rows equal in both one stays; null and empty texts pass all
 stages that their score passes; empty tables pass through.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from clientcurve.llm._common import ship, stored
 from clientcurve.llm._tokens import tokenizer_path
 from clientcurve.llm.mixing import mixed
-from clientcurve.llm.ngram_jaccard import ngram_jaccard
+from clientcurve.llm.ngram_jaccard import jaccard_rows
 from clientcurve.llm.packing import pack_documents
 from clientcurve.llm.quality_cnn import THRESHOLD, fitted, scorer
 from clientcurve.llm.suffix_dedup import without_repeats
@@ -50,11 +50,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One row of each class of near copies."""
     _ready(spark)
-    classes = ngram_jaccard(docs, n=5, num=80, den=100)
-    gone = classes.where("component_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = stored(jaccard_rows(docs, n=5, num=80, den=100).where("n > 0").select("id", "text_hash", "first"), "pipeline-classes")
+    again = found.where("first").groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1").select("id", "text_hash")
+    gone = found.where("NOT first").select("id", "text_hash").distinct().union(again)
+
+    def same(rows):
+        return docs["doc_id"].eqNullSafe(rows["id"]) & (F.xxhash64(docs["text"]) == rows["text_hash"])
+
+    one = docs.join(again, same(again)).dropDuplicates(["id", "text_hash"])
+    return docs.join(gone, same(gone), "left_anti").select(*docs.columns).union(one.select(*docs.columns))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,3 +122,14 @@ def test_columns_and_odd_rows(spark, make_docs, stages):
                 out = stage(spark, docs, SF)
                 assert i == 4 or out.columns == docs.columns
                 out.count()
+
+
+def test_near_copies_by_row(spark, make_docs):
+    """Ids that repeat with other texts, null ids and rows that repeat."""
+    a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcde")
+    rows_ = [(1, a), (2, a), (2, b), (3, b + " more"), (None, c), (None, c), (None, c + " more"), (4, d), (4, d), (5, d), (6, e), (None, e), (7, None), (7, None), (8, ""), (8, "")]
+    docs = make_docs(rows_).select("doc_id", "text", "lang", "source", "n_chars")
+    got = Counter((r["doc_id"], r["text"]) for r in P.near_copies(spark, docs, SF).collect())
+    of_c = [k for k in got if k[0] is None]
+    assert len(of_c) == 1 and got.pop(of_c[0]) == 1 and of_c[0][1] in (c, c + " more")
+    assert got == Counter([(1, a), (2, b), (4, d), (6, e), (7, None), (7, None), (8, ""), (8, "")])
