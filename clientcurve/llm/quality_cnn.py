@@ -9,13 +9,15 @@ kept (max-pooling). The mean and the maximum of these over the chunks of the
 document, weighted by learned weights, give one probability.
 
 Fitting: a bounded sample of labelled rows, the ``sample_rows`` of smallest
-hash of id and no more than ``sample_bytes`` of text, is collected and fitted on
+hash of id and no more than ``sample_bytes`` of text (a text that would go over
+that is passed over, and later ones are still taken), is collected and fitted on
 the driver with Adam (cross-entropy, all chunks of every sampled text). The
 sample keeps the natural rate of the labels, so scores are probabilities. The
 weights, some 5,000 numbers, travel in the function's closure.
 
-Scoring: one narrow pass over all texts; no shuffle, and a document's memory is
-bounded by cutting long texts into blocks of chunks.
+Scoring: one narrow pass over all texts; no shuffle. Long texts are cut into
+blocks of chunks; besides a block, a document takes the filters' responses, a
+fifth of its bytes.
 
 Defined cases: null and empty texts have no chunk, and get the score of zero
 features; without labels of both kinds every score is the share of label 1 (0.5
@@ -26,7 +28,7 @@ are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ PAD = 256
 ECHO = 257  # added to the code of a byte that ends a repeat of four bytes
 LAGS = range(2, 33)
 SLICE_BYTES = 1 << 18
+BLOCK_CHUNKS = 512
 SAMPLE_ROWS, SAMPLE_BYTES = 6000, 24 << 20
 EPOCHS, RATE, MINIBATCH = 8, 0.01, 32
 THRESHOLD = 0.3
@@ -66,6 +69,17 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.where(inside, raw + ECHO * echo.astype(np.int16), PAD).astype(np.int16), doc
 
 
+def blocks_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``chunks_of`` in blocks: a slice of several or short texts as a whole, a
+    long text ``BLOCK_CHUNKS`` chunks at a time."""
+    if len(offsets) != 2 or len(data) <= SLICE_BYTES:
+        yield chunks_of(data, offsets)
+        return
+    for lo in range(0, len(data) - (CHUNK - STEP), BLOCK_CHUNKS * STEP):
+        part = data[lo : lo + (BLOCK_CHUNKS - 1) * STEP + CHUNK]
+        yield chunks_of(part, np.array([0, len(part)]))
+
+
 class Net:
     """Parameters: byte vectors, filters (two halves of 8 bytes), their biases,
     weights of the 2 * FILTERS features of a document, bias."""
@@ -108,10 +122,11 @@ class Net:
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Probability of label 1 for each text of a slice."""
-        chunks, doc = chunks_of(data, offsets)
-        parts = [self.respond(chunks[i : i + 512]) for i in range(0, len(chunks), 512)]
-        peaks = np.concatenate(parts) if parts else np.zeros((0, FILTERS), np.float32)
-        z = self.logits(self.features(peaks, doc, len(offsets) - 1)).astype(np.float64)
+        parts, docs = [np.zeros((0, FILTERS), np.float32)], []
+        for chunks, doc in blocks_of(data, offsets):
+            parts += [self.respond(chunks[i : i + BLOCK_CHUNKS]) for i in range(0, len(chunks), BLOCK_CHUNKS)]
+            docs.append(doc)
+        z = self.logits(self.features(np.concatenate(parts), np.concatenate(docs), len(offsets) - 1)).astype(np.float64)
         return 1 / (1 + np.exp(-z))
 
     def gradients(self, chunks: np.ndarray, doc: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
@@ -146,7 +161,7 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     if len(set(labels.tolist())) < 2:
         net.p["out"][:] = 0
         return net
-    made = [chunks_of(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    made = [np.concatenate([c for c, _ in blocks_of(np.frombuffer(t, np.uint8), np.array([0, len(t)]))]) for t in texts]
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     step, steps = 0, epochs * -(-len(texts) // MINIBATCH)
@@ -172,7 +187,7 @@ def held_out(doc_id: Column) -> Column:
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, size: int) -> tuple[list[bytes], np.ndarray]:
     """The labelled, not held-out rows of smallest hash, at most ``rows`` of them
-    and ``size`` bytes of text."""
+    and ``size`` bytes of text; a text that would go over that is passed over."""
     known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("int").alias("__label"))
     # At most `rows` ids are broadcast.
@@ -181,15 +196,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     joined = docs.select(F.col(id_col).alias("__id"), text.alias("__text")).join(F.broadcast(ids), "__id")
     joined = stored(joined.withColumn("__size", F.octet_length("__text").cast("long")), "quality-sample")
     sizes = sorted((r[0], r[1], r[2]) for r in joined.groupBy("__h", "__id").agg(F.max("__size")).collect())
-    total, top = 0, None
+    total, pick = 0, []
     for h, _, n in sizes:
-        total += n
-        if total > size:
-            break
-        top = h
-    if top is None:
+        if total + n <= size:
+            total += n
+            pick.append((h,))
+    if not pick:
         return [], np.zeros(0)
-    got = joined.where(F.col("__h") <= top).groupBy("__h", "__id").agg(F.min("__text").alias("__text"), F.min("__label").alias("__label")).orderBy("__h", "__id").collect()
+    wanted = docs.sparkSession.createDataFrame(pick, "__h long").distinct()
+    got = joined.join(F.broadcast(wanted), "__h").groupBy("__h", "__id").agg(F.min("__text").alias("__text"), F.min("__label").alias("__label")).orderBy("__h", "__id").collect()
     return [bytes(r["__text"]) for r in got], np.array([r["__label"] for r in got], np.float64)
 
 

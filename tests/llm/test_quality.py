@@ -89,3 +89,31 @@ def test_query_on_odd_rows(spark, make_docs):
     nothing = fitted(docs, labels.limit(0))
     assert {r["score"] for r in quality_scores(docs, nothing).collect()} == {0.5}
     assert quality_scores(make_docs([]), nothing).collect() == []
+
+
+def test_sample_passes_over_texts_that_do_not_fit(spark, make_docs):
+    """A too long text at any place in the order of hashes costs only itself."""
+    texts = {i: f"text {i} " * 5 for i in range(40)}
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    every = sorted(training_sample(make_docs(list(texts.items())), labels, "doc_id", "text", "quality", 100, 10_000)[0])
+    for long in [i for i in texts if texts[i].encode() in every][:3]:
+        docs = make_docs([(i, t if i != long else t * 1000) for i, t in texts.items()])
+        got, y = training_sample(docs, labels, "doc_id", "text", "quality", 100, 10_000)
+        assert sorted(got) == [t for t in every if t != texts[long].encode()] and len(y) == len(got)
+
+
+def test_long_texts_are_scored_in_blocks():
+    import tracemalloc
+
+    rnd, net = np.random.default_rng(4), Net()
+    for n in (1 << 18, (1 << 18) + 1, 512 * 448 * 2 + 64, 512 * 448 * 2 + 65, 1_000_003):
+        data = rnd.integers(97, 120, n, dtype=np.uint8)
+        chunks, doc = chunks_of(data, np.array([0, n]))
+        peaks = np.concatenate([net.respond(chunks[i : i + 512]) for i in range(0, len(chunks), 512)])
+        assert net.score(data, np.array([0, n]))[0] == 1 / (1 + np.exp(-net.logits(net.features(peaks, doc, 1)).astype(np.float64)))[0]
+    data = rnd.integers(97, 120, 8 << 20, dtype=np.uint8)
+    tracemalloc.start()
+    net.score(data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * len(data)
