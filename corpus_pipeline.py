@@ -4,7 +4,10 @@
 2. n-gram Jaccard join: of each class of near copies (five words, similarity 0.8)
    one row stays, that of the smallest id (null last, then by text hash);
 3. suffix-array dedup: strings of ``REPEAT_BYTES`` that occur elsewhere are cut out
-   of the texts; the length is below that of any passage of over 50 words;
+   of the texts. The length is in bytes, not words: a passage of 51 words reaches
+   it if they average 3.94 bytes with their space. At sf0.1, 18,985 of 3,528,163
+   stretches of 51 words (0.54 %, in 166 of 10,000 documents) are shorter, the
+   shortest 101 bytes; a repeat of these alone stays;
 4. mixing sources to target weights: documents are left out or repeated;
 5. packing: pieces of the documents in sequences of 4,096 tokens.
 
