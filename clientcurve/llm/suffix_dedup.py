@@ -22,7 +22,9 @@ of the ``gram``-byte substrings inside them. So
    finds their common extension and the next byte decides. Neighbours with a
    common extension of ``length`` bytes are repeats. Every such claim is
    verified on the bytes; a claim that fails (a collision) has its task's
-   strings compared exactly instead;
+   strings compared exactly instead. Claims of step 2 (equal 64-bit
+   anchor and span hashes) and of step 4 (two 64-bit hashes) rest on these 128
+   bits alone, not on the bytes;
 4. an anchor with more than ``max_spans`` distinct spans (the edge of a passage
    in a large part of all documents) is not sorted in one task: its spans are
    dealt to many tasks, each settles the strings that repeat among its own, and
