@@ -69,3 +69,76 @@ SELECT pair AS pair_id, part, turn, role, rendered,
        CAST(CASE WHEN carries THEN length(rendered) ELSE 0 END AS INTEGER) AS mask_to
 FROM o
 """
+
+ORACLES["op1_exact_topk"] = r"""
+WITH v AS (
+  SELECT vec_id AS id, min(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.vec, c.vec) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.id <> c.id AND len(q.vec) = len(c.vec)
+  WHERE q.id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+ORACLES["op11_warc_bundles"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (
+  SELECT *, payload_bytes >= 1000 AS long, row_number() OVER (PARTITION BY payload_digest, payload_bytes ORDER BY page_id DESC NULLS LAST) AS place,
+         max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN long AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN long AND place > 1 THEN first END AS refers_to
+FROM r
+"""
+
+ORACLES["op12_lexical_bags"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS docs, sum(len(terms)) AS total FROM d WHERE len(terms) > 0),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL),
+o AS (SELECT row, unnest(terms) AS term FROM d),
+t AS (SELECT row, term, count(*) AS tf FROM o WHERE term IN (SELECT term FROM i) GROUP BY row, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(s.docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term),
+m AS (SELECT row, doc_id, 100 - 50 + CAST((50 * len(terms) * s.docs) // s.total AS BIGINT) AS m FROM d, s WHERE len(terms) > 0),
+p AS (SELECT t.row, t.term, m.doc_id, w.w * CAST((1000000000 * t.tf) // (1000 * t.tf + 20 * m.m) AS BIGINT) AS part FROM t JOIN m ON t.row = m.row JOIN w ON t.term = w.term),
+f AS (SELECT i.item_id, p.row, any_value(p.doc_id) AS doc_id, CAST(sum(p.part) AS BIGINT) AS score FROM i JOIN p ON i.term = p.term GROUP BY i.item_id, p.row)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM f WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) <= 50
+"""
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH u AS (
+  SELECT vec_id AS id, min({'vec': list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))),
+                            'label': CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END}) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+v AS (SELECT id, r.vec AS vec, r.label AS label FROM u),
+s AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, CAST(list_inner_product(a.vec, c.vec) AS BIGINT) AS score
+  FROM v AS a JOIN v AS c ON a.id <> c.id AND len(a.vec) = len(c.vec)
+  WHERE a.id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""

@@ -14,7 +14,9 @@ from clientcurve.session import ensure_checkpoint_dir, shared_path
 from . import oracle
 from ._common import ship
 from ._tokens import tokenizer_path
+from .hard_negatives import hard_negatives
 from .html_extract import extract_articles
+from .lexical_bags import ranked_search
 from .mixing import mix_sources
 from .ngram_jaccard import ngram_jaccard
 from .packing import pack_documents
@@ -24,6 +26,7 @@ from .suffix_dedup import suffix_dedup
 from .token_codes import read_codes, write_codes
 from .topk_nra import exact_topk
 from .vp_tree import nearest_neighbours
+from .warc_bundles import read_archives, write_archives
 
 
 END_ID = 2
@@ -90,12 +93,30 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
+def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of every page, written to seekable bundles and read back from them."""
+    path = shared_path(spark, "warc-bundles")
+    write_archives(_table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_lexical_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty best documents of each benchmark item, by lexical score."""
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, applied to documents."""
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_vp_tree, op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_vp_tree, op3_token_codes, op4_preference, op5_ngram_jaccard, op6_suffix_dedup, op7_quality_cnn, op8_mix_sources, op9_html_extract, op10_pack_documents, op11_warc_bundles, op12_lexical_bags, op13_hard_negatives, pipeline)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
