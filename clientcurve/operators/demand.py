@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exact import round_exact
+
 
 def demand_mom(headcount: DataFrame) -> DataFrame:
     """(econ_group, month, active, prev_active, demand, pct).
@@ -13,8 +15,8 @@ def demand_mom(headcount: DataFrame) -> DataFrame:
     ``demand = (active - prev) / prev`` with prev the previous month present
     for the group (a gap month is skipped, not read as 0). No previous month
     or a zero previous headcount gives 0, and rows with demand 0 are dropped,
-    so a group's first month never appears. ``pct`` is 100 x demand rounded to
-    2 places.
+    so a group's first month never appears. ``pct`` is 100 x demand, its exact
+    binary value rounded to 2 places.
 
     The window is partitioned by group, and a group has at most one row per
     window month, so no partition can grow with the data."""
@@ -24,7 +26,7 @@ def demand_mom(headcount: DataFrame) -> DataFrame:
     return (
         headcount.select("econ_group", "month", "active", prev.alias("prev_active"), d.alias("demand"))
         .where(F.col("demand") != 0)
-        .withColumn("pct", F.round(F.col("demand") * 100, 2))
+        .withColumn("pct", round_exact(F.col("demand") * 100, 2))
     )
 
 

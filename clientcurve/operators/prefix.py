@@ -22,7 +22,7 @@ single-partition window bit for bit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,19 +46,31 @@ def running_sum(
 ) -> DataFrame:
     """Add ``out`` = running total of ``value`` in ``(value, tiebreak)`` order
     (ROWS frame: ties on ``value`` are ordered by ``tiebreak``, never merged),
-    and optionally ``total_out`` = the grand total.
+    and optionally ``total_out`` = the grand total."""
+    v = F.col(value)
+    return ordered_sum(df, value, [v.desc() if descending else v.asc(), F.col(tiebreak).asc()], out, total_out, num_partitions)
+
+
+def ordered_sum(
+    df: DataFrame,
+    value: str,
+    order: list[Column],
+    out: str = "cum",
+    total_out: str | None = "total",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out`` = running total of ``value`` in the given order, which must be
+    total or its ties interchangeable, and optionally ``total_out``.
 
     A DECIMAL value of scale s is summed as DECIMAL(38, s), so no total that the
     type can hold overflows, whatever the ANSI setting."""
     v = F.col(value)
-    order = [v.desc() if descending else v.asc(), F.col(tiebreak).asc()]
     kind = df.schema[value].dataType
     wide = T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else None
 
     def exact(c):
         return c if wide is None else c.cast(wide)
 
-
     # Without an explicit count AQE sizes the range partitions from the data
     # (coalescing merges neighbouring ranges, so partition ids stay in order).
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)

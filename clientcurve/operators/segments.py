@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, lit_date
+from .ranges import range_lookup
 
 
 def rdm_profile(mean_demand: DataFrame, group_rev: DataFrame, group_span: DataFrame, as_of: _dt.date) -> DataFrame:
@@ -23,27 +24,11 @@ def rdm_profile(mean_demand: DataFrame, group_rev: DataFrame, group_span: DataFr
 
 def segment(df: DataFrame, dim: DataFrame, value: str, out: str, precision: int | None = None) -> DataFrame:
     """Add ``out`` = the dimension segment whose inclusive ``[lo, hi]`` holds
-    ``value``; null when the value falls in a gap or is null.
+    ``value``; null when the value falls in a gap or is null. Ranges may be
+    infinite, overlap (a row a segment) and be of any number, see ``ranges``.
 
     With ``precision`` the value is rounded first, so a floating-point mean
     that prints as a bound (0.04) is classified like the bound, whatever the
-    summation order that produced it.
-
-    One path for a dimension of any size: a range is filed under every bin of a
-    logarithmic scale that it overlaps, and a value meets the ranges of its own
-    bin by an equi-join. Whether the dimension is broadcast is left to Spark,
-    which knows its size at run time."""
+    summation order that produced it."""
     v = F.col(value) if precision is None else F.round(F.col(value), precision)
-    d = dim.select(F.col("segment").alias(out), F.col("lo").alias("_seg_lo"), F.col("hi").alias("_seg_hi")).where("_seg_lo <= _seg_hi")
-    lo, hi = _bin(F.col("_seg_lo")), _bin(F.col("_seg_hi"))
-    filed = d.withColumn("_seg_bin", F.explode(F.sequence(lo, hi)))
-    on = (_bin(v) == F.col("_seg_bin")) & (v >= F.col("_seg_lo")) & (v <= F.col("_seg_hi"))
-    return df.join(filed, on, "left").drop("_seg_lo", "_seg_hi", "_seg_bin")
-
-
-def _bin(x):
-    """A monotone, coarse numbering of the numbers: 16 bins for each doubling of
-    the distance from zero, one for all below a millionth."""
-    x = x.cast("double")
-    step = F.floor(F.log2(F.greatest(F.abs(x), F.lit(1e-6)) / F.lit(1e-6)) * 16).cast("long")
-    return F.when(x < 0, -step).otherwise(step)
+    return range_lookup(df, dim, v, {out: "segment"})

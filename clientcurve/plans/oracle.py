@@ -234,7 +234,7 @@ def demand_ctes(as_of: _dt.date) -> list[tuple[str, str]]:
     FROM (SELECT econ_group, month, active,
                  lag(active) OVER (PARTITION BY econ_group ORDER BY month) AS prev_active FROM hc)""",
         ),
-        ("demand", "SELECT *, round(demand * 100, 2) AS pct FROM dm WHERE demand <> 0"),
+        ("demand", "SELECT *, CAST(printf('%.2f', demand * 100) AS DOUBLE) AS pct FROM dm WHERE demand <> 0"),
         (
             "mean_dem",
             """
@@ -261,6 +261,10 @@ def demand_ctes(as_of: _dt.date) -> list[tuple[str, str]]:
     ]
 
 
+def _run_id(days: int) -> str:
+    return (_dt.datetime.combine(AS_OF, _dt.time()) + _dt.timedelta(days=days)).strftime("%Y%m%dT%H%M%S")
+
+
 def _with(ctes: list[tuple[str, str]], body: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes) + "\n" + body.strip()
 
@@ -371,6 +375,16 @@ def _history_sql() -> str:
     )
 
 
+def _two_runs_sql() -> str:
+    both = " UNION ALL ".join(f"SELECT curve, id, econ_group, {i} AS run FROM changed{s}" for i, s in enumerate(("_prev", "")))
+    return _with(
+        BASE + run_ctes(AS_OF) + run_ctes(PREV_AS_OF, "_prev"),
+        f"""SELECT CAST(curve AS BIGINT) AS curve, count(DISTINCT run) AS runs, count(DISTINCT id) AS orgs, count(DISTINCT econ_group) AS groups,
+                   true AS orgs_near, true AS groups_near
+            FROM ({both}) WHERE curve IS NOT NULL GROUP BY 1""",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     recency = _values([(1, "R1", 366, 99999999), (2, "R2", 211, 365), (3, "R3", 91, 210), (4, "R4", 31, 90), (5, "R5", 0, 30)], ["r_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "INTEGER", "INTEGER"])
     demand = _values([(1, "D1", -10.0, 0.0), (2, "D2", 0.01, 0.04), (3, "D3", 0.041, 0.08), (4, "D4", 0.081, 0.12), (5, "D5", 0.121, 10.0)], ["d_id", "segment", "lo", "hi"], ["INTEGER", "VARCHAR", "DOUBLE", "DOUBLE"])
@@ -517,6 +531,48 @@ def oracle_sql() -> dict[str, str]:
                    t.description, count(*) AS attempts
             FROM delivery_log d LEFT JOIN {http} ON d.http_code = t.code GROUP BY ALL"""
         ),
+        "billing_state_two_runs": _std(
+            f"""SELECT client_code, strftime(min(issue_date), '%Y%m%d') AS first_billed, strftime(max(issue_date), '%Y%m%d') AS last_billed,
+                   CAST(round(sum(gross) FILTER (nfe_no <> 0 AND issue_date BETWEEN {_d(AS_OF)} - 365 AND {_d(AS_OF)}), 2) AS DOUBLE) AS window_gross,
+                   count(*) FILTER (nfe_no <> 0 AND issue_date BETWEEN {_d(AS_OF)} - 365 AND {_d(AS_OF)}) AS window_rows
+            FROM invoices WHERE status <> 'C' GROUP BY client_code"""
+        ),
+        "headcount_sweep": _std(f"SELECT econ_group, month, {_big('active')} FROM hc", demand=True),
+        "headcount_daily_runs": _std(
+            f""", days AS (
+                SELECT m.econ_group, e.employee_code,
+                       unnest(generate_series(CAST(greatest(e.admitted, {_d(AS_OF)} - 3650) AS TIMESTAMP),
+                                              CAST(least(coalesce(e.dismissed, {_d(AS_OF)}), {_d(AS_OF)}) AS TIMESTAMP), INTERVAL 1 DAY)) AS day
+                FROM employees e JOIN code_map m ON e.client_code = m.code WHERE m.econ_group IS NOT NULL),
+              counts AS (SELECT econ_group, CAST(day AS DATE) AS day, count(employee_code) AS active FROM days GROUP BY ALL),
+              isles AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY econ_group, active ORDER BY day) AS INTEGER) AS isle FROM counts)
+            SELECT econ_group, {_iso('min(day)', 'from_date')}, {_iso('max(day)', 'to_date')}, {_big('active')}
+            FROM isles GROUP BY econ_group, active, isle"""
+        ),
+        "exact_rounding": """
+            SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(printf('%.2f', l_extendedprice / 8) AS DOUBLE) AS eighth,
+                   CAST(printf('%.2f', l_extendedprice * (l_discount - 0.05::DOUBLE) / l_quantity) AS DOUBLE) AS about
+            FROM lineitem""",
+        "segment_intervals": """
+            WITH r AS (SELECT s_suppkey, CASE WHEN s_suppkey % 50 = 2 THEN -'Infinity'::DOUBLE ELSE s_acctbal - 50 END AS lo,
+                              CASE WHEN s_suppkey % 50 = 1 THEN 'Infinity'::DOUBLE ELSE s_acctbal + 50 END AS hi FROM supplier),
+                 c AS (SELECT c_custkey, CASE WHEN c_custkey % 40 <> 0 THEN c_acctbal END AS balance FROM customer)
+            SELECT c_custkey, balance, s_suppkey FROM c LEFT JOIN r ON balance BETWEEN lo AND hi""",
+        "snapshot_rejects_roundtrip": _std(
+            """SELECT reason, kept, count(*) AS rows FROM (
+                SELECT CASE WHEN id % 50 IN (31, 37) THEN 'fields' WHEN id % 50 IN (9, 17) THEN 'id' ELSE 'orgs' END AS reason,
+                       id % 50 NOT IN (9, 17, 31, 37) AS kept FROM orgs
+                UNION ALL SELECT 'date', true FROM orgs WHERE id % 50 = 23)
+            GROUP BY reason, kept"""
+        ),
+        "history_type_widening": f"""
+            SELECT c_custkey AS org_id, CAST(c_nationkey AS BIGINT) AS nation, CAST(CAST(c_acctbal AS DECIMAL(8,2)) AS DOUBLE) AS balance,
+                   c_name AS name, NULL AS segment, '{_run_id(0)}' AS run_id FROM customer
+            UNION ALL
+            SELECT c_custkey, c_nationkey * 10000000000, CAST(CAST(round(CAST(c_acctbal AS DECIMAL(20,4)) * 0.125, 4) AS DECIMAL(20,4)) AS DOUBLE), c_name, c_mktsegment, '{_run_id(7)}' FROM customer
+            UNION ALL
+            SELECT c_custkey, c_nationkey, CAST(trunc(c_acctbal) AS DOUBLE), NULL, c_mktsegment, '{_run_id(14)}' FROM customer""",
+        "curve_distinct_merge": _two_runs_sql(),
         "delivery_report_roundtrip": _std(
             f"""SELECT {_iso('run_date')},
                    CASE WHEN http_code IS NULL THEN 'Erro' WHEN http_code = 200 THEN 'Sucesso' ELSE 'Falha' END AS outcome,

@@ -20,9 +20,12 @@ from .. import config as C
 from .. import operators as O
 from ..config import RunConfig
 from ..functions.dates import coerce_date
-from ..session import ensure_checkpoint_dir, shared_path
+from ..functions.exact import round_exact
+from ..operators import billing_state, distinct_sketch, sweep
+from ..operators import ranges as ranges_
+from ..session import ensure_checkpoint_dir, materialize, shared_path
 from ..sinks import writers
-from ..sources import dims, readers
+from ..sources import dims, quarantine, readers
 from ..sources.fixtures import FixtureTables
 from .billing_run import BillingRun
 
@@ -408,6 +411,109 @@ def q_delivery_report_roundtrip(spark, sf_dir):
     return back.groupBy("run_date", "outcome").agg(F.count("*").alias("attempts")).selectExpr(_iso("run_date"), "outcome", "attempts")
 
 
+# ------------------------------------------------- incremental state, sweep, ranges
+LOAD_CUT_DAYS = 30
+
+
+def q_billing_state_two_runs(spark, sf_dir):
+    """Billing spans and window revenue of each client, from a state that a first
+    load built and a second one (new invoices, late cancellations, corrections)
+    brought up to date."""
+    cfg = RunConfig()
+    log, state = shared_path(spark, "invoice-log"), shared_path(spark, "billing-state")
+    for load, rows in FixtureTables(spark, sf_dir).invoice_loads(cfg.as_of - _dt.timedelta(days=LOAD_CUT_DAYS)):
+        billing_state.append_load(rows, log, load, buckets=8)
+        version = billing_state.update_state(spark, log, state, [load], cfg.as_of)
+    return billing_state.state_facts(version, spark, cfg.as_of).selectExpr(
+        "client_code", _day("first_billed"), _day("last_billed"), _money("window_gross"), _big("window_rows")
+    )
+
+
+def q_headcount_sweep(spark, sf_dir):
+    r = run_for(spark, sf_dir)
+    return sweep.headcount_by_sweep(r.window_intervals, r.active_groups, r.cfg.window_start, r.cfg.window_end).selectExpr("econ_group", "month", _big("active"))
+
+
+DAILY_CALENDAR_DAYS = 3650
+
+
+def q_headcount_daily_runs(spark, sf_dir):
+    """Headcount of every group by the day, over ten years, as runs of equal days."""
+    r = run_for(spark, sf_dir)
+    start = r.cfg.as_of - _dt.timedelta(days=DAILY_CALENDAR_DAYS)
+    return sweep.daily_headcount_runs(r.employees, r.code_map, start, r.cfg.as_of).selectExpr("econ_group", _iso("from_date"), _iso("to_date"), _big("active"))
+
+
+def q_exact_rounding(spark, sf_dir):
+    """Line amounts by the eighth, and their discounts about 5 %, to two places."""
+    lines = FixtureTables(spark, sf_dir).raw("lineitem")
+    eighth, about = F.col("l_extendedprice") / 8, F.col("l_extendedprice") * (F.col("l_discount") - 0.05) / F.col("l_quantity")
+    return lines.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), round_exact(eighth, 2).alias("eighth"), round_exact(about, 2).alias("about"))
+
+
+def q_segment_intervals(spark, sf_dir):
+    """Customers' balances in overlapping ranges about the suppliers' balances, some
+    of them without an end."""
+    t = FixtureTables(spark, sf_dir)
+    ranges = t.raw("supplier").selectExpr(
+        "s_suppkey", "CASE WHEN s_suppkey % 50 = 2 THEN double('-Infinity') ELSE s_acctbal - 50 END AS lo", "CASE WHEN s_suppkey % 50 = 1 THEN double('Infinity') ELSE s_acctbal + 50 END AS hi"
+    )
+    balances = t.raw("customer").selectExpr("c_custkey", "CASE WHEN c_custkey % 40 <> 0 THEN c_acctbal END AS balance")
+    return ranges_.range_lookup(balances, ranges, F.col("balance"), {"s_suppkey": "s_suppkey"})
+
+
+def q_snapshot_rejects_roundtrip(spark, sf_dir):
+    """A snapshot with torn rows, ids that are no numbers and dates that are none,
+    read with its bad rows set aside: what became of its rows, by reason."""
+    orgs = FixtureTables(spark, sf_dir).orgs
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in readers.IDENTITY_ORG_COLUMNS]
+    kind = F.col("id") % 50
+    fields[0] = F.when(kind == 9, F.concat(F.lit("n"), fields[0])).when(kind == 17, F.lit("")).otherwise(fields[0])
+    fields[4] = F.when(kind == 23, F.lit("2001-02-31")).otherwise(fields[4])
+    line = F.concat_ws("|", *fields)
+    line = F.when(kind == 31, F.substring_index(line, "|", 5)).when(kind == 37, F.concat(line, F.lit("|more"))).otherwise(line)
+    header = spark.createDataFrame([("|".join(readers.IDENTITY_ORG_COLUMNS),)], "value string")
+    path = shared_path(spark, "orgs-bad")
+    # One file, its header first; a real export has a header in each of its files.
+    lines = header.select(F.lit(0).alias("n"), F.lit(0).cast("long").alias("id"), "value").unionByName(orgs.select(F.lit(1).alias("n"), "id", line.alias("value")))
+    lines.repartition(1).sortWithinPartitions("n", "id").select("value").write.text(path)
+    checked = quarantine.read_orgs_checked(spark, path, columns=readers.IDENTITY_ORG_COLUMNS, max_share=0.2)
+    good = checked.orgs.select(F.lit("orgs").alias("reason"), F.lit(True).alias("kept"))
+    return good.unionByName(checked.rejects.select("reason", "kept")).groupBy("reason", "kept").agg(F.count("*").alias("rows"))
+
+
+def q_history_type_widening(spark, sf_dir):
+    """Three runs of a history: the second has a column more and wider types, the
+    third a column less."""
+    base = FixtureTables(spark, sf_dir).raw("customer")
+    path = shared_path(spark, "history-types")
+    runs = [
+        base.selectExpr("c_custkey AS id", "CAST(c_nationkey AS SMALLINT) AS nation", "CAST(c_acctbal AS DECIMAL(8,2)) AS balance", "c_name AS name"),
+        base.selectExpr("c_custkey AS id", "CAST(c_nationkey AS BIGINT) * 10000000000 AS nation", "CAST(c_acctbal AS DECIMAL(20,4)) / CAST(8 AS DECIMAL(1,0)) AS balance", "c_name AS name", "c_mktsegment AS segment"),
+        base.selectExpr("c_custkey AS id", "c_nationkey AS nation", "CAST(c_acctbal AS INT) AS balance", "c_mktsegment AS segment"),
+    ]
+    runs[1] = runs[1].withColumn("balance", F.col("balance").cast("decimal(20,4)"))
+    for week, rows in enumerate(runs):
+        writers.append_history(rows, path, RunConfig().run_ts + _dt.timedelta(days=7 * week))
+    return readers.read_history(spark, path).selectExpr("org_id", "nation", "CAST(balance AS DOUBLE) AS balance", "name", "segment", "run_id")
+
+
+def q_curve_distinct_merge(spark, sf_dir):
+    """Distinct organisations and groups of each class over two runs, by merged
+    sketches of the runs, against the exact counts."""
+    path = shared_path(spark, "class-sketches")
+    rows = []
+    for df, ts in _two_runs(spark, sf_dir):
+        run_id = ts.strftime("%Y%m%dT%H%M%S")
+        changed = materialize(df.select("id", "econ_group", "curve"))
+        distinct_sketch.append_sketches(distinct_sketch.class_sketches(changed, run_id), path)
+        rows.append(changed)
+    exact = rows[0].unionByName(rows[1]).groupBy("curve").agg(F.countDistinct("id").alias("orgs"), F.countDistinct("econ_group").alias("groups"))
+    merged = distinct_sketch.merged_counts(spark.read.parquet(path)).selectExpr("curve AS c", "runs", "orgs AS o", "groups AS g")
+    near = "abs({0} - {1}) <= 0.08 * {1} AS {2}"
+    return exact.join(merged, F.col("curve") == F.col("c")).selectExpr(_big("curve"), _big("runs"), _big("orgs"), _big("groups"), near.format("o", "orgs", "orgs_near"), near.format("g", "groups", "groups_near"))
+
+
 def q_date_coerce(spark, sf_dir):
     """Text dates parsed without failing: billing dates as 'yyyyMMdd' text
     (valid), stored first dates (null where missing) and market-segment text
@@ -467,6 +573,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "http_file_roundtrip": q_http_file_roundtrip,
     "delivery_report_roundtrip": q_delivery_report_roundtrip,
     "date_coerce": q_date_coerce,
+    "billing_state_two_runs": q_billing_state_two_runs,
+    "headcount_sweep": q_headcount_sweep,
+    "headcount_daily_runs": q_headcount_daily_runs,
+    "exact_rounding": q_exact_rounding,
+    "segment_intervals": q_segment_intervals,
+    "snapshot_rejects_roundtrip": q_snapshot_rejects_roundtrip,
+    "history_type_widening": q_history_type_widening,
+    "curve_distinct_merge": q_curve_distinct_merge,
     "report_route": q_report_route,
 }
 

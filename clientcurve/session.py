@@ -45,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         # Nothing configured and one process (tests): a fresh private folder.
         configured = tempfile.mkdtemp(prefix="clientcurve-ckpt-")
@@ -76,3 +76,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared work folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of any store that Spark reaches; False if there was none."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -16,6 +16,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .history import register_schema
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by=None) -> str:
     w = df.write.mode(mode).format(fmt)
@@ -47,15 +49,17 @@ def append_history(df: DataFrame, path: str, run_ts: _dt.datetime, id_col: str =
     Uses dynamic partition overwrite: only the partition of this run is
     (re)written, earlier runs are untouched. Cost is O(rows of this run); the
     history is never read back and rewritten. ``rebalance`` sizes the files of
-    the run evenly (AQE splits them by the advisory partition size)."""
+    the run evenly (AQE splits them by the advisory partition size). The run's
+    schema is registered, so that later runs may widen its types."""
+    run = stamp_run(df, run_ts, id_col)
     (
-        stamp_run(df, run_ts, id_col)
-        .hint("rebalance", "run_id")
+        run.hint("rebalance", "run_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")
         .parquet(path)
     )
+    register_schema(run, path, run_ts.strftime("%Y%m%dT%H%M%S"))
     return path
 
 

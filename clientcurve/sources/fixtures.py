@@ -17,6 +17,7 @@ through. Only the columns used are read, so the scans prune columns.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -50,6 +51,29 @@ class FixtureTables:
             "o_orderkey % 50 AS nfe_no",
         )
 
+    def invoice_loads(self, cut: _dt.date) -> list[tuple[str, DataFrame]]:
+        """The invoices as two loads of a log. The first holds those up to ``cut``,
+        with cancelled ones still open and every 97th with another amount; the second
+        the later ones, the cancellations and the right amounts."""
+        rows = self.raw("orders").selectExpr(
+            "o_orderkey AS invoice_id",
+            "CAST(o_custkey AS STRING) AS client_code",
+            "CAST(o_orderdate AS DATE) AS issue_date",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS gross",
+            f"CASE WHEN {_CANCELLED} THEN '{C.CANCELLED_STATUS}' ELSE o_orderstatus END AS status",
+            "o_orderkey % 50 AS nfe_no",
+        )
+        early = F.col("issue_date") <= F.lit(cut)
+        changed = (F.col("status") == C.CANCELLED_STATUS) | (F.col("invoice_id") % 97 == 0)
+        first = rows.where(early).select(
+            "invoice_id", "client_code", "issue_date",
+            F.when(F.col("invoice_id") % 97 == 0, F.col("gross") + 1).otherwise(F.col("gross")).cast("decimal(18,2)").alias("gross"),
+            F.when(F.col("status") == C.CANCELLED_STATUS, F.lit("P")).otherwise(F.col("status")).alias("status"),
+            "nfe_no", F.lit(False).alias("revised"),
+        )
+        second = rows.where(~early | changed).withColumn("revised", early)
+        return [("0001", first), ("0002", second)]
+
     @cached_property
     def employees(self) -> DataFrame:
         return self.raw("orders").selectExpr(

@@ -15,11 +15,12 @@ and the column order of the export does not matter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import ISO_FMT, coerce_date
+from ..sinks.history import read_widened
 
 # Column names of the source systems.
 INVOICE_COLUMNS = {
@@ -48,7 +49,7 @@ ORG_SNAPSHOT_COLUMNS = {
 IDENTITY_ORG_COLUMNS = {f.name: f.name for f in S.ORGS.fields}
 
 
-def _q(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -93,7 +94,7 @@ def jdbc_query(spark: SparkSession, url: str, query: str, properties: dict | Non
 
 def invoices_from_source(df: DataFrame, columns: dict = INVOICE_COLUMNS) -> DataFrame:
     """Source invoice rows -> ``invoices`` model (types per schemas.INVOICES)."""
-    c = {v: F.col(_q(k)) for k, v in columns.items()}
+    c = {v: F.col(quoted(k)) for k, v in columns.items()}
     return df.select(
         c["client_code"].cast("string").alias("client_code"),
         c["issue_date"].cast("date").alias("issue_date"),
@@ -104,7 +105,7 @@ def invoices_from_source(df: DataFrame, columns: dict = INVOICE_COLUMNS) -> Data
 
 
 def employees_from_source(df: DataFrame, columns: dict = EMPLOYEE_COLUMNS) -> DataFrame:
-    c = {v: F.col(_q(k)) for k, v in columns.items()}
+    c = {v: F.col(quoted(k)) for k, v in columns.items()}
     return df.select(
         c["client_code"].cast("string").alias("client_code"),
         c["employee_code"].cast("string").alias("employee_code"),
@@ -128,33 +129,35 @@ def read_delimited_text(spark: SparkSession, path: str, sep: str) -> DataFrame:
     )
 
 
-def orgs_from_text(df: DataFrame, columns: dict = ORG_SNAPSHOT_COLUMNS, date_fmt: str = ISO_FMT) -> DataFrame:
-    """Text snapshot -> ``orgs`` model. Picks columns by name, so extra or
-    reordered export columns are harmless; codes stay text."""
-    c = {v: F.col(_q(k)) for k, v in columns.items()}
+def org_columns(columns: dict = ORG_SNAPSHOT_COLUMNS, date_fmt: str = ISO_FMT) -> dict[str, Column]:
+    """The columns of the ``orgs`` model, from a snapshot's text columns."""
+    c = {v: F.col(quoted(k)) for k, v in columns.items()}
 
     def whole(x, kind):
         # "27" and "27.0" both occur in exports; anything else becomes null. Only
         # text with a fraction goes through a double, so long ids keep their digits.
         return F.coalesce(x.try_cast(kind), F.nullif(x.try_cast("double"), F.lit(float("nan"))).try_cast(kind))
 
-    def as_int(x):
-        return whole(x, "int")
-
     def as_date(x):
         # Stored dates also come as timestamp text.
         return F.coalesce(coerce_date(x, date_fmt), x.try_cast("timestamp_ntz").cast("date"))
 
-    return df.select(
-        whole(c["id"], "bigint").alias("id"),
-        F.nullif(c["codes"], F.lit("")).alias("codes"),
-        F.nullif(c["econ_group"], F.lit("")).alias("econ_group"),
-        as_int(c["crm_curve"]).alias("crm_curve"),
-        as_date(c["crm_first"]).alias("crm_first"),
-        as_date(c["crm_last"]).alias("crm_last"),
-        as_int(c["crm_status"]).alias("crm_status"),
-        as_int(c["crm_group_status"]).alias("crm_group_status"),
-    )
+    return {
+        "id": whole(c["id"], "bigint"),
+        "codes": F.nullif(c["codes"], F.lit("")),
+        "econ_group": F.nullif(c["econ_group"], F.lit("")),
+        "crm_curve": whole(c["crm_curve"], "int"),
+        "crm_first": as_date(c["crm_first"]),
+        "crm_last": as_date(c["crm_last"]),
+        "crm_status": whole(c["crm_status"], "int"),
+        "crm_group_status": whole(c["crm_group_status"], "int"),
+    }
+
+
+def orgs_from_text(df: DataFrame, columns: dict = ORG_SNAPSHOT_COLUMNS, date_fmt: str = ISO_FMT) -> DataFrame:
+    """Text snapshot -> ``orgs`` model. Picks columns by name, so extra or
+    reordered export columns are harmless; codes stay text."""
+    return df.select(*[c.alias(n) for n, c in org_columns(columns, date_fmt).items()])
 
 
 def read_orgs_snapshot(
@@ -199,6 +202,6 @@ def read_segment_dims(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
 
 # --------------------------------------------------------------- history (S9)
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Append-only run history; runs written by older versions may lack
-    columns, which read back as null."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """Append-only run history. Runs written by older versions may lack columns,
+    which read back as null, or hold them in narrower types, which are widened."""
+    return read_widened(spark, path)
