@@ -59,17 +59,17 @@ def org_abc(orgs: DataFrame, abc: DataFrame) -> DataFrame:
 
     ``abc`` has one row per group; AQE broadcasts it when its runtime size is
     small and otherwise splits a hot group on the organisation side.
-    Organisations without a group take the defaults and bypass the join, so
-    they are no hot (null) key."""
-    g = abc.select("econ_group", F.col("curve").alias("_curve"), F.col("group_status").alias("_gs"))
-    grouped = (
-        orgs.where(F.col("econ_group").isNotNull())
-        .join(g, "econ_group", "left")
-        .withColumn("curve", F.coalesce("_curve", F.lit(C.CURVE_NONE)))
-        .withColumn("group_status", F.coalesce("_gs", F.lit(C.GROUP_NEVER)))
-        .drop("_curve", "_gs")
+    Organisations without a group join on a key of their own (``lone_key``), so
+    they are no hot (null) key and the frame is read once."""
+    g = abc.select(F.col("econ_group").alias("_k"), F.col("curve").alias("_curve"), F.col("group_status").alias("_gs"))
+    return orgs.withColumn("_k", lone_key()).join(g, "_k", "left").select(
+        *[F.col(f"`{c}`") for c in orgs.columns],
+        F.coalesce("_curve", F.lit(C.CURVE_NONE)).alias("curve"),
+        F.coalesce("_gs", F.lit(C.GROUP_NEVER)).alias("group_status"),
     )
-    alone = orgs.where(F.col("econ_group").isNull()).withColumns(
-        {"curve": F.lit(C.CURVE_NONE), "group_status": F.lit(C.GROUP_NEVER)}
-    )
-    return grouped.unionByName(alone)
+
+
+def lone_key(group: str = "econ_group", row_id: str = "id") -> Column:
+    """The group, or, where it is null, a text that no group has and that differs
+    between organisations: it matches nothing and spreads over all reducers."""
+    return F.coalesce(F.col(group), F.concat(F.lit("\0"), F.coalesce(F.col(row_id).cast("string"), F.lit(""))))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import days_between, lit_date
+from .abc import lone_key
 
 
 def activity_status(df: DataFrame, as_of: _dt.date, active_days: int = C.ACTIVE_DAYS) -> DataFrame:
@@ -42,16 +43,9 @@ def group_status_rollup(df: DataFrame, active_days: int = C.ACTIVE_DAYS) -> Data
     )
     per_group = (
         marked.where(F.col("econ_group").isNotNull())
-        .groupBy("econ_group")
+        .groupBy(F.col("econ_group").alias("_k"))
         .agg(F.min("_gs1").alias("_gs_group"))
     )
-    grouped = (
-        marked.where(F.col("econ_group").isNotNull())
-        .join(per_group, "econ_group", "left")
-        .withColumn("group_status", F.col("_gs_group"))
-        .drop("_gs1", "_gs_group")
-    )
-    # Organisations without a group bypass the join: they are no hot (null) key.
-    alone = marked.where(F.col("econ_group").isNull()).drop("_gs1")
-    alone = alone.withColumn("group_status", F.lit(None).cast(marked.schema["group_status"].dataType))
-    return grouped.unionByName(alone)
+    # Organisations without a group match nothing, by keys of their own: null status, no hot key.
+    joined = marked.withColumn("_k", lone_key()).join(per_group, "_k", "left")
+    return joined.select(*[F.col("_gs_group").alias(c) if c == "group_status" else F.col(f"`{c}`") for c in df.columns])

@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from .. import operators as O
 from ..config import RunConfig
+from ..operators import distinct_sketch
 from ..session import materialize
-from ..sinks import writers
+from ..sinks import publish, writers
 
 # Mean demand is reported, and classified, at 6 decimal places.
 DEMAND_PRECISION = 6
@@ -47,6 +48,7 @@ class BillingRun:
         cfg: RunConfig | None = None,
         delivery_log: DataFrame | None = None,
         num_partitions: int | None = None,
+        facts: DataFrame | None = None,
     ):
         self.invoices = invoices
         self.employees = employees
@@ -54,6 +56,9 @@ class BillingRun:
         self.delivery_log = delivery_log
         self.cfg = cfg or RunConfig()
         self.num_partitions = num_partitions
+        self._from_state = facts is not None
+        if facts is not None:  # kept up to date by operators.billing_state; the invoices are not read
+            self.__dict__["facts"] = facts
 
     @property
     def _window_days(self) -> int:
@@ -87,7 +92,7 @@ class BillingRun:
     def group_rev(self) -> DataFrame:
         """Window revenue of the groups. Its scan reads the window only; a run
         that has reduced the whole history already takes it from there."""
-        if "group_facts" in self.__dict__:
+        if self._from_state or "group_facts" in self.__dict__:
             return O.group_window_revenue(self.group_facts)
         return O.group_revenue(self.client_rev, self.code_map, self.cfg.dedupe_shared_codes)
 
@@ -213,36 +218,51 @@ class BillingRun:
         return O.segment(self.profile, dim_demand, "mean_demand", "demand_segment", DEMAND_PRECISION)
 
     # -------------------------------------------------------------- the job
-    def write_outputs(self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None, history: str | None = None) -> dict[str, str]:
-        """Write every output under ``out_dir/run_date=<as_of>`` (a shared
-        folder) and return the paths; other runs' outputs stay. The history of
-        all runs is one table, at ``history`` (``out_dir/history`` by default). An output that later outputs derive from is written once
-        and read back as their input, so no chain is computed twice and the
-        lineage of every later step starts at a stored table."""
+    def write_outputs(
+        self, out_dir: str, dim_recency=None, dim_demand=None, http_codes=None, history: str | None = None, rejects: DataFrame | None = None, keep: int = 2
+    ) -> dict[str, str]:
+        """Write every output under ``out_dir/run_date=<as_of>`` (a shared folder)
+        and return the paths; other runs' outputs stay. The tables of a run are
+        published together (``sinks.publish``): until all are written, and after a
+        failure, readers see those of the run before, of which ``keep`` versions
+        stay. The history of all runs is one table, at ``history``
+        (``out_dir/history`` by default). An output that later outputs derive from
+        is written once and read back as their input, so no chain is computed twice
+        and the lineage of every later step starts at a stored table."""
         spark = self.orgs.sparkSession
         root = out_dir.rstrip("/")
         out = f"{root}/run_date={self.cfg.as_of}"
-        # The job needs the whole history once, and everything else from that.
-        _ = self.facts, self.group_facts
+        draft = publish.Draft(spark, out)
         paths: dict[str, str] = {}
 
         def put(df: DataFrame, name: str) -> DataFrame:
-            paths[name] = writers.write_table(df, f"{out}/{name}")
-            return spark.read.parquet(paths[name])
+            paths[name] = draft.path(name)
+            return draft.write(df, name)
+
+        try:
+            self._write_all(put, paths, root, dim_recency, dim_demand, http_codes, history, rejects)
+        except BaseException:
+            draft.discard()
+            raise
+        draft.commit({"as_of": str(self.cfg.as_of)})
+        publish.expire(spark, out, keep)
+        return paths
 
+    def _write_all(self, put, paths, root, dim_recency, dim_demand, http_codes, history, rejects) -> None:
+        # The job needs the whole history once, and everything else from that.
+        _ = self.facts, self.group_facts
         put(self.abc, "group_revenue")
         flagged = put(self.flagged, "org_frame")
         changed = put(O.changed_orgs(flagged), "changed_orgs")
         put(O.curve_summary(changed), "curve_summary")
         put(O.curve_movers(changed), "curve_movers")
         put(O.status_movers(changed), "status_movers")
+        if rejects is not None:
+            put(rejects, "org_rejects")
         outbox = O.update_outbox(changed)
         records = outbox.select(
             "*", O.payload_column(self.cfg.field_keys).alias("payload"), F.lit(self.cfg.as_of).alias("run_date")
         )
-        paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{root}/update_outbox")
-        paths["history"] = writers.append_history(changed, history or f"{root}/history", self.cfg.run_ts)
-
         headcount = put(self.headcount, "headcount")
         demand = put(O.demand_mom(headcount), "demand")
         profile = O.rdm_profile(
@@ -257,4 +277,7 @@ class BillingRun:
             paths["delivery_report"] = writers.write_partitioned_by_run_date(
                 O.delivery_report(self.delivery_log.where(F.col("run_date") == F.lit(self.cfg.as_of)), http_codes), f"{root}/delivery_report"
             )
-        return paths
+        # Tables of all runs, partitioned by run: each replaces the run's own partition.
+        paths["class_sketches"] = distinct_sketch.append_sketches(distinct_sketch.class_sketches(changed, f"{self.cfg.run_ts:%Y%m%dT%H%M%S}"), f"{root}/class_sketches")
+        paths["update_outbox"] = writers.write_partitioned_by_run_date(records, f"{root}/update_outbox")
+        paths["history"] = writers.append_history(changed, history or f"{root}/history", self.cfg.run_ts)
