@@ -3,6 +3,8 @@ byte slices of Arrow text columns and streaming over sorted groups."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,12 +16,16 @@ from pyspark.sql import functions as F
 from clientcurve.session import ensure_checkpoint_dir, shared_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage ends at files that survive the loss of any executor."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -30,6 +36,45 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release_memory() -> None:
+    """Give back to the system what this worker has freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def forget_tokens() -> None:
+    """Drop what tokenizing tasks have cached in this worker."""
+    from . import _tokens
+
+    if _tokens.release():
+        release_memory()
+
+
+def lean(run, tokens: bool = False):
+    """A task's function for a worker that Spark keeps for later tasks: what
+    tokenizing tasks have cached goes before it starts, unless it tokenizes itself,
+    and freed memory goes back to the system when it ends."""
+
+    def task(batches):
+        if not tokens:
+            forget_tokens()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
+def mapped(df: DataFrame, run, schema, tokens: bool = False) -> DataFrame:
+    """``df.mapInArrow`` by a lean task, in Arrow batches of bounded bytes."""
+    return df.mapInArrow(lean(run, tokens), schema)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a batch into slices of about ``max_bytes`` of UTF-8 text (at least
     one row each). Yields (first row, row count, bytes, offsets); null texts
@@ -128,7 +173,7 @@ def running_offsets(df: DataFrame, group: list[str], order: list[str], value: st
                 [*b.columns, pa.array(np.full(n, pid, np.int32)), pa.array(run)], names=[*b.schema.names, "__range", out]
             )
 
-    local = pinned(ranged.mapInArrow(sums, schema))
+    local = pinned(mapped(ranged, sums, schema))
     totals = local.groupBy("__range", *group).agg(F.sum(value).cast("long").alias("__sum"))
     from pyspark.sql import Window
 
@@ -146,8 +191,11 @@ def running_offsets(df: DataFrame, group: list[str], order: list[str], value: st
 
 def ship(spark) -> None:
     """Send the package's source to the executors, for sessions that were not
-    started with it on their Python path. Done once for a context."""
+    started with it on their Python path (once for a context), and bound the bytes
+    of an Arrow batch: 10,000 rows of text are any number of bytes."""
     sc = spark.sparkContext
+    if int(spark.conf.get(_BATCH_KEY).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
     if getattr(sc, "_clientcurve_shipped", False):
         return
     import os

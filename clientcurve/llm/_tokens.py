@@ -119,6 +119,18 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def release() -> bool:
+    """Let go of the encoders and what they have kept; False if there were none."""
+    had = bool(_encoders)
+    _encoders.clear()
+    return had
+
+
+def id_bytes(path: str) -> int:
+    """Bytes of an id of a tokenizer file, without loading it in this process for good."""
+    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file on this machine and its executors."""
     import public_tokenizers

@@ -100,7 +100,7 @@ def test_terms_of_bytes_are_those_of_characters():
 
 
 def test_empty_tables(spark, make_docs):
-    docs, asked = case(2, 5)
+    docs, asked = case(2, 20)
     assert B.ranked_search(make_docs([]), items(spark, asked)).collect() == []
     assert B.ranked_search(make_docs(docs), items(spark, [])).collect() == []
     assert B.ranked_search(make_docs([(1, None), (2, " ")]), items(spark, asked)).collect() == []
