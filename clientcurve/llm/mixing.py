@@ -11,13 +11,16 @@ hash), the bucket in which the running sum crosses the budget is found, and only
 the documents of that bucket are histogrammed on the next 12 bits, down to 48
 bits. No document is sorted; a histogram has at most 4,096 buckets a source and
 a hot source is pre-aggregated in every task. The document at the threshold is
-taken if that brings the source nearer to its target.
+taken if that brings the source nearer to its target; of rows that share its hash, as
+many as bring it nearest. Only these are numbered, by their place in the parts of the
+table that they stand in: within a part by a window, over the parts by a running
+count of one row a part.
 
 The hash is the MD5 of id and text, so reruns agree, whatever the partitioning.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 ordered last; a null id is hashed as ``null``. Rows equal in id and text share
-one hash and are taken or left together. A source without words has target 0.
+one hash, and the threshold can fall among them. A source without words has target 0.
 An empty table gives an empty result. Only the named columns are read.
 """
 
@@ -82,15 +85,19 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
         shift = LEVEL_BITS * (LEVELS - 1 - level)
         s = state.select(F.col("source").alias("s"), "rest", "bucket", "below")
         inside = rows.join(s, F.col("source").eqNullSafe(F.col("s")) & (F.shiftright("key", shift + LEVEL_BITS) == F.col("bucket")))
-        hist = inside.groupBy("source", "rest", "below", F.shiftright("key", shift).alias("b")).agg(F.sum("size").cast("long").alias("words"))
+        hist = inside.groupBy("source", "rest", "below", F.shiftright("key", shift).alias("b")).agg(F.sum("size").cast("long").alias("words"), F.count("*").alias("rows"))
         upto = Window.partitionBy("source").orderBy("b")
         run = hist.withColumn("upto", F.col("below") + F.sum("words").over(upto))
-        crossed = run.where("upto > rest").groupBy("source", "rest").agg(F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("below"), "upto")).alias("at"))
-        state = pinned(crossed.select("source", "rest", F.col("at.b").alias("bucket"), F.col("at.below").alias("below"), F.col("at.upto").alias("upto")))
+        at = F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("below"), "upto", "rows")).alias("at")
+        crossed = run.where("upto > rest").groupBy("source", "rest").agg(at)
+        state = pinned(crossed.select("source", "rest", F.col("at.b").alias("bucket"), *[F.col(f"at.{c}").alias(c) for c in ("below", "upto", "rows")]))
+    one = F.col("upto") - F.col("rest") < F.col("rest") - F.col("below")
+    several = F.ceil((F.col("rest") - F.col("below")) * F.col("rows") / (F.col("upto") - F.col("below")) - 0.5)
     edge = state.select(
         F.col("source").alias("s"),
         F.col("bucket").alias("edge"),
-        (F.col("upto") - F.col("rest") < F.col("rest") - F.col("below")).alias("with_edge"),
+        F.col("rows").alias("edge_rows"),
+        F.when(F.col("rows") > 1, several).otherwise(one.cast("long")).cast("long").alias("edge_taken"),
     )
     return plan.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
@@ -102,10 +109,31 @@ def mix_plan(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float
 
 
 def _copies() -> Column:
-    once_more = (F.col("key") < F.col("edge")) | ((F.col("key") == F.col("edge")) & F.col("with_edge"))
+    """Copies of a document away from its source's threshold, or alone at it."""
+    once_more = (F.col("key") < F.col("edge")) | ((F.col("key") == F.col("edge")) & (F.col("edge_taken") > 0))
     return F.col("copies") + F.coalesce(once_more, F.lit(False)).cast("long")
 
 
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` joined with their plan, with ``times``, their copies. The rows that
+    share the hash at a threshold, where there are several, are stored and numbered."""
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s")))
+    if plan.where("edge_rows > 1").isEmpty():
+        return rows.withColumn("times", _copies())
+    tied = F.coalesce((F.col("key") == F.col("edge")) & (F.col("edge_rows") > 1), F.lit(False))
+    plain = rows.where(~tied).withColumn("times", _copies())
+    at_edge = stored(rows.where(tied).withColumn("__row", F.monotonically_increasing_id()), "mix-edge")
+    part = F.shiftright("__row", 33)
+    counts = at_edge.groupBy("s", part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("s").alias("__s"), F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("s", "__part").orderBy("__row"))
+    numbers = at_edge.select("s", "__row", part.alias("__part")).withColumn("__place", place)
+    numbers = numbers.join(starts, F.col("s").eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p"))).select(F.col("__row").alias("__r"), (F.col("__before") + F.col("__place")).alias("__number"))
+    numbered = at_edge.join(numbers, F.col("__row") == F.col("__r")).withColumn("times", F.col("copies") + (F.col("__number") <= F.col("edge_taken")).cast("long"))
+    return plain.unionByName(numbered.select(*plain.columns))
+
+
 def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     return stored(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), hash_key(F.col(id_col), F.col(text_col)).alias("key")),
@@ -119,16 +147,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of these copies. The options are those of :func:`mix_plan`."""
     sizes = _sizes(docs, id_col, text_col, source_col)
     plan = mix_plan(sizes, **options).withColumnRenamed("source", "s")
-    return sizes.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"), "source", _copies().alias("copies")
-    )
+    taken = _taken(sizes, plan)
+    return taken.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source", F.col("times").alias("copies"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken. The
     texts are not shuffled: they meet a plan of one row a source."""
     plan = mix_plan(_sizes(docs, id_col, text_col, source_col), **options).withColumnRenamed("source", "s")
-    plan = plan.select("s", "copies", "edge", "with_edge")
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), F.col(source_col).alias("source"), hash_key(F.col(id_col), F.col(text_col)).alias("key"))
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("times", _copies()).where("times > 0")
+    plan = plan.select("s", "copies", "edge", "edge_rows", "edge_taken")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(source_col).alias("source"), hash_key(F.col(id_col), F.col(text_col)).alias("key"))
+    rows = _taken(rows, plan).where("times > 0")
     return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc.*")

@@ -51,5 +51,21 @@ def test_mix(make_docs):
     assert whole.columns == docs.columns and whole.count() == sum(r["copies"] for r in out)
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_the_threshold_falls_among_equal_rows(make_docs, key):
+    """Fifty equal rows hold nearly all of a source's words."""
+    rows = [(key, "w " * 1000, "a")] * 50 + [(100 + i, "v " * 10, "a") for i in range(100)] + [(300 + i, "u " * 10, "b") for i in range(40)]
+    docs = make_docs(rows).repartition(5)
+    for _ in range(2):
+        out = mix_sources(docs).collect()
+        assert len(out) == len(rows)
+        for source in ("a", "b"):
+            mine = [r for r in out if r["source"] == source]
+            assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 500
+    equal = [r["copies"] for r in out if r["size"] == 1000]
+    assert len(equal) == 50 and max(equal) - min(equal) <= 1
+    assert mixed(docs).where("source = 'a'").count() == sum(r["copies"] for r in out if r["source"] == "a")
+
+
 def test_empty_table(make_docs):
     assert mix_sources(make_docs([])).collect() == [] and mixed(make_docs([])).collect() == []
