@@ -124,6 +124,20 @@ def test_columns_and_odd_rows(spark, make_docs, stages):
                 out.count()
 
 
+@pytest.mark.parametrize("names", [("id", "text_hash", "key"), ("ID", "first", "rows"), ("doc", "s", "source_size"), ("grp", "begin", "n")])
+def test_extra_columns_of_any_name(spark, names):
+    a, b = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    rows_ = [(1, a, "en", "x", 9, "p", 1, "q"), (1, a, "en", "x", 9, "p", 1, "q"), (2, a, "en", "y", 9, "p", 2, "q"), (None, b, "en", None, 9, "p", 3, "q"), (4, None, "en", "x", 0, "p", 4, "q")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string, n_chars long, {} string, {} int, {} string".format(*names))
+    for i, (_, stage) in enumerate(P.STAGES):
+        if i:
+            out = stage(spark, docs, SF)
+            assert i == 4 or out.columns == docs.columns
+            kept = out.collect()
+            if i == 1:
+                assert sorted(str(r["doc_id"]) for r in kept) == ["1", "4", "None"]
+
+
 def test_near_copies_by_row(spark, make_docs):
     """Ids that repeat with other texts, null ids and rows that repeat."""
     a, b, c, d, e = (" ".join(f"{w}{i}" for i in range(40)) for w in "abcde")
