@@ -55,22 +55,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies."""
     _ready(spark)
-    found = stored(jaccard_rows(docs, n=5, num=80, den=100).where("n > 0").select("id", "text_hash", "first"), "pipeline-classes")
-    again = found.where("first").groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1").select("id", "text_hash")
-    gone = found.where("NOT first").select("id", "text_hash").distinct().union(again)
-
-    def same(rows):
-        return docs["doc_id"].eqNullSafe(rows["id"]) & (F.xxhash64(docs["text"]) == rows["text_hash"])
-
-    one = docs.join(again, same(again)).dropDuplicates(["id", "text_hash"])
-    return docs.join(gone, same(gone), "left_anti").select(*docs.columns).union(one.select(*docs.columns))
+    found = stored(jaccard_rows(docs, n=5, num=80, den=100).where("n > 0").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), "first"), "pipeline-classes")
+    again = found.where("first").groupBy("__id", "__hash").agg(F.count("*").alias("rows")).where("rows > 1").select("__id", "__hash")
+    gone = found.where("NOT first").select("__id", "__hash").distinct().union(again)
+    # The columns of documents, whatever their names, travel as one.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col("doc_id").alias("__own_id"), F.xxhash64("text").alias("__own_hash"))
+    same = F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__hash"))
+    one = rows.join(again, same).dropDuplicates(["__own_id", "__own_hash"])
+    return rows.join(gone, same, "left_anti").select("__doc.*").union(one.select("__doc.*"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings that repeat."""
     _ready(spark)
     cut = without_repeats(docs, length=REPEAT_BYTES)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
