@@ -8,6 +8,8 @@ import re
 from collections.abc import Iterable
 from html import unescape
 
+import xxhash
+
 # Markup: comments and raw-text elements as a whole, then tags; an unclosed
 # comment, script or style runs to the end of the page.
 _TOKEN = re.compile(
@@ -40,8 +42,10 @@ _ENDS = {
     "option": ({"option"}, {"select"}),
 }
 _P_STOPS = frozenset("body html div td th li article section main table button form blockquote".split())
-# Elements that never belong to an article's text, by tag or by words of class and id.
+# Elements that never belong to an article's text, by tag.
 APART = frozenset("nav footer aside form button label input dialog menu".split())
+# Words of class and id that speak for something else than an article's text. They
+# are evidence only, see _settle.
 APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright"
     " disclaimer disqus footer foot gdpr header hidden legal login masthead menu modal nav navbar navigation newsletter notice notices notification pager"
@@ -49,36 +53,49 @@ APART_WORDS = frozenset(
     " subscribe tags teaser toolbar topbar widget widgets".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+# Of these, words that name nothing else when they stand alone or with words of layout.
+PLAIN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies disqus gdpr login"
+    " modal nav navbar navigation newsletter pager pagination popup promo promoted promotion sidebar signup sponsor sponsored subscribe".split()
+)
+LAYOUT_WORDS = frozenset("area bar block bottom box column container global group inner item left line link links list main outer page panel right row section site slot top unit wrap wrapper zone".split())
 PAGE_TAGS = ("#", "html", "body")
+ROLES = frozenset("banner complementary contentinfo dialog form navigation search".split())
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "apart", "own", "links", "article", "blocks", "comment")
+    __slots__ = ("tag", "parent", "path", "apart", "plain", "weak", "comment", "own", "links", "article", "blocks")
 
-    def __init__(self, tag, parent, path, apart, comment=False):
-        self.tag, self.parent, self.path, self.apart, self.comment = tag, parent, path, apart, comment
+    def __init__(self, tag, parent, path, apart, plain=False, weak=False, comment=False):
+        self.tag, self.parent, self.path, self.apart = tag, parent, path, apart
+        self.plain, self.weak, self.comment = plain, weak, comment
         self.own = self.links = 0  # characters of text below, and of these in links
         self.article = tag in ("article", "main")
         self.blocks = []
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool, bool]:
-    """Generalised name of an element (tag and class, numbers as #), whether its
-    attributes set it apart from an article, and whether they name comments."""
+def _label(tag: str, attrs: str) -> tuple[str, bool, bool, bool, bool]:
+    """Generalised name of an element (tag and class, numbers as #); whether tag or
+    attributes set it apart from an article; whether its words plainly say that it is
+    apart, whether some of them do; and whether they name comments."""
     if not attrs or "=" not in attrs:
-        return tag, tag in APART or (bool(attrs) and " hidden" in attrs.lower()), False
-    name, apart, comment = tag, tag in APART, False
+        return tag, tag in APART or (bool(attrs) and " hidden" in attrs.lower()), False, False, False
+    name, apart, plain, weak, comment = tag, tag in APART, False, False, False
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key == "class":
             name = f"{tag}.{'.'.join(sorted(set(_DIGITS.sub('#', value).split())))}"
-        if key in ("class", "id", "role"):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if not words.isdisjoint(APART_WORDS) and words.isdisjoint(("with", "has", "no")):
-                apart, comment = True, comment or not words.isdisjoint(COMMENT_WORDS)
-        elif (key == "style" and _HIDDEN.search(value)) or (key == "aria-hidden" and value == "true"):
+        if key in ("class", "id"):
+            for token in value.split():
+                words = {w.lower() for w in _WORD.findall(token)}
+                if words.isdisjoint(APART_WORDS) or not words.isdisjoint(("with", "has", "no")):
+                    continue
+                weak = True
+                if not words.isdisjoint(PLAIN_WORDS) and words <= APART_WORDS | LAYOUT_WORDS:
+                    plain, comment = True, comment or not words.isdisjoint(COMMENT_WORDS)
+        elif (key == "style" and _HIDDEN.search(value)) or (key == "aria-hidden" and value == "true") or (key == "role" and value.lower() in ROLES):
             apart = True
-    return name, apart, comment
+    return name, apart, plain, weak, comment
 
 
 def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str], int]]]:
@@ -170,8 +187,8 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str], int]
         if tag in VOID:
             continue
         parent = stack[-1]
-        name, apart, comment = _label(tag, m.group(4))
-        e = Element(tag, parent, f"{parent.path}>{name}" if tag in BLOCK else parent.path, apart, comment)
+        name, apart, *words = _label(tag, m.group(4))
+        e = Element(tag, parent, f"{parent.path}>{name}" if tag in BLOCK else parent.path, apart, *words)
         elements.append(e)
         link += tag == "a"
         stack.append(e)  # the slash of <tag/> means nothing in HTML
@@ -180,30 +197,110 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, list[str], int]
     return elements, blocks
 
 
-def _settle(elements: list[Element]) -> None:
-    """Sum text upward, and settle what stands apart: words of a class do not set
-    apart what holds an article, but for comments within an article, each of which
-    may be an article element; a page header is apart but for headings of an
-    article's own header."""
-    within = set()  # elements inside an article
+def _sums(elements: list[Element], own: list[tuple[int, int]]) -> None:
+    """Sum text upward, but for what stands apart."""
+    for e, (n, k) in zip(elements, own, strict=True):
+        e.own, e.links = n, k
+    for e in reversed(elements[1:]):
+        if not e.apart:
+            e.parent.own += e.own
+            e.parent.links += e.links
+
+
+def _below(elements: list[Element], tops: set[int]) -> set[int]:
+    """Ids of the elements ``tops`` and of all below them."""
+    inside = set(tops)
+    for e in elements[1:]:
+        if id(e.parent) in inside:
+            inside.add(id(e))
+    return inside
+
+
+def _settle(elements: list[Element], blocks: list, repeated: frozenset[int] = frozenset()) -> None:
+    """Sum text upward, and settle what stands apart.
+
+    Tags and hiding attributes decide at once; a page header is apart but for headings
+    of an article's own header. Words of class and id are evidence. Words that plainly
+    name an advert, comments or the like set an element apart unless it holds an
+    article or half of the page's text (comments: all of it). Other words do so only
+    together with something else: the element is mostly links, or its text, less
+    than half of the page's, is ``repeated`` on other pages of the host, or it is a box outside the place that
+    holds the article without it. What is in that place and reads like text stays."""
+    own = [(e.own, e.links) for e in elements]
     for e in reversed(elements[1:]):
-        p = e.parent
-        p.article = p.article or e.article
+        e.parent.article = e.parent.article or e.article
+    within = _below(elements, {id(e) for e in elements if e.tag == "article"})
     for e in elements[1:]:
-        if e.parent.tag == "article" or id(e.parent) in within:
-            within.add(id(e))
-        talk = e.comment and id(e) in within
-        if e.apart and e.tag not in ("nav", "aside", "footer") and e.article:
-            e.apart = talk
         if e.tag in ("html", "body", "article", "main"):
-            e.apart = talk
-        if e.tag == "header" and not e.article:
+            e.apart = False
+        elif e.apart and e.tag not in ("nav", "aside", "footer") and e.article:
+            e.apart = False
+        elif e.tag == "header" and not e.article:
             e.apart = True
         e.apart = e.apart or e.parent.apart
-    for e in reversed(elements[1:]):
-        if not e.apart:
-            e.parent.own += e.own
-            e.parent.links += e.links
+    _sums(elements, own)
+    total = elements[0].own
+    said = [e for e in elements[1:] if e.plain and not e.apart]
+    # An article element may be a single comment, inside an article or below comments.
+    talk = {id(e) for e in said if e.comment and id(e) in within and e.tag != "body"}
+    for e in said:
+        most = total if e.comment else (total + 1) // 2
+        holds = e.article or e.tag in ("html", "body", "article", "main")
+        e.apart = e.own < most and (not holds or id(e) in talk)
+    _spread(elements)
+    _sums(elements, own)
+    weak = [e for e in elements[1:] if e.weak and not e.apart and not e.article and e.tag not in ("html", "body", "article", "main")]
+    if not weak:
+        return
+    texts = _texts_of(weak, blocks) if repeated else {}
+    total, boxes = elements[0].own, []
+    for e in weak:
+        if 2 * e.links > e.own or (2 * e.own < total and texts.get(id(e)) in repeated):
+            e.apart = True
+        elif e.tag in CONTAINERS and 2 * e.own < total:
+            e.apart = True
+            boxes.append(e)
+    if boxes:
+        _spread(elements)
+        _sums(elements, own)
+        dense = best_container(elements)
+        if dense is not None:
+            place = whole_article(elements, blocks, dense)
+            home = _below(elements, {id(place if place.tag in ("article", "main") else dense)})
+            kept = {id(e) for e in boxes if id(e) in home}
+            for e in elements[1:]:
+                e.apart = id(e) not in kept and e.apart
+            inside = _below(elements, kept)
+            for e in elements[1:]:  # what was apart only for standing in a kept box
+                if id(e) in inside and id(e) not in kept and e.apart and not _reason(e, repeated, texts, total):
+                    e.apart = e.parent.apart
+    _spread(elements)
+    _sums(elements, own)
+
+
+def _reason(e: Element, repeated: frozenset[int], texts: dict[int, int], total: int) -> bool:
+    """Whether an element stands apart for itself."""
+    if e.tag in APART or (e.tag == "header" and not e.article) or (e.plain and not e.article):
+        return True
+    return e.weak and (2 * e.links > e.own or (2 * e.own < total and texts.get(id(e)) in repeated))
+
+
+def _spread(elements: list[Element]) -> None:
+    for e in elements[1:]:
+        e.apart = e.apart or e.parent.apart
+
+
+def _texts_of(some: list[Element], blocks: list) -> dict[int, int]:
+    """Hash of the text of each of some elements."""
+    parts: dict[int, list[str]] = {id(e): [] for e in some}
+    for e, pieces, _ in blocks:
+        line = None
+        while e is not None:
+            if id(e) in parts:
+                line = " ".join("".join(pieces).split()) if line is None else line
+                parts[id(e)].append(line)
+            e = e.parent
+    return {i: xxhash.xxh64_intdigest("\n".join(p)) >> 1 for i, p in parts.items() if any(p)}
 
 
 def best_container(elements: list[Element], share: float = 0.8) -> Element | None:
@@ -267,8 +364,19 @@ def whole_article(elements: list[Element], blocks: list[tuple[Element, list[str]
 def container_vote(html: str) -> tuple[str, int, list[str]] | None:
     """(generalised path of the container of the page's article, its score, paths
     of the outermost elements with text beside it)."""
+    return page_votes(html)[0]
+
+
+def page_votes(html: str) -> tuple[tuple[str, int, list[str]] | None, list[int]]:
+    """The vote of :func:`container_vote`, and hashes of the texts of
+    its elements whose class or id has a word of APART_WORDS."""
     elements, blocks = parse(html)
-    _settle(elements)
+    weak = sorted(set(_texts_of([e for e in elements if e.weak], blocks).values()))
+    return _vote(elements, blocks), weak
+
+
+def _vote(elements: list[Element], blocks: list) -> tuple[str, int, list[str]] | None:
+    _settle(elements, blocks)
     e = best_container(elements)
     if e is None:
         return None
@@ -306,12 +414,13 @@ def _set_apart(elements: list[Element], paths: frozenset[str], places: list[Elem
                 p.own, p.links, p = p.own - e.own, p.links - e.links, p.parent
 
 
-def article_text(html: str, path: str | None, beside: Iterable[str] = ()) -> str:
+def article_text(html: str, path: str | None, beside: Iterable[str] = (), repeated: Iterable[int] = ()) -> str:
     """Text of all containers at ``path``; of the page's own best one if it has
     none there (or nothing in it), or less than half of the best one's text.
-    ``beside``: paths of what stands beside the article on pages of this kind."""
+    ``beside``: paths of what stands beside the article on pages of this kind;
+    ``repeated``: hashes of texts that the host's pages share."""
     elements, blocks = parse(html)
-    _settle(elements)
+    _settle(elements, blocks, frozenset(repeated))
     places = []
     if path is not None:
         places = [e for e in elements if e.path == path and (e.tag in CONTAINERS or e.parent is None) and not e.apart and e.own > e.links]

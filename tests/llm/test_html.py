@@ -118,3 +118,40 @@ def test_all_containers_at_the_path_and_pages_of_other_layouts(spark):
     assert out[5] == "\n".join(p.strip() for p in parts)
     assert out[6] == out[7] == "Head\n" + ("real words " * 50).strip()
     assert out[8] == ("real text " * 10).strip() and out[0] == ("article words 0 " * 30).strip()
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        # Words of class and id beside an article's own words, around its whole text.
+        (f"<body><nav>menu</nav><div class=legal-text>{LONG}</div><footer>f</footer></body>", LINE),
+        (f"<body><div class='widget text'>{LONG}</div></body>", LINE),
+        (f"<body><div id=search-results-article><h1>T</h1>{LONG}</div></body>", f"T\n{LINE}"),
+        (f"<body><div class=notice>{LONG}</div></body>", LINE),
+        (f"<body><div class=sidebar>{LONG}</div><p>end</p></body>", f"{LINE}\nend"),
+        # Inside an article.
+        (f"<body><main><section>{LONG}</section><section class=notice-of-change>{LONG}</section></main></body>", f"{LINE}\n{LINE}"),
+        (f"<body><main><section>{LONG}</section><section class=notice><p>a change of note</p></section></main></body>", f"{LINE}\na change of note"),
+        (f"<body><article>{LONG}<blockquote class=social-quote>said so</blockquote><p class=tags-intro>of tags</p><h2 class=share-heading>Shares</h2>{LONG}</article></body>", f"{LINE}\nsaid so\nof tags\nShares\n{LINE}"),
+        (f"<body><div class=post><p class=tags-intro>of tags</p><div class=text>{LONG}</div></div></body>", f"of tags\n{LINE}"),
+        # What such words name is left out where more speaks against it.
+        (f"<body><article>{LONG}<ul class=tags><li><a href=1>one</a><li><a href=2>two</a></ul><div class=share><a href=x>send</a></div></article></body>", LINE),
+        (f"<body><div class=sidebar-content><p>about us and others here</p></div><div class=text>{LONG}</div></body>", LINE),
+        (f"<body><div class=ad>buy</div><article>{LONG}<div class='ad-box'>buy more</div></article><div class='comment-list'>{LONG}{LONG}</div></body>", LINE),
+        (f"<body><div role=banner>site</div><div class=text>{LONG}</div><div id=cookieBar>we use cookies</div></body>", LINE),
+    ],
+)
+def test_words_of_class_are_only_evidence(page, text):
+    assert article_text(page, None) == text
+
+
+def test_text_that_a_host_repeats(spark, monkeypatch):
+    page = "<body><article><p>{}</p><p class=disclaimer>{}</p></article></body>"
+    rows = [(i, "http://a.example/", page.format(f"words {i} " * 30, "the same on all pages")) for i in range(12)]
+    rows += [(20, "http://a.example/", page.format("words 20 " * 30, "its own text here")), (21, "http://b.example/", page.format("words 21 " * 30, "the same on all pages"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"words {i} " * 30 for i in range(12)} | {20: "words 20 " * 30 + "\nits own text here", 21: "words 21 " * 30 + "\nthe same on all pages"}
+    want = {i: t.replace(" \n", "\n").strip() for i, t in want.items()}
+    for limit in (4 << 20, 0):  # broadcast, and dealt over salts
+        monkeypatch.setattr("clientcurve.llm.html_extract.BROADCAST_BYTES", limit)
+        assert {r["page_id"]: r["text"] for r in extract_articles(pages).collect()} == want
