@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+from clientcurve.llm import quality_cnn as Q
 from clientcurve.llm.quality_cnn import CHUNK, Net, chunks_of, fit, fitted, quality_scores, training_sample
 
 
@@ -117,3 +118,46 @@ def test_long_texts_are_scored_in_blocks():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 6 * len(data)
+
+
+def naive_score(net, text):
+    """The network byte by byte, chunk by chunk and filter by filter."""
+    embed, filters, bias, out = (net.p[k].astype(np.float64) for k in ("embed", "filters", "bias", "out"))
+    peaks, start = [], 0
+    while start == 0 or start < len(text) - (Q.CHUNK - Q.STEP):
+        if not text:
+            break
+        chunk = text[start : start + Q.CHUNK]
+        codes = []
+        for i in range(Q.CHUNK):
+            if i >= len(chunk):
+                codes.append(Q.PAD)
+                continue
+            echo = any(i - 3 - lag >= 0 and chunk[i - 3 : i + 1] == chunk[i - 3 - lag : i + 1 - lag] for lag in Q.LAGS)
+            codes.append(chunk[i] + Q.ECHO * echo)
+        best = np.zeros(Q.FILTERS)
+        for at in range(0, Q.CHUNK - Q.HOP, Q.HOP):
+            if codes[at] == Q.PAD:
+                continue
+            for f in range(Q.FILTERS):
+                total = bias[f]
+                for b in range(Q.HOP):
+                    for e in range(Q.EMBED):
+                        total += embed[codes[at + b], e] * filters[b * Q.EMBED + e, f]
+                        total += embed[codes[at + Q.HOP + b], e] * filters[b * Q.EMBED + e, Q.FILTERS + f]
+                best[f] = max(best[f], total)
+        peaks.append(best)
+        start += Q.STEP
+    features = np.concatenate([np.mean(peaks, axis=0), np.max(peaks, axis=0)]) if peaks else np.zeros(2 * Q.FILTERS)
+    return 1 / (1 + np.exp(-(features @ out + float(net.p["b"][0]))))
+
+
+def test_scores_equal_a_naive_convolution():
+    rnd = np.random.default_rng(8)
+    net = Q.Net(3)
+    net.p["bias"][:] = rnd.normal(0, 0.3, Q.FILTERS)
+    net.p["b"][0] = 0.2
+    texts = [b"", b"x", b"abab abab abab", bytes(rnd.integers(0, 256, 700)), ("né " * 250).encode(), bytes(rnd.integers(97, 100, 512))]
+    off = np.cumsum([0, *map(len, texts)])
+    got = net.score(np.frombuffer(b"".join(texts), np.uint8), off)
+    assert np.allclose(got, [naive_score(net, t) for t in texts], atol=1e-4)
