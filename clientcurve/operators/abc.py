@@ -72,4 +72,5 @@ def org_abc(orgs: DataFrame, abc: DataFrame) -> DataFrame:
 def lone_key(group: str = "econ_group", row_id: str = "id") -> Column:
     """The group, or, where it is null, a text that no group has and that differs
     between organisations: it matches nothing and spreads over all reducers."""
-    return F.coalesce(F.col(group), F.concat(F.lit("\0"), F.coalesce(F.col(row_id).cast("string"), F.lit(""))))
+    lone = F.concat(F.lit("\0"), F.coalesce(F.col(row_id).cast("string"), F.lit("")))
+    return F.when(F.col(group).isNull(), lone).otherwise(F.col(group))
