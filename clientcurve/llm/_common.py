@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,18 +14,33 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientcurve.session import ensure_checkpoint_dir, shared_path
+from clientcurve.session import delete_path, ensure_checkpoint_dir, shared_path
 
 
 BATCH_BYTES = 4 << 20
 _BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+class Scratch:
+    """Stored tables that are done with once a later table is stored."""
+
+    def __init__(self, spark):
+        self._spark, self.paths = spark, []
+
+    def remove(self) -> None:
+        for path in self.paths:
+            delete_path(self._spark, path)
+        self.paths.clear()
+
+
+def stored(df: DataFrame, name: str, compression: str | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
-    lineage ends at files that survive the loss of any executor."""
+    lineage ends at files that survive the loss of any executor. With ``scratch``,
+    the files go when that is removed."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if scratch is not None:
+        scratch.paths.append(path)
     (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -189,12 +205,30 @@ def running_offsets(df: DataFrame, group: list[str], order: list[str], value: st
     return local.join(carry, on).select(*df.columns, (F.col(out) + F.col("__carry")).alias(out))
 
 
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, parts: int, scratch: Scratch | None = None) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, one row a key, whose ``weight`` counts
+    the key's rows. Keys with more than a quarter of a partition's even share of the
+    rows, at most 4 * ``parts``, are broadcast, so that their rows stay where they are;
+    the others meet by a shuffle."""
+    spark = rows.sparkSession
+    table = stored(table, "join-keys", scratch=scratch)
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    hot = table.where(F.col(weight) * (4 * parts) > total)
+    found = hot.limit(4 * parts).collect()
+    if not found:
+        return rows.join(table, keys)
+    hot = F.broadcast(spark.createDataFrame(found, table.schema))
+    rest = rows.join(hot.select(*keys), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(rest.join(table, keys))
+
+
 def ship(spark) -> None:
     """Send the package's source to the executors, for sessions that were not
     started with it on their Python path (once for a context), and bound the bytes
     of an Arrow batch: 10,000 rows of text are any number of bytes."""
     sc = spark.sparkContext
-    if int(spark.conf.get(_BATCH_KEY).rstrip("b")) > BATCH_BYTES:
+    size = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get(_BATCH_KEY).strip().lower())
+    if size is None or int(size[1]) << 10 * " kmgt".index(size[2] or " ") > BATCH_BYTES:
         spark.conf.set(_BATCH_KEY, BATCH_BYTES)
     if getattr(sc, "_clientcurve_shipped", False):
         return

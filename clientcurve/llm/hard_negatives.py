@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import mapped, stored
 from ._vectors import usable
 
 SHARD_VALUES, BLOCK_ROWS = 1 << 19, 1024
@@ -209,7 +209,7 @@ def _clustered(anchors: DataFrame, count: int) -> tuple[DataFrame, list[int], li
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own)], names=[*b.schema.names, "cluster"])
 
     schema = anchors.select("*", F.lit(0).cast("int").alias("cluster")).schema
-    placed = stored(anchors.mapInArrow(run, schema), "negatives-anchors")
+    placed = stored(mapped(anchors, run, schema), "negatives-anchors")
     sizes = dict.fromkeys(range(len(c)), 0) | {r["cluster"]: r["count"] for r in placed.groupBy("cluster").count().collect()}
     first, parts, block, room = [], [], 0, BLOCK_ROWS
     for i in range(len(c)):

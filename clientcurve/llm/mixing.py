@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import pinned, stored
+from ._common import Scratch, pinned, stored
 
 LEVEL_BITS, LEVELS = 12, 4
 
@@ -134,10 +134,11 @@ def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return plain.unionByName(numbered.select(*plain.columns))
 
 
-def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, scratch: Scratch | None = None) -> DataFrame:
     return stored(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), hash_key(F.col(id_col), F.col(text_col)).alias("key")),
         "mix-sizes",
+        scratch=scratch,
     )
 
 
@@ -154,7 +155,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken. The
     texts are not shuffled: they meet a plan of one row a source."""
-    plan = mix_plan(_sizes(docs, id_col, text_col, source_col), **options).withColumnRenamed("source", "s")
+    scratch = Scratch(docs.sparkSession)
+    plan = mix_plan(_sizes(docs, id_col, text_col, source_col, scratch), **options).withColumnRenamed("source", "s")
+    scratch.remove()
     plan = plan.select("s", "copies", "edge", "edge_rows", "edge_taken")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(source_col).alias("source"), hash_key(F.col(id_col), F.col(text_col)).alias("key"))
     rows = _taken(rows, plan).where("times > 0")

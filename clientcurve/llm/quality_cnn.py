@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored, text_slices
+from ._common import forget_tokens, stored, text_slices
 
 CHUNK, STEP, HOP = 512, 448, 8  # bytes of a chunk, between chunks, between filter positions
 EMBED, FILTERS = 8, 24
@@ -213,6 +213,7 @@ def scorer(net: Net) -> Callable[[Column], Column]:
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
+        forget_tokens()
         batch = pa.RecordBatch.from_arrays([text], names=["text"])
         parts = [net.score(data, off) for _, _, data, off in text_slices(batch, "text", SLICE_BYTES)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))

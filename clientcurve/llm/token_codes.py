@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ._common import mapped
 from ._tokens import encoder
 
 MAGIC = b"DAC1"
@@ -198,7 +199,7 @@ def write_codes(
             yield flush()
 
     schema = f"part int, seg int, tokens long, ids array<{id_type}>, lengths array<long>, codes binary"
-    rows.mapInArrow(run, schema).write.option("compression", "none").parquet(path)
+    mapped(rows, run, schema, tokens=True).write.option("compression", "none").parquet(path)
 
 
 def read_codes(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -227,7 +228,7 @@ def read_codes(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
                     names=["part", "seg", "id", "at", "n", "crc"],
                 )
 
-    docs = segs.select("part", "seg", "ids", "lengths", "codes").mapInArrow(run, f"part int, seg int, id {id_type}, at long, n long, crc long")
+    docs = mapped(segs.select("part", "seg", "ids", "lengths", "codes"), run, f"part int, seg int, id {id_type}, at long, n long, crc long")
     # Tokens before each segment: a running sum inside each part, and over the parts.
     sizes = segs.select("part", "seg", "tokens")
     inside = Window.partitionBy("part").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
