@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import mapped, stored
 
 BLOCK_TERMS = 1 << 18
 _LAST = np.iinfo(np.int64).max  # where a null id stands
@@ -75,12 +75,12 @@ def _item_terms(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for item, text in zip(b.column(0), b.column(1), strict=True):
-                own = sorted(set(terms((text.as_py() or "").encode())))
+                own = sorted(set(terms(text.as_py() or b"")))
                 if own:
                     yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(own), pa.int64()), pa.array(own, pa.binary())], names=["item", "term"])
 
-    rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(run, "item long, term binary").distinct(), "lexical-items")
+    rows = items.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("binary").alias("text"))
+    return stored(mapped(rows, run, "item long, term binary").distinct(), "lexical-items")
 
 
 def _restricted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
@@ -93,7 +93,7 @@ def _restricted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                 part = batch.slice(lo, 256)
                 ids, sizes, bags = [], [], []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    found = terms((text.as_py() or "").encode())
+                    found = terms(text.as_py() or b"")
                     if found:
                         counts = Counter(map(vocabulary.get, found))
                         counts.pop(None, None)
@@ -102,7 +102,7 @@ def _restricted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                         bags.append(np.array(sorted(counts.items()), "<u4").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bags, pa.binary())], names=["id", "n", "bag"])
 
-    return stored(docs.mapInArrow(run, "id long, n long, bag binary"), "lexical-bags")
+    return stored(mapped(docs, run, "id long, n long, bag binary"), "lexical-bags")
 
 
 def _document_counts(bags: DataFrame, size: int) -> np.ndarray:
@@ -117,7 +117,7 @@ def _document_counts(bags: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(df[held])], names=["term", "df"])
 
     out = np.zeros(size, np.int64)
-    for term, df in bags.select("bag").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df")).collect():
+    for term, df in mapped(bags.select("bag"), run, "term long, df long").groupBy("term").agg(F.sum("df")).collect():
         out[term] = df
     return out
 
@@ -239,7 +239,7 @@ def _search_block(docs: DataFrame, ids: list, pairs: list[tuple[int, bytes]], k:
     same = Window.partitionBy("h", "m", "bag").orderBy(F.col("id").asc_nulls_last())
     rows = rows.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k)
     rows = rows.select("id", "m", "r", F.when(F.col("r") == 1, F.col("bag")).alias("bag"))
-    best = rows.mapInArrow(_scorer(ids, weights, starts, postings[:, 1].copy(), k), "item_id long, score long, first long, members array<long>")
+    best = mapped(rows, _scorer(ids, weights, starts, postings[:, 1].copy(), k), "item_id long, score long, first long, members array<long>")
     by_class = Window.partitionBy("item_id").orderBy(F.col("score").desc(), "first")
     best = best.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= k)
     best = best.select("item_id", "score", F.explode("members").alias("doc_id"))
@@ -264,7 +264,7 @@ def ranked_search(
     asked = _item_terms(items, item_col, item_text_col)
     blocks = max(1, -(-asked.count() // block_terms))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
     found = []
     for block in range(blocks):
         rows = [(r["item"], bytes(r["term"])) for r in asked.where(F.col("block") == block).select("item", "term").collect()]
