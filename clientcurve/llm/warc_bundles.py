@@ -51,7 +51,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import Scratch, mapped, stored
 
 # Fixed values of the seekable format and of the archive format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -212,12 +212,15 @@ def write_archives(
     """Write a record for every row of ``pages`` to the dataset at ``path`` (which
     must be new)."""
     payload = F.coalesce(F.col(html_col).cast("binary"), F.lit(b""))
+    scratch = Scratch(pages.sparkSession)
     rows = stored(
         pages.select(
             F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
             F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("n"), payload.alias("payload"),
         ),
         "warc-rows",
+        compression="zstd",
+        scratch=scratch,
     )
     told = rows.join(_revisits(rows, min_revisit), "row", "left")
     told = told.select("row", "id", "url", "digest", "n", F.when(F.col("to_row").isNull(), F.col("payload")).alias("payload"), "to_id", "to_row")
@@ -263,7 +266,8 @@ def write_archives(
 
     schema = "part int, seq int, record_ids array<string>, frames array<int>, offsets array<long>, lengths array<long>, bundle binary"
     # The bundles are compressed already; small row groups keep a reader's batches small.
-    told.mapInArrow(run, schema).write.option("compression", "none").option("parquet.block.size", 16 << 20).parquet(path)
+    mapped(told, run, schema).write.option("compression", "none").option("parquet.block.size", 16 << 20).parquet(path)
+    scratch.remove()
 
 
 def record_index(spark: SparkSession, path: str) -> DataFrame:
@@ -313,7 +317,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, refers_to_record string, payload binary"
-    return spark.read.parquet(path).select("bundle").mapInArrow(run, schema)
+    return mapped(spark.read.parquet(path).select("bundle"), run, schema)
 
 
 def restored(spark: SparkSession, path: str) -> DataFrame:
