@@ -207,19 +207,17 @@ def running_offsets(df: DataFrame, group: list[str], order: list[str], value: st
 
 def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, parts: int, scratch: Scratch | None = None) -> DataFrame:
     """Inner join of ``rows`` with ``table``, one row a key, whose ``weight`` counts
-    the key's rows. Keys with more than a quarter of a partition's even share of the
-    rows, at most 4 * ``parts``, are broadcast, so that their rows stay where they are;
-    the others meet by a shuffle."""
+    the key's rows. The 4 * ``parts`` heaviest keys are broadcast, so that their rows
+    stay where they are; the others, each less than a quarter of a partition's even
+    share of the rows, meet by a shuffle."""
     spark = rows.sparkSession
     table = stored(table, "join-keys", scratch=scratch)
-    total = table.agg(F.sum(weight)).first()[0] or 0
-    hot = table.where(F.col(weight) * (4 * parts) > total)
-    found = hot.limit(4 * parts).collect()
-    if not found:
+    heavy = table.orderBy(F.col(weight).desc(), *keys).limit(4 * parts).collect()
+    if not heavy:
         return rows.join(table, keys)
-    hot = F.broadcast(spark.createDataFrame(found, table.schema))
-    rest = rows.join(hot.select(*keys), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(rest.join(table, keys))
+    heavy = F.broadcast(spark.createDataFrame(heavy, table.schema))
+    rest = rows.join(heavy.select(*keys), keys, "left_anti")
+    return rows.join(heavy, keys).unionByName(rest.join(table, keys))
 
 
 def ship(spark) -> None:

@@ -19,7 +19,9 @@ product of the document by n-gram incidence matrix with its transpose:
    groups.
 3. *Blocks.* A candidate group is ordered by set size and cut into blocks of a
    bounded number of n-grams; only pairs of blocks whose size ranges can reach
-   the threshold meet. In a task, overlap counts are accumulated row by row
+   the threshold meet. A group of three blocks or more is contracted first: each of
+   its sets meets a few representatives, and blocks are then cut from what hangs
+   together by these verified links, and need not meet within it. In a task, overlap counts are accumulated row by row
    over the shared columns, and counts below the bound
    ``num * (a + b) / (num + den)`` are discarded. A task returns a spanning
    forest of its links, never its pairs.
@@ -46,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import pinned, sorted_groups, stored, text_slices
+from ._common import Scratch, join_hot, mapped, pinned, running_offsets, sorted_groups, stored, text_slices
 from ._graph import connected_components
 from ._hashing import PrefixHash, mix
 
@@ -55,7 +57,8 @@ HISTOGRAM_BITS = 20  # buckets of the n-gram counts: a table of 4 MB
 CHUNK_BITS = 14
 SKETCH_BITS = 1024  # at least; more for large sets, see sketch()
 COLUMN_ROWS = 2048  # longer columns tie all their rows, which only widens a group
-BLOCK_NGRAMS = 1 << 20  # n-grams of one block: 8 MB of hashes
+BLOCK_NGRAMS = 1 << 19  # n-grams of one block: 4 MB of hashes
+REPRESENTATIVES = 16
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -170,7 +173,7 @@ def _sets_and_counts(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             yield _rows(schema_names, [np.ones(len(k), np.int32), *[[None] * len(k)] * 6, k, [zlib.compress(parts[i].tobytes(), 1) for i in k]], ids_type)
 
     schema_names = ["kind", "__id", "n", "key", "k", "sketch", "text_hash", "chunk", "counts"]
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)
 
 
 def _rows(names, columns, ids_type) -> pa.RecordBatch:
@@ -215,7 +218,7 @@ def _postings(docs: DataFrame, n: int, num: int, den: int, counts) -> DataFrame:
                 if grams:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(owners))], names=["gram", "k"])
 
-    return docs.select("__text").mapInArrow(run, "gram long, k long")
+    return mapped(docs.select("__text"), run, "gram long, k long")
 
 
 def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
@@ -229,15 +232,12 @@ def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
                 continue
             k, n = g.column("k").to_numpy(), g.column("n").to_numpy()
             m = len(k)
-            if m > COLUMN_ROWS:
-                root = np.zeros(m, np.int64)
-            else:
-                bits = _stacked(g.column("sketch").to_pylist())
-                root = np.arange(m)
-                for i in range(1, m):
-                    differ = np.bitwise_count(bits[:i] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    ok = (differ * (num + den) <= (n[:i] + n[i]) * (den - num)) & (np.minimum(n[:i], n[i]) * den >= np.maximum(n[:i], n[i]) * num)
-                    _join_rows(root, i, np.flatnonzero(ok))
+            bits = _stacked(g.column("sketch").to_pylist())
+            root = np.arange(m)
+            for i in range(1, m):
+                differ = np.bitwise_count(bits[:i] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                ok = (differ * (num + den) <= (n[:i] + n[i]) * (den - num)) & (np.minimum(n[:i], n[i]) * den >= np.maximum(n[:i], n[i]) * num)
+                _join_rows(root, i, np.flatnonzero(ok))
             some = np.flatnonzero(root != np.arange(m))
             a.append(k[some])
             b.append(k[root[some]])
@@ -248,7 +248,7 @@ def _ties(columns: DataFrame, num: int, den: int) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    return columns.mapInArrow(run, "a long, b long")
+    return mapped(columns, run, "a long, b long")
 
 
 def _join_rows(label: np.ndarray, i: int, hit: np.ndarray) -> None:
@@ -271,9 +271,9 @@ def _links(rows: DataFrame, num: int, den: int) -> DataFrame:
             keys = g.column("key").to_pylist()
             blk = g.column("blk").to_numpy()
             sets = [np.frombuffer(s, np.uint64) for s in g.column("grams").to_pylist()]
-            seen: dict[bytes, int] = {}  # a repeated row may bring a set twice
-            for x, k in enumerate(keys):
-                seen.setdefault(k, x)
+            seen: dict[bytes, int] = {}  # a repeated row may bring a set twice; a representative stands for itself
+            for x in np.argsort(blk, kind="stable").tolist():
+                seen.setdefault(keys[x], x)
             pick = sorted(seen.values(), key=lambda x: (len(sets[x]), keys[x]))
             keys, blk, sets = [keys[x] for x in pick], blk[pick], [sets[x] for x in pick]
             same = g.column("i")[0].as_py() == g.column("j")[0].as_py()
@@ -287,7 +287,7 @@ def _links(rows: DataFrame, num: int, den: int) -> DataFrame:
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return mapped(rows, run, "a binary, b binary")
 
 
 def _overlap_forest(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: int) -> np.ndarray:
@@ -324,6 +324,76 @@ def _overlap_forest(sets: list[np.ndarray], side: np.ndarray | None, num: int, d
     return label
 
 
+def _blocked(members: DataFrame) -> DataFrame:
+    """``members(key, n, grp, rep, sub)`` with ``blk``: each part of a group, in order of
+    size, cut into blocks. A running sum numbers them, which spreads a group of any
+    size over many tasks."""
+    at = running_offsets(members, ["grp", "sub"], ["n", "key"], "n", "before")
+    return at.withColumn("blk", F.floor(F.col("before") / BLOCK_NGRAMS).cast("int")).drop("before")
+
+
+def _block_numbers(members: DataFrame) -> DataFrame:
+    """``(grp, sub, blk, lo, hi, no)``: sizes in each block, and its number in its
+    group. A row a block."""
+    ranges = members.groupBy("grp", "sub", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    return ranges.withColumn("no", F.row_number().over(Window.partitionBy("grp").orderBy("sub", "blk")) - 1)
+
+
+def _block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``(grp, no, i, j)``: for each pair (i, j) of blocks that have to meet, both of
+    its blocks. Blocks of one part of a group, whose sets are linked already, do not
+    meet, nor do those whose sizes rule links out."""
+    blocks = _block_numbers(members)
+    x, y = blocks.alias("x"), blocks.alias("y")
+    sizes = (F.col("y.lo") * num <= F.col("x.hi") * den) & (F.col("x.lo") * num <= F.col("y.hi") * den)
+    apart = F.col("x.sub").isNull() | ~F.col("x.sub").eqNullSafe(F.col("y.sub"))
+    meet = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.no") <= F.col("y.no")) & sizes & apart)
+    meet = meet.select(F.col("x.grp").alias("grp"), F.col("x.no").alias("i"), F.col("y.no").alias("j"))
+    return meet.select("grp", F.col("i").alias("no"), "i", "j").union(meet.where("i < j").select("grp", F.col("j").alias("no"), "i", "j"))
+
+
+def _representatives(base: DataFrame, members: DataFrame, n: int, num: int, den: int, parts: int) -> DataFrame | None:
+    """Verified links (a, b) of the sets of large groups with a few sets of their
+    group, chosen by hash; None if no group has three blocks. What hangs together by
+    these links need not be paired any more, so that a class of near copies of any
+    size takes work in proportion to it."""
+    large = members.groupBy("grp").agg(F.max("blk").alias("last"), F.count("*").alias("rows")).where("last >= 2")
+    large = pinned(large)
+    if large.isEmpty():
+        return None
+    mine = join_hot(members.select("key", "n", "grp", "blk", "rep"), large, ["grp"], "rows", parts)
+    some = mine.where(F.col("n") <= BLOCK_NGRAMS // REPRESENTATIVES).withColumn("r", F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("key"), "key")))
+    some = some.where(F.col("r") <= REPRESENTATIVES)
+    all_blocks = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.struct(i.alias("i"), F.lit(-1).alias("j")))
+    own_block = F.array(F.struct(F.col("blk").alias("i"), F.lit(-1).alias("j")))
+    wanted = some.select("key", "grp", F.lit(-1).alias("blk"), all_blocks.alias("pairs"), "rep").unionByName(mine.select("key", "grp", "blk", own_block.alias("pairs"), "rep"))
+    return stored(_links(_meeting_sets(base, wanted, n, parts), num, den), "ngram-representatives")
+
+
+def _meeting_sets(base: DataFrame, wanted: DataFrame, n: int, parts: int) -> DataFrame:
+    """``(key, grp, blk, grams, i, j)`` by pair of blocks: the sets of ``wanted(key, grp,
+    blk, pairs, rep)``, made again from the text of one document each."""
+    asked = wanted.select("key", "grp", "blk", "pairs", F.col("rep.__id").alias("r_id"), F.col("rep.text_hash").alias("r_hash"))
+    found = base.join(asked, F.col("__id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
+
+    def grams_of(batches):
+        for batch in batches:
+            for lo, size, data, off in text_slices(batch, "__text", SLICE_BYTES):
+                part = batch.slice(lo, size)
+                sets = ngram_hashes(data, off, n)
+                keys = part.column(0).to_pylist()
+                right = [d for d, s in enumerate(sets) if set_key(s) == keys[d]]
+                take = pa.array(right, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(c).take(take) for c in range(4)] + [pa.array([sets[d].tobytes() for d in right], pa.binary())],
+                    names=["key", "grp", "blk", "pairs", "grams"],
+                )
+
+    got = mapped(found.select("key", "grp", "blk", "pairs", "__text"), grams_of, "key binary, grp long, blk int, pairs array<struct<i:int,j:int>>, grams binary")
+    sets = got.select("key", "grp", "blk", "grams", F.inline("pairs"))
+    return sets.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+
+
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``(<id_col>, n_shingles, component_id)`` for every row of ``docs``:
     classes of documents whose n-gram sets reach Jaccard ``num/den``."""
@@ -343,55 +413,43 @@ def jaccard_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = table.where("kind = 0").select("__id", "n", "key", "k", "sketch", "text_hash")
 
     # Candidate groups: sets tied by a shared n-gram of their prefixes.
-    postings = stored(_postings(base, n, num, den, counts), "ngram-postings")
+    scratch = Scratch(spark)
+    postings = stored(_postings(base, n, num, den, counts), "ngram-postings", scratch=scratch)
     shared = postings.groupBy("gram").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a < z")
     sketches = rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     common = postings.join(shared.select("gram"), "gram").distinct().join(sketches.select("k", "n"), "k")
     # A size stands in two classes, each den/num wide: sizes that may link meet in one of them.
     grade = F.floor(F.log(F.col("n")) / math.log(den / num * (1 + 1e-9))).cast("int") if num < den else F.col("n").cast("int")
-    common = stored(common.select("gram", "k", "n", F.explode(F.array(grade, grade + 1) if num < den else F.array(grade)).alias("class")), "ngram-common")
-    near = common.groupBy("gram", "class").agg(F.count("*").alias("rows")).where("rows > 1").select("gram", "class")
-    columns = common.join(near, ["gram", "class"]).join(sketches.select("k", "sketch"), "k")
+    common = stored(common.select("gram", "k", "n", F.explode(F.array(grade, grade + 1) if num < den else F.array(grade)).alias("class")), "ngram-common", scratch=scratch)
+    near = pinned(common.groupBy("gram", "class").agg(F.count("*").alias("rows")).where("rows > 1"))
+    short = near.where(F.col("rows") <= COLUMN_ROWS).select("gram", "class")
+    columns = common.join(short, ["gram", "class"]).join(sketches.select("k", "sketch"), "k")
     ties = _ties(columns.repartition(parts, "gram", "class").sortWithinPartitions("gram", "class", "n", "k"), num, den)
+    # A longer column is no task's work: its sets are all tied to the least of them.
+    long = join_hot(common, near.where(F.col("rows") > COLUMN_ROWS), ["gram", "class"], "rows", parts, scratch)
+    least = long.groupBy("gram", "class").agg(F.min("k").alias("b"), F.first("rows").alias("rows"))
+    long = join_hot(long.drop("rows"), least, ["gram", "class"], "rows", parts, scratch).where("k <> b").select(F.col("k").alias("a"), "b")
+    ties = ties.unionByName(long)
     groups = connected_components(ties).select(F.col("node").alias("k"), F.col("label").alias("grp"))
+    scratch.remove()
 
     # One row for each distinct set; those of candidate groups are cut into blocks.
     classes = rows.where("n > 0").groupBy("key", "k", "n").agg(
         F.min("__id").alias("first_id"), F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "text_hash")).alias("rep")
     )
     classes = stored(classes, "ngram-classes")
-    order = Window.partitionBy("grp").orderBy("n", "key")
-    members = classes.join(groups, "k").withColumn(
-        "blk", F.floor((F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")) / BLOCK_NGRAMS).cast("int")
-    )
-    members = pinned(members.select("key", "n", "grp", "blk", "rep"))
-    ranges = members.groupBy("grp", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = ranges.alias("x"), ranges.alias("y")
-    meet = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.blk") <= F.col("y.blk")) & (F.col("y.lo") * num <= F.col("x.hi") * den))
-    meet = meet.select(F.col("x.grp").alias("grp"), F.col("x.blk").alias("i"), F.col("y.blk").alias("j"))
-    both = meet.select("grp", F.col("i").alias("blk"), "i", "j").union(meet.where("i < j").select("grp", F.col("j").alias("blk"), "i", "j"))
-    places = both.groupBy("grp", "blk").agg(F.collect_list(F.struct("i", "j")).alias("pairs"))
-    wanted = members.join(places, ["grp", "blk"]).select("key", "grp", "blk", "pairs", F.col("rep.__id").alias("r_id"), F.col("rep.text_hash").alias("r_hash"))
-    found = base.join(wanted, F.col("__id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")))
-
-    def grams_of(batches):
-        for batch in batches:
-            for lo, size, data, off in text_slices(batch, "__text", SLICE_BYTES):
-                part = batch.slice(lo, size)
-                sets = ngram_hashes(data, off, n)
-                keys = part.column(0).to_pylist()
-                right = [d for d, s in enumerate(sets) if set_key(s) == keys[d]]
-                take = pa.array(right, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(take) for c in range(4)] + [pa.array([sets[d].tobytes() for d in right], pa.binary())],
-                    names=["key", "grp", "blk", "pairs", "grams"],
-                )
-
-    got = found.select("key", "grp", "blk", "pairs", "__text").mapInArrow(
-        grams_of, "key binary, grp long, blk int, pairs array<struct<i:int,j:int>>, grams binary"
-    )
-    blocks = got.select("key", "grp", "blk", "grams", F.inline("pairs"))
-    forest = _links(blocks.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j"), num, den)
+    members = pinned(_blocked(classes.join(groups, "k").select("key", "n", "grp", "rep", F.lit(None).cast("binary").alias("sub"))))
+    known = _representatives(base, members, n, num, den, parts)
+    if known is not None:
+        parted = connected_components(known).select(F.col("node").alias("key"), F.col("label").alias("sub"))
+        members = pinned(_blocked(members.drop("sub", "blk").join(parted, "key", "left").select("key", "n", "grp", "rep", "sub")))
+    both = _block_pairs(members, num, den)
+    places = both.groupBy("grp", "no").agg(F.collect_list(F.struct("i", "j")).alias("pairs"))
+    numbered = members.join(_block_numbers(members).select("grp", "sub", "blk", "no").withColumnsRenamed({"grp": "g", "sub": "s", "blk": "b"}), (F.col("grp") == F.col("g")) & F.col("sub").eqNullSafe(F.col("s")) & (F.col("blk") == F.col("b")))
+    wanted = numbered.select("key", "rep", "grp", "no").join(places, ["grp", "no"]).select("key", "grp", F.col("no").alias("blk"), "pairs", "rep")
+    forest = _links(_meeting_sets(base, wanted, n, parts), num, den)
+    if known is not None:
+        forest = forest.unionByName(known)
     labels = connected_components(forest).withColumnRenamed("node", "key")
 
     named = classes.select("key", "first_id", "rep").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))

@@ -71,6 +71,30 @@ def test_blocks_and_long_columns(make_docs, monkeypatch):
     assert got(J.ngram_jaccard(make_docs(rows), n=3, num=90, den=100)) == Counter(brute(rows, 3, 90, 100))
 
 
+def test_a_large_class_takes_work_in_proportion(spark, make_docs, monkeypatch):
+    """Blocks of near copies of one text meet the representatives, not each other."""
+    monkeypatch.setattr(J, "BLOCK_NGRAMS", 1000)
+    rnd = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        words[int(rnd.integers(0, 60))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"y{j}" for j in rnd.integers(0, 10**6, 50))) for i in range(40)]
+    met = []
+    real = J._block_pairs
+
+    def counted(*a):
+        met.append(real(*a))
+        return met[-1]
+
+    monkeypatch.setattr(J, "_block_pairs", counted)
+    out = {r["doc_id"]: r["component_id"] for r in J.ngram_jaccard(make_docs(rows), n=3, num=80, den=100).collect()}
+    assert all(out[i] == 0 for i in range(600)) and all(out[1000 + i] == 1000 + i for i in range(40))
+    assert met[0].where("i < j").count() <= 10  # 35 blocks would make 595 pairs
+
+
 def test_empty_table(make_docs):
     assert J.ngram_jaccard(make_docs([]), n=3, num=90, den=100).collect() == []
 
