@@ -67,8 +67,9 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each text without strings of 400 bytes that repeat."""
-    return suffix_dedup(_table(spark, sf_dir, "documents"), length=400)
+    """What is left of each text without strings of 400 bytes that repeat, and how
+    many bytes repeated passages of 200 bytes cover (those of over 50 usual words)."""
+    return suffix_dedup(_table(spark, sf_dir, "documents"), length=400, passage=corpus_pipeline.REPEAT_BYTES)
 
 
 def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

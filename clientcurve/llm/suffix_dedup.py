@@ -11,8 +11,8 @@ of the ``gram``-byte substrings inside them. So
 1. each document's string starts fall into *runs*, maximal ranges of starts with
    one anchor (a text of over a MiB is read in overlapping stretches, and a run
    may end with its stretch). A run is keyed by its anchor's hash and by the hash of its whole
-   span (first start to last start + length). One row a run: identical documents
-   and passages collapse in the map-side combine;
+   span (first start to last start + length). Equal runs of a slice of texts are one
+   row: copies and common passages collapse before anything is shuffled;
 2. runs whose anchor occurs once are unique; runs whose whole span occurs again
    are repeated throughout. Only runs with a repeated anchor and a span of its
    own, at the edges of repeated passages, need their text;
@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import sorted_groups, stored, text_slices
+from ._common import Scratch, join_hot, mapped, sorted_groups, stored, text_slices
 from ._hashing import BASES, PrefixHash, mix
 
 SLICE_BYTES = 1 << 20
@@ -121,27 +121,96 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, size: int):
         yield part, np.array([0, len(part)]), lo
 
 
+PLACE = np.dtype([("key", "V16"), ("at", "<i4")])
+RUNS = "anchor long, span long, starts int, lead int, m long, key binary, at int, places binary"
+
+
 def _runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs, equal ones of a slice of texts as one row: how many (``m``), one place
+    (``key``, ``at``) and, where there are several, all of them. A passage that many
+    texts share is combined before anything is shuffled."""
+
     def run(batches):
         for batch in batches:
-            for lo, _, whole, offsets in text_slices(batch, "text", SLICE_BYTES):
-                keys = batch.column(0)
+            for lo, size, whole, offsets in text_slices(batch, "text", SLICE_BYTES):
+                keys = np.frombuffer(b"".join(batch.column(0).slice(lo, size).to_pylist()), "V16")
+                times = batch.column(2).slice(lo, size).to_numpy()
                 for data, off, shift in stretches(whole, offsets, length, SLICE_BYTES):
                     doc, at, count, lead, anchor, span = anchor_runs(data, off, length, gram)
                     if len(doc):
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                keys.take(pa.array(doc + lo)),
-                                pa.array((at + shift).astype(np.int32)),
-                                pa.array(count.astype(np.int32)),
-                                pa.array(lead.astype(np.int32)),
-                                pa.array(anchor.view(np.int64)),
-                                pa.array(span.view(np.int64)),
-                            ],
-                            names=["key", "at", "starts", "lead", "anchor", "span"],
-                        )
+                        yield _grouped(keys[doc], at + shift, count, lead, anchor.view(np.int64), span.view(np.int64), times[doc])
+
+    return mapped(texts.select("key", "text", "m"), run, RUNS)
+
+
+def _grouped(key, at, count, lead, anchor, span, times) -> pa.RecordBatch:
+    order = np.lexsort((span, anchor))
+    x, y = anchor[order], span[order]
+    heads = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+    sizes = np.diff(np.append(heads, len(order)))
+    first = order[heads]
+    all_places = np.empty(len(order), PLACE)
+    all_places["key"], all_places["at"] = key[order], at[order]
+    raw = all_places.tobytes()
+    places = [raw[PLACE.itemsize * h : PLACE.itemsize * (h + n)] if n > 1 else None for h, n in zip(heads.tolist(), sizes.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(anchor[first]),
+            pa.array(span[first]),
+            pa.array(count[first].astype(np.int32)),
+            pa.array(lead[first].astype(np.int32)),
+            pa.array(np.add.reduceat(times[order], heads)),
+            pa.array([k.tobytes() for k in key[first]], pa.binary()),
+            pa.array(at[first].astype(np.int32)),
+            pa.array(places, pa.binary()),
+        ],
+        names=["anchor", "span", "starts", "lead", "m", "key", "at", "places"],
+    )
+
+
+def _all_places(rows: DataFrame) -> DataFrame:
+    """``(key, ranges)`` of the places of runs: a task sends one row a text, and texts
+    that are copies send the same row."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            starts, keys, at, packed = (batch.column(i) for i in range(4))
+            for n, k, a, many in zip(starts.to_pylist(), keys.to_pylist(), at.to_pylist(), packed.to_pylist(), strict=True):
+                own = np.frombuffer(many, PLACE) if many is not None else np.array([(k, a)], PLACE)
+                held.append((own, n))
+                size += len(own)
+            if size > 1 << 18:
+                yield from _by_text(held)
+                held, size = [], 0
+        yield from _by_text(held)
+
+    ranges = mapped(rows.select("starts", "key", "at", "places"), run, f"key binary, {_RANGES_OF_TEXT}")
+    return ranges.distinct()
 
-    return texts.mapInArrow(run, "key binary, at int, starts int, lead int, anchor long, span long")
+
+_RANGES_OF_TEXT = "ranges array<struct<at:int,starts:int>>"
+
+
+def _by_text(held: list[tuple[np.ndarray, int]]):
+    if not held:
+        return
+    places = np.concatenate([p for p, _ in held])
+    starts = np.repeat([n for _, n in held], [len(p) for p, _ in held]).astype(np.int32)
+    halves = np.ascontiguousarray(places["key"]).view("<u8").reshape(-1, 2)
+    order = np.lexsort((places["at"], halves[:, 1], halves[:, 0]))
+    halves, at, starts, keys = halves[order], places["at"][order], starts[order], places["key"][order]
+    other = np.r_[True, (halves[1:] != halves[:-1]).any(axis=1)]
+    once = other | np.r_[True, at[1:] != at[:-1]]
+    other, at, starts, keys = other[once], at[once], starts[once], keys[once]
+    heads = np.flatnonzero(other)
+    offsets = np.append(heads, len(at)).astype(np.int32)
+    for lo in range(0, len(heads), 1 << 14):
+        hi = min(lo + (1 << 14), len(heads))
+        part = slice(offsets[lo], offsets[hi])
+        flat = pa.StructArray.from_arrays([pa.array(at[part].astype(np.int32)), pa.array(starts[part])], names=["at", "starts"])
+        lists = pa.ListArray.from_arrays(pa.array(offsets[lo : hi + 1] - offsets[lo]), flat)
+        yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys[heads[lo:hi]]], pa.binary()), lists], names=["key", "ranges"])
 
 
 class SuffixSorter:
@@ -152,17 +221,20 @@ class SuffixSorter:
 
     def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common extension of suffix pairs, up to the limit: binary search over
-        prefix lengths, each step one comparison of hashes."""
+        prefix lengths, from the whole length down, each step one comparison of
+        hashes."""
+        out = np.full(len(a), self.limit, np.int64)
+        rest = np.flatnonzero(self.hash.at(a, a + self.limit) != self.hash.at(b, b + self.limit))
+        a, b = a[rest], b[rest]
         low = np.zeros(len(a), np.int64)
-        high = np.full(len(a), self.limit, np.int64)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
+        high = np.full(len(a), self.limit - 1, np.int64)
+        while (low < high).any():
             mid = (low + high + 1) >> 1
             same = self.hash.at(a, a + mid) == self.hash.at(b, b + mid)
             low = np.where(same, mid, low)
             high = np.where(same, high, mid - 1)
+        out[rest] = low
+        return out
 
     def less(self, a: np.ndarray, b: np.ndarray, or_equal: bool) -> np.ndarray:
         lcp = self.extension(a, b)
@@ -230,6 +302,7 @@ def repeated_starts(spans: list[np.ndarray], starts: np.ndarray, group: np.ndarr
     if several.any():
         suf, seg = suffix[order][several], segment[several]
         sorter = SuffixSorter(data, length)
+        suf, seg = _with_equal_heads(sorter.hash, suf, seg, length // 2)
         suf = sorter.sort(suf, seg)
         a, b = suf[:-1], suf[1:]
         near = seg[1:] == seg[:-1]
@@ -240,7 +313,7 @@ def repeated_starts(spans: list[np.ndarray], starts: np.ndarray, group: np.ndarr
             again[a] = again[b] = True
         else:  # a collision of hashes: compare the strings themselves
             seen: dict[bytes, int] = {}
-            for s, k in zip(suffix[order][several], seg, strict=True):
+            for s, k in zip(suf, seg, strict=True):
                 t = int(k).to_bytes(8, "little") + data[s : s + length].tobytes()
                 if t in seen:
                     again[s] = again[seen[t]] = True
@@ -248,6 +321,19 @@ def repeated_starts(spans: list[np.ndarray], starts: np.ndarray, group: np.ndarr
     return [again[x : x + n] for x, n in zip(at, starts, strict=True)]
 
 
+def _with_equal_heads(hashes: PrefixHash, suffix: np.ndarray, segment: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes whose first ``head`` bytes begin another suffix of their segment,
+    and their segments cut by these bytes' hash. Only they can be repeats, and only
+    among themselves; near the edges of a passage most suffixes go here."""
+    h = hashes.at(suffix, suffix + head)
+    order = np.lexsort((suffix, h, segment))
+    suffix, segment, h = suffix[order], segment[order], h[order]
+    new = np.r_[True, (segment[1:] != segment[:-1]) | (h[1:] != h[:-1])]
+    part = np.cumsum(new) - 1
+    stays = np.bincount(part)[part] > 1
+    return suffix[stays], part[stays]
+
+
 def _verified(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> bool:
     """Whether data[a:a+length] == data[b:b+length] for all pairs; pairs that
     step on together are checked as one stretch."""
@@ -302,7 +388,7 @@ def _sorted_blocks(spans: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return spans.mapInArrow(run, RANGES)
+    return mapped(spans, run, RANGES)
 
 
 ENTRY = np.dtype([("one", "<u8"), ("two", "<u8"), ("span", "<i4"), ("at", "<i4")])
@@ -321,7 +407,7 @@ def _met(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[heads], count
 
 
-def _counted(spans: DataFrame, length: int, parts: int) -> DataFrame:
+def _counted(spans: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
     """Repeated ranges of anchors with very many spans (step 4 above)."""
     total = spans.agg(F.sum("starts")).first()[0] or 0
     buckets = 1 + total // BUCKET_STRINGS
@@ -366,7 +452,7 @@ def _counted(spans: DataFrame, length: int, parts: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, at, starts, bucket, entries, spans_), types, strict=True)], names=["key", "at", "starts", "bucket", "entries", "keys"])
 
     dealt = spans.select("key", "at", "starts", "whole", "bytes", "anchor").repartitionByRange(parts, "anchor", "key").sortWithinPartitions("anchor", "key")
-    table = stored(dealt.mapInArrow(settle, "key binary, at int, starts int, bucket long, entries binary, keys binary"), "dedup-meeting")
+    table = stored(mapped(dealt, settle, "key binary, at int, starts int, bucket long, entries binary, keys binary"), "dedup-meeting", scratch=scratch)
 
     def meet(batches):
         for g in sorted_groups(batches, ["bucket"]):
@@ -380,7 +466,7 @@ def _counted(spans: DataFrame, length: int, parts: int) -> DataFrame:
                 yield _range_batch([all_keys[r][16 * s : 16 * s + 16] for r, s in zip(row[hit], e["span"][hit], strict=True)], [(int(a), 1) for a in e["at"][hit]])
 
     meeting = table.where("bucket IS NOT NULL").select("bucket", "entries", "keys").repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return table.where("key IS NOT NULL").select("key", "at", "starts").union(meeting.mapInArrow(meet, RANGES))
+    return table.where("key IS NOT NULL").select("key", "at", "starts").union(mapped(meeting, meet, RANGES))
 
 
 def _merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -393,9 +479,9 @@ def _merged(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first[heads], end[np.append(heads[1:], len(first)) - 1]
 
 
-def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """Rows (key, ranges, text) -> per text: removed bytes, spans, hash and
-    (on demand) what is left."""
+def _cut(found: DataFrame, length: int, with_text: bool, keep: int | None) -> DataFrame:
+    """Rows (key, ranges, text, m) -> per text: removed bytes, spans, hash and (on
+    demand) what is left; the text itself where a run of ``keep`` bytes is removed."""
 
     def run(batches):
         for whole in batches:
@@ -404,7 +490,7 @@ def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
                 keys, ranges = b.column(0), b.column(1)
                 flat, ends = ranges.flatten(), np.cumsum(np.diff(ranges.offsets.to_numpy()))
                 at, starts = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("at", "starts"))
-                removed, spans, sha, left = [], [], [], []
+                removed, spans, sha, left, kept = [], [], [], [], []
                 for i, text in enumerate(b.column(2)):
                     raw = text.as_py() or b""
                     x, n = (v[ends[i - 1] if i else 0 : ends[i]] for v in (at, starts))
@@ -415,50 +501,61 @@ def _cut(found: DataFrame, length: int, with_text: bool) -> DataFrame:
                     spans.append(len(a))
                     sha.append(hashlib.sha256(rest).hexdigest())
                     left.append(rest.decode("utf-8", "ignore") if with_text else None)
+                    kept.append(raw if keep is not None and len(a) and (z - a).max() >= keep else None)
                 yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string())],
-                    names=["key", "removed", "spans", "sha", "left"],
+                    [keys, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(left, pa.string()), pa.array(kept, pa.binary()), b.column(3)],
+                    names=["key", "removed", "spans", "sha", "left", "text", "m"],
                 )
 
-    return found.mapInArrow(run, "key binary, removed long, spans long, sha string, left string")
+    return mapped(found, run, "key binary, removed long, spans long, sha string, left string, text binary, m long")
+
+
+def _texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    """``(key, text, m)`` of the texts that can lose bytes."""
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return docs.select(key_of(F.col(text_col)).alias("key"), text.alias("text"), F.lit(1).cast("long").alias("m")).where(F.octet_length("text") >= length)
 
 
 def repeated_cuts(docs: DataFrame, text_col: str = "text", length: int = 400, gram: int = GRAM, max_spans: int = MAX_SPANS, with_text: bool = False) -> DataFrame:
     """``(key, removed, spans, sha, left)`` of each distinct text that loses
     bytes; ``key`` is :func:`key_of` the text, ``left`` what stays, on demand, as text (a character cut in two goes)."""
-    spark = docs.sparkSession
+    return _cuts(_texts(docs, text_col, length), length, gram, max_spans, with_text).select("key", "removed", "spans", "sha", "left")
+
+
+def _cuts(texts: DataFrame, length: int, gram: int, max_spans: int, with_text: bool = False, keep: int | None = None) -> DataFrame:
+    """``(key, removed, spans, sha, left, text, m)`` of each distinct text of
+    ``texts(key, text, m)``, a row standing for ``m`` documents, that loses bytes."""
+    spark = texts.sparkSession
+    scratch = Scratch(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    texts = docs.select(key_of(F.col(text_col)).alias("key"), text.alias("text")).where(F.octet_length("text") >= length)
-    runs = stored(_runs(texts, length, gram), "dedup-runs")
+    runs = stored(_runs(texts, length, gram), "dedup-runs", scratch=scratch)
 
     # Anchors that occur more than once, then the runs of these alone.
-    often = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    # Grouping by a struct keeps Spark from aggregating where the join has put an
-    # anchor's rows: it can split the join of a hot anchor, and copies are
-    # combined in each task before they are dealt anew.
-    live = runs.join(often, "anchor").groupBy("key", "at", "starts", "lead", F.struct("anchor", "span").alias("what")).agg(F.count("*").alias("m"))
-    live = stored(live.select("key", "at", "starts", "lead", "what.*", "m"), "dedup-live")
-    place = F.struct("key", "at", "starts", "lead")
-    kinds = stored(live.groupBy("anchor", "span").agg(F.sum("m").alias("m"), F.min(place).alias("rep")), "dedup-spans")
-    whole = live.join(kinds.where("m > 1").select("anchor", "span"), ["anchor", "span"]).select("key", "at", "starts")
+    often = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("m").alias("all")).where("all > 1").drop("all")
+    live = stored(join_hot(runs, often, ["anchor"], "n", parts, scratch).drop("n"), "dedup-live", scratch=scratch)
+    rep = F.min(F.struct("key", "at", "starts", "lead")).alias("rep")
+    kinds = stored(live.groupBy("anchor", "span").agg(F.sum("m").alias("m"), rep, F.count("*").alias("n")), "dedup-spans", scratch=scratch)
+    whole = _all_places(join_hot(live.drop("m"), kinds.where("m > 1").select("anchor", "span", "n"), ["anchor", "span"], "n", parts, scratch))
 
     # Spans to compare: one of each kind, where some kind of the anchor stands alone.
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("m").alias("least")).where("kinds > 1 AND least = 1")
-    wanted = kinds.join(mixed, "anchor").select("rep.*", "anchor", (F.col("m") > 1).alias("whole"), (F.col("kinds") > max_spans).alias("hot"))
+    wanted = join_hot(kinds.drop("n"), mixed, ["anchor"], "kinds", parts, scratch).select("rep.*", "anchor", (F.col("m") > 1).alias("whole"), (F.col("kinds") > max_spans).alias("hot"))
     by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("at", "starts", "lead", "anchor", "whole", "hot")).alias("spans"))
-    one = texts.dropDuplicates(["key"])
+    one = texts.groupBy("key").agg(F.first("text").alias("text"), F.sum("m").alias("m"))
     cut_out = one.join(by_text, "key")
     spans = cut_out.select("key", "text", F.inline("spans")).select(
         "key", "at", "starts", "lead", "anchor", "whole", "hot", F.col("text").substr(F.col("at") + 1, F.col("starts") + (length - 1)).alias("bytes")
     )
-    spans = stored(spans, "dedup-context")
+    spans = stored(spans, "dedup-context", scratch=scratch)
     few = spans.where("NOT hot").repartition(parts, "anchor").sortWithinPartitions("anchor")
-    found = whole.union(_sorted_blocks(few, length)).union(_counted(spans.where("hot"), length, parts))
+    found = _sorted_blocks(few, length).union(_counted(spans.where("hot"), length, parts, scratch))
+    found = whole.unionByName(found.groupBy("key").agg(F.collect_list(F.struct("at", "starts")).alias("ranges")))
 
-    ranges = found.groupBy("key").agg(F.collect_list(F.struct("at", "starts")).alias("ranges"))
-    cut = _cut(one.join(stored(ranges, "dedup-ranges"), "key").select("key", "ranges", "text"), length, with_text)
-    return stored(cut, "dedup-cut")
+    ranges = found.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    ranges = stored(ranges, "dedup-ranges", scratch=scratch)
+    cut = stored(_cut(one.join(ranges, "key").select("key", "ranges", "text", "m"), length, with_text, keep), "dedup-cut")
+    scratch.remove()
+    return cut
 
 
 def key_of(text: Column) -> Column:
@@ -466,18 +563,34 @@ def key_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, max_spans: int = MAX_SPANS, passage: int | None = None
+) -> DataFrame:
     """``(<id_col>, n_bytes, n_removed, n_spans, kept_sha256)`` for every row of
-    ``docs``; the options are those of :func:`repeated_cuts`."""
-    cut = repeated_cuts(docs, text_col, **options)
+    ``docs``. With ``passage``, a smaller length, also ``n_passage_bytes``: bytes
+    covered by repeated strings of that length. These are found first; a repeated
+    string of ``length`` bytes lies in a run of that many such bytes, in both its
+    places, so only texts with such a run are searched again."""
+    if passage is not None and not gram <= passage < length:
+        raise ValueError("a passage is shorter than the strings that are removed, and has an anchor")
+    if passage is None:
+        cut = repeated_cuts(docs, text_col, length, gram, max_spans).drop("left")
+    else:
+        near = _cuts(_texts(docs, text_col, passage), passage, gram, max_spans, keep=length)
+        far = _cuts(near.where("text IS NOT NULL").select("key", "text", "m"), length, gram, max_spans)
+        near = near.select("key", F.col("removed").alias("passages"))
+        cut = near.join(far.select("key", "removed", "spans", "sha"), "key", "left")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col), key_of(F.col(text_col)).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha_all"))
-    return rows.join(cut, "key", "left").select(
+    out = rows.join(cut, "key", "left")
+    more = [] if passage is None else [F.coalesce("passages", F.lit(0)).cast("long").alias("n_passage_bytes")]
+    return out.select(
         id_col,
         "n_bytes",
         F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("sha", "sha_all").alias("kept_sha256"),
+        *more,
     )
 
 
@@ -487,4 +600,4 @@ def without_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataF
     cut = repeated_cuts(docs, text_col, with_text=True, **options).select(F.col("key").alias("__key"), F.col("left").alias("__left"))
     joined = docs.join(cut, key_of(F.col(text_col)) == F.col("__key"), "left")
     kept = F.when(F.col("__key").isNull(), F.col(text_col)).otherwise(F.col("__left"))
-    return joined.select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return joined.select(*[kept.alias(c) if c == text_col else docs[f"`{c}`"] for c in docs.columns])

@@ -54,8 +54,30 @@ def test_texts_without_repeats(make_docs):
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == want
 
 
+@pytest.mark.parametrize("max_spans", [1024, 2])
+def test_passages_of_a_smaller_length_are_counted_beside(make_docs, max_spans):
+    rows = corpus(9, 90)
+    out = S.suffix_dedup(make_docs(rows), length=90, gram=16, max_spans=max_spans, passage=40)
+    assert out.columns[-1] == "n_passage_bytes"
+    texts = [r[1] for r in rows]
+    want = Counter((r[0], *far[:4], near[1]) for r, far, near in zip(rows, brute(texts, 90), brute(texts, 40), strict=True))
+    assert Counter(tuple(r) for r in out.collect()) == want
+    with pytest.raises(ValueError):
+        S.suffix_dedup(make_docs(rows), length=90, passage=90)
+
+
+def test_nothing_is_left_in_the_shared_folder_but_the_result(spark, make_docs):
+    import os
+
+    place = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(place))
+    S.suffix_dedup(make_docs(corpus(9, 90)), length=90, gram=16).collect()
+    assert sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(place)) - before) == ["dedup-cut"]
+
+
 def test_empty_table(make_docs):
     assert S.suffix_dedup(make_docs([])).collect() == []
+    assert S.suffix_dedup(make_docs([]), passage=200).collect() == []
 
 
 def test_very_long_text(make_docs):
