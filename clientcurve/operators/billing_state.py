@@ -116,9 +116,10 @@ def _only(rows: DataFrame, clients: DataFrame) -> DataFrame:
     return rows.join(c, rows["client_code"].eqNullSafe(c["_c"]), "left_semi")
 
 
-def update_state(spark: SparkSession, log_path: str, state_root: str, loads: list[str], as_of: _dt.date, keep_days: int = KEEP_DAYS) -> publish.Version:
+def update_state(spark: SparkSession, log_path: str, state_root: str, loads: list[str], as_of: _dt.date, keep_days: int = KEEP_DAYS, keep: int = 2) -> publish.Version:
     """Merge the given loads into the state at ``state_root`` and publish it. Loads
-    that it holds already are left out; with none new, the state stays as it is."""
+    that it holds already are left out; with none new, the state stays as it is. The
+    newest ``keep`` versions stay."""
     before = publish.latest(spark, state_root)
     held = before.note["loads"].split(",") if before and before.note.get("loads") else []
     new = sorted(set(loads) - set(held))
@@ -144,7 +145,9 @@ def update_state(spark: SparkSession, log_path: str, state_root: str, loads: lis
         days.append(days_of(again, since))
     draft.write(merge_spans(*spans), "spans")
     draft.write(merge_days(since, *days), "days")
-    return draft.commit({"loads": ",".join(sorted(held + new))})
+    version = draft.commit({"loads": ",".join(sorted(held + new))})
+    publish.expire(spark, state_root, keep)
+    return version
 
 
 def state_facts(version: publish.Version, spark: SparkSession, as_of: _dt.date, window_days: int = C.WINDOW_DAYS) -> DataFrame:
