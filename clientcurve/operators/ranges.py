@@ -12,9 +12,14 @@ ways, chosen by the counted size of the dimension:
   and all bounds are sorted together across the cluster, and a running count gives
   each value its rank and each range the ranks [a, b) that it covers. A range is
   filed under the few aligned blocks of 2**l ranks that make up [a, b) exactly, at
-  most two a level; a value asks for the block that it lies in on each level in
-  use. That is an equi-join whose every hit is a true one: its output is the
-  result, and nothing is paired to be thrown away.
+  most two a level; a distinct value learns on which levels the block that it lies
+  in has ranges, and its rows ask for those blocks. That is an equi-join whose every
+  hit is a true one: its output is the result, and only what is asked and filed is
+  shuffled. Rows asking for a large block are dealt over shares of it.
+
+The joins of the second way are sort-merge joins by hint: Spark's estimate of a stored
+table and of an explode knows nothing of their rows, and a table of all values that it
+takes for small would be broadcast through the driver.
 
 Values are compared as doubles. Null and NaN are in no range; a range with a null or
 NaN bound, or lo > hi, holds nothing."""
@@ -31,6 +36,7 @@ from .prefix import ordered_sum
 
 SMALL_RANGES = 64
 _V, _CELL, _SPREAD = "_rg_v", "_rg_cell", "_rg_spread"
+_LEVEL, _BLOCK, _SHARE = "_rg_level", "_rg_block", "_rg_share"
 
 
 def range_lookup(df: DataFrame, dim: DataFrame, value: Column, out: dict[str, str], lo: str = "lo", hi: str = "hi", small: int = SMALL_RANGES) -> DataFrame:
@@ -99,12 +105,22 @@ def _by_ranks(rows: DataFrame, ranges: DataFrame, names: list[str]) -> DataFrame
     # On level l, ceil(a / 2^l) and floor(b / 2^l) bound what is left; an odd end is a block of its own.
     per_level = bounds.where("a < b").select("_rid", "a", "b", levels)
     per_level = per_level.selectExpr("_rid", "level", "shiftright(a + shiftleft(1L, level) - 1, level) AS a", "shiftright(b, level) AS b").where("a < b")
-    filed = per_level.select("_rid", "level", F.explode(F.expr("filter(array(IF(a % 2 = 1, a, NULL), IF(b % 2 = 1, b - 1, NULL)), x -> x IS NOT NULL)")).alias("block"))
-    filed = materialize(filed.join(ranges.select("_rid", *names), "_rid").drop("_rid"))
-    used = [r["level"] for r in filed.select("level").distinct().collect()]  # at most 64
-    asked = line.where("kind = 1").select("x", (F.col("rank") - 1).alias("at"), F.explode(F.array(*[F.lit(u) for u in sorted(used)]).cast("array<int>")).alias("level"))
-    asked = asked.selectExpr("x", "level", "shiftright(at, level) AS block")
-    hits = asked.join(filed, ["level", "block"]).select(F.col("x").alias("_rg_x"), F.lit(0).cast("long").alias("_rg_s"), *names)
+    filed = per_level.select("_rid", F.col("level").alias(_LEVEL), F.explode(F.expr("filter(array(IF(a % 2 = 1, a, NULL), IF(b % 2 = 1, b - 1, NULL)), x -> x IS NOT NULL)")).alias(_BLOCK))
+    filed = materialize(filed.hint("merge").join(ranges.select("_rid", *names), "_rid").drop("_rid"))
+    used = sorted(r[_LEVEL] for r in filed.select(_LEVEL).distinct().collect())  # at most 64
+    asked = line.where("kind = 1").select("x", (F.col("rank") - 1).alias("at"), F.explode(F.array(*[F.lit(u) for u in used]).cast("array<int>")).alias(_LEVEL))
+    asked = asked.withColumn(_BLOCK, F.expr(f"shiftright(at, {_LEVEL})"))
+    held = asked.hint("merge").join(filed.select(_LEVEL, _BLOCK).distinct(), [_LEVEL, _BLOCK], "left_semi")
+    # The levels on which a value is held, as bits.
+    held = held.groupBy(F.col("x").alias("_rg_x"), F.lit(0).cast("long").alias("_rg_s")).agg(F.max("at").alias("_rg_at"), F.bit_or(F.expr(f"shiftleft(1L, {_LEVEL})")).alias("_rg_held"))
     # Values in no range join nothing; spread over the reducers, nulls are no hot key.
     spread = rows.withColumn(_SPREAD, F.when(F.col(_V).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long")))
-    return spread.join(hits, (F.col(_V) == F.col("_rg_x")) & (F.col(_SPREAD) == F.col("_rg_s")), "left")
+    asking = spread.hint("merge").join(held, (F.col(_V) == F.col("_rg_x")) & (F.col(_SPREAD) == F.col("_rg_s")), "left")
+    on = F.filter(F.array(*[F.when(F.bit_get("_rg_held", F.lit(u)) == 1, F.lit(u)) for u in used]).cast("array<int>"), lambda x: x.isNotNull())
+    asking = asking.withColumn(_LEVEL, F.explode_outer(on))
+    # The largest blocks have 16 shares, those of half their ranks 8, and so on.
+    of = f"shiftleft(1L, greatest(0, {_LEVEL} - {int(highest).bit_length() - 5}))"
+    asking = asking.withColumn(_BLOCK, F.when(F.col(_LEVEL).isNull(), F.xxhash64(_V, _SPREAD)).otherwise(F.expr(f"shiftright(_rg_at, {_LEVEL})")))
+    asking = asking.withColumn(_SHARE, F.expr(f"coalesce(pmod(_rg_at, {of}), 0L)"))
+    shares = filed.withColumn(_SHARE, F.explode(F.expr(f"sequence(0L, {of} - 1)")))
+    return asking.hint("merge").join(shares, [_LEVEL, _BLOCK, _SHARE], "left")

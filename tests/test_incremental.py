@@ -262,6 +262,29 @@ def test_a_million_ranges(spark):
     assert tuple(row) == (20_000, inside, 0)
 
 
+def test_no_table_of_values_or_ranges_is_broadcast(spark):
+    """Estimates took the values, once a level, for a small table, and sent them through the driver."""
+    dim = spark.range(3000).selectExpr("CAST(id AS STRING) AS segment", "id * 10.0D AS lo", "id * 10.0D + 25 AS hi")
+    values = spark.range(20_000).selectExpr("id", "id * 1.5D AS v")
+    got = ranges.range_lookup(values, dim, F.col("v"), {"segment": "segment"})
+    held = [sum(1 for k in range(int(i * 0.15) - 3, int(i * 0.15) + 1) if 0 <= k < 3000 and k * 10 <= i * 1.5 <= k * 10 + 25) for i in range(20_000)]
+    assert tuple(got.agg(F.count("*"), F.count("segment")).first()) == (sum(max(1, n) for n in held), sum(held))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_blocks_are_shared(spark):
+    """Wide ranges over many values, a hot one among them, and columns of the lookup's own names."""
+    inf, n = math.inf, 70_000
+    dim = [("all", -inf, inf), ("low", -inf, 40_000.5), ("up", 20_000.5, inf), ("mid", 10.0, 69_000.0), ("mid", 10.0, 69_000.0), ("point", 7.0, 7.0)]
+    d = spark.createDataFrame(dim, "segment string, lo double, hi double")
+    values = spark.range(n + 5000).selectExpr("id AS level", "id % 3 AS block", "CASE WHEN id < 70000 THEN CAST(id AS DOUBLE) WHEN id % 2 = 0 THEN 7.0D END AS x")
+    got = ranges.range_lookup(values, d, F.col("x"), {"segment": "segment"}, small=0)
+    assert got.columns == ["level", "block", "x", "segment"]
+    assert {r["segment"]: (r["n"], r["ids"]) for r in got.groupBy("segment").agg(F.count("*").alias("n"), F.countDistinct("level").alias("ids")).collect()} == {
+        "all": (n + 2500, n + 2500), "low": (40_001 + 2500, 40_001 + 2500), "up": (49_999, 49_999), "mid": (2 * 68_991, 68_991), "point": (2501, 2501), None: (2500, 2500),
+    }
+
+
 # ------------------------------------------------------------------ rounding
 def test_rounding_equals_pythons(spark):
     rnd = random.Random(9)
