@@ -63,6 +63,9 @@ def read_orgs_checked(
     text = _text_rows(spark, path, sep)
     source = {v: k for k, v in columns.items()}
     typed = org_columns(columns, date_fmt)
+    had = {n.lower() for n in text.columns}
+    if lost := [source[n] for n in typed if source[n].lower() not in had]:
+        raise ValueError(f"the header of {path} lacks {', '.join(lost)}")
     raw = {n: F.nullif(F.trim(F.col(quoted(source[n]))), F.lit("")) for n in typed}
     faults = [F.when(raw[n].isNotNull() & typed[n].isNull(), F.struct(F.lit(n).alias("field"), raw[n].alias("value"), F.lit(why).alias("reason"), F.lit(True).alias("kept"))) for n, why in _REASONS.items()]
     no_id = F.struct(F.lit("id").alias("field"), raw["id"].alias("value"), F.lit("id").alias("reason"), F.lit(False).alias("kept"))

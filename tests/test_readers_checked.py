@@ -53,6 +53,13 @@ def test_a_wrong_file_is_refused(spark):
     assert (empty.rows, empty.rejected, empty.orgs.count()) == (0, 0, 0)
 
 
+def test_a_header_without_a_column_is_refused(spark):
+    """Whichever of the files is read first."""
+    path = snapshot(spark, [[HEADER.replace("codes", "other"), "1|2|3|27|||171|654"]])
+    with pytest.raises(ValueError, match="header of .* lacks codes"):
+        read(spark, path)
+
+
 # ------------------------------------------------------------------ history
 def test_history_over_changed_types(spark, mk):
     path = shared_path(spark, "history")
