@@ -109,8 +109,11 @@ def _by_ranks(rows: DataFrame, ranges: DataFrame, names: list[str]) -> DataFrame
     filed = materialize(filed.hint("merge").join(ranges.select("_rid", *names), "_rid").drop("_rid"))
     used = sorted(r[_LEVEL] for r in filed.select(_LEVEL).distinct().collect())  # at most 64
     asked = line.where("kind = 1").select("x", (F.col("rank") - 1).alias("at"), F.explode(F.array(*[F.lit(u) for u in used]).cast("array<int>")).alias(_LEVEL))
-    asked = asked.withColumn(_BLOCK, F.expr(f"shiftright(at, {_LEVEL})"))
-    held = asked.hint("merge").join(filed.select(_LEVEL, _BLOCK).distinct(), [_LEVEL, _BLOCK], "left_semi")
+    # The largest blocks have 16 shares, those of half their ranks 8, and so on.
+    of = f"shiftleft(1L, greatest(0, {_LEVEL} - {int(highest).bit_length() - 5}))"
+    shares = filed.withColumn(_SHARE, F.explode(F.expr(f"sequence(0L, {of} - 1)")))
+    asked = asked.withColumns({_BLOCK: F.expr(f"shiftright(at, {_LEVEL})"), _SHARE: F.expr(f"pmod(at, {of})")})
+    held = asked.hint("merge").join(shares.select(_LEVEL, _BLOCK, _SHARE).distinct(), [_LEVEL, _BLOCK, _SHARE], "left_semi")
     # The levels on which a value is held, as bits.
     held = held.groupBy(F.col("x").alias("_rg_x"), F.lit(0).cast("long").alias("_rg_s")).agg(F.max("at").alias("_rg_at"), F.bit_or(F.expr(f"shiftleft(1L, {_LEVEL})")).alias("_rg_held"))
     # Values in no range join nothing; spread over the reducers, nulls are no hot key.
@@ -118,9 +121,6 @@ def _by_ranks(rows: DataFrame, ranges: DataFrame, names: list[str]) -> DataFrame
     asking = spread.hint("merge").join(held, (F.col(_V) == F.col("_rg_x")) & (F.col(_SPREAD) == F.col("_rg_s")), "left")
     on = F.filter(F.array(*[F.when(F.bit_get("_rg_held", F.lit(u)) == 1, F.lit(u)) for u in used]).cast("array<int>"), lambda x: x.isNotNull())
     asking = asking.withColumn(_LEVEL, F.explode_outer(on))
-    # The largest blocks have 16 shares, those of half their ranks 8, and so on.
-    of = f"shiftleft(1L, greatest(0, {_LEVEL} - {int(highest).bit_length() - 5}))"
     asking = asking.withColumn(_BLOCK, F.when(F.col(_LEVEL).isNull(), F.xxhash64(_V, _SPREAD)).otherwise(F.expr(f"shiftright(_rg_at, {_LEVEL})")))
     asking = asking.withColumn(_SHARE, F.expr(f"coalesce(pmod(_rg_at, {of}), 0L)"))
-    shares = filed.withColumn(_SHARE, F.explode(F.expr(f"sequence(0L, {of} - 1)")))
     return asking.hint("merge").join(shares, [_LEVEL, _BLOCK, _SHARE], "left")
